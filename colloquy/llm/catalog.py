@@ -2,4 +2,6 @@
 
 from __future__ import annotations
 
-MODULES: list = []
+from colloquy.llm import copies, pieces, runs, terms
+
+MODULES: list = [pieces, runs, copies, terms]
