@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from colloquy.llm import copies, pieces, runs, terms
+from colloquy.llm import copies, pieces, runs, splits, terms
 
-MODULES: list = [pieces, runs, copies, terms]
+MODULES: list = [pieces, splits, runs, copies, terms]
