@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from colloquy.llm import copies, pieces, residue, runs, splits, terms
+from colloquy.llm import containers, copies, mixture, pieces, residue, runs, splits, terms
 
-MODULES: list = [pieces, splits, runs, copies, terms, residue]
+MODULES: list = [pieces, splits, runs, copies, terms, containers, mixture, residue]
