@@ -17,7 +17,7 @@ def running_before(df: DataFrame, keys: list[str], cell: str, order: list[Column
     at = [*keys, cell]
     for k in keys:
         df = df.where(F.col(k).isNotNull())
-    df = df.withColumn("__value", value).repartition(*at)
+    df = df.withColumn("__value", value)
     cells = df.groupBy(*at).agg(F.sum("__value").alias("__sum"))
     over = (W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy(cell).rowsBetween(W.unboundedPreceding, -1)
     cells = cells.select(*at, F.coalesce(F.sum("__sum").over(over), F.lit(0)).alias("__base"))
@@ -43,3 +43,15 @@ MOST_HOT = 1_000
 def hot_from(rows: int) -> int:
     """The least count of a hot key: with it, at most MOST_HOT of ``rows`` rows' keys are hot, and none that is small."""
     return max(50_000, -(-rows // MOST_HOT))
+
+
+def with_previous(df: DataFrame, keys: list[str], cell: str, order: list[str], values: list[str], name: str) -> DataFrame:
+    """Adds ``name``: a struct of the previous row's ``values`` per ``keys`` in the order (cell, order), null at the first.
+
+    Like lag(), but a group is spread over its cells; only each cell's last row is compared between cells.
+    """
+    at, row = [*keys, cell], F.struct(*values)
+    last = df.groupBy(*at).agg(F.max_by(row, F.struct(*order)).alias("__last"))
+    last = last.select(*at, F.lag("__last").over((W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy(cell)).alias("__earlier"))
+    own = F.lag(row).over(W.partitionBy(*at).orderBy(*order))
+    return df.withColumn("__own", own).join(last, at).withColumn(name, F.coalesce("__own", "__earlier")).drop("__own", "__earlier")
