@@ -14,6 +14,11 @@ MUSIC_KEYWORDS = [
 SCHEME_AND_HOST = r"^([A-Za-z][A-Za-z0-9+.\-]*:)?(//[^/?]*)?"
 
 
+def strip(value: Column) -> Column:
+    """Without white space of any kind at the ends."""
+    return F.regexp_replace(value, r"^[\s\p{Z}]+|[\s\p{Z}]+\z", "")
+
+
 def text_or(value: Column, *others: Column) -> Column:
     """The first of the values that is neither null nor empty."""
     return F.coalesce(*[F.nullif(x, F.lit("")) for x in (value, *others)])
@@ -21,7 +26,7 @@ def text_or(value: Column, *others: Column) -> Column:
 
 def normalize_lang(lang: Column) -> Column:
     """Trimmed, lower case, ``-`` for ``_``; null is ''."""
-    return F.coalesce(F.replace(F.lower(F.trim(lang)), F.lit("_"), F.lit("-")), F.lit(""))
+    return F.coalesce(F.replace(F.lower(strip(lang)), F.lit("_"), F.lit("-")), F.lit(""))
 
 
 def lang_matches(lang: Column, allowed: list[str]) -> Column:
@@ -42,24 +47,25 @@ def base_lang(lang: Column, bases: tuple[str, ...] = ("ja", "en")) -> Column:
 
 
 def normalize_url(url: Column) -> Column:
-    """Trimmed, without fragment or an empty query, scheme and host in lower case; path and query keep their case."""
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(url, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""), "#.*$", ""), r"\?$", "")
+    """Trimmed, without tabs and line ends, fragment or an empty query; scheme and host in lower case, path and query as
+    they are."""
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(strip(url), r"[\t\r\n]", ""), r"#.*\z", ""), r"\?\z", "")
     head = F.regexp_extract(bare, SCHEME_AND_HOST, 0)
     return F.concat(F.lower(head), F.substr(bare, F.length(head) + F.lit(1)))
 
 
 def url_path(url: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(url, "[?#].*$", ""), SCHEME_AND_HOST, "")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(url, r"[\t\r\n]", ""), r"[?#].*\z", ""), SCHEME_AND_HOST, "")
 
 
 def is_audio_url(url: Column) -> Column:
     """The path ends with an extension of audio, in any case; query and fragment don't matter; null is false."""
-    return F.coalesce(F.lower(url_path(url)).rlike(r"\.(" + "|".join(AUDIO_EXTENSIONS) + ")$"), F.lit(False))
+    return F.coalesce(F.lower(url_path(url)).rlike(r"\.(" + "|".join(AUDIO_EXTENSIONS) + r")\z"), F.lit(False))
 
 
 def url_suffix(url: Column) -> Column:
     """The last suffix of the path with its dot, else '.bin'."""
-    return text_or(F.regexp_extract(url_path(url), r"[^/.](\.[^./]+)$", 1), F.lit(".bin"))
+    return text_or(F.regexp_extract(url_path(url), r"[^/.](\.[^./]+)\z", 1), F.lit(".bin"))
 
 
 def watch_url(url: Column) -> Column:
@@ -96,7 +102,7 @@ def is_music(*term_lists: Column) -> Column:
 
 def sample_terms(*term_lists: Column) -> Column:
     """The distinct terms of several lists, trimmed."""
-    return F.array_distinct(F.filter(F.transform(F.concat(*term_lists), lambda t: F.trim(t)), lambda t: t != ""))
+    return F.array_distinct(F.filter(F.transform(F.concat(*term_lists), strip), lambda t: t != ""))
 
 
 def too_long(part: Column, whole: Column, share: float = 1 / 3) -> Column:
