@@ -52,7 +52,7 @@ def list_shards(folder: str) -> list[str]:
 
 def _open(path: str):
     system, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    return system.open_input_stream(inner)
+    return system.open_input_stream(inner, compression=None)
 
 
 class Fault(Exception):
@@ -154,7 +154,7 @@ class ShardWriter(DataSourceWriter):
                 if size >= self.max_bytes:
                     stack.close()
                     names.append(f"{path}/_{uuid.uuid4().hex}.tmp")
-                    gz = stack.enter_context(gzip.GzipFile(fileobj=stack.enter_context(system.open_output_stream(names[-1])), mode="wb", compresslevel=6))
+                    gz = stack.enter_context(gzip.GzipFile(fileobj=stack.enter_context(system.open_output_stream(names[-1], compression=None)), mode="wb", compresslevel=6))
                     tar, size = stack.enter_context(tarfile.open(fileobj=gz, mode="w|")), 0
                 for column, extension in EXTENSIONS.items():
                     content = row[column] if column in row else None
@@ -237,7 +237,7 @@ def _repair(path: str, folder: str, target: str) -> tuple[str, int, bool]:
     system, inner = fs.FileSystem.from_uri(out) if "://" in out else (fs.LocalFileSystem(), out)
     system.create_dir(inner.rpartition("/")[0], recursive=True)
     n, broken = 0, False
-    with system.open_output_stream(inner) as raw, gzip.GzipFile(fileobj=raw, mode="wb", compresslevel=6) as gz, tarfile.open(fileobj=gz, mode="w|") as tar:
+    with system.open_output_stream(inner, compression=None) as raw, gzip.GzipFile(fileobj=raw, mode="wb", compresslevel=6) as gz, tarfile.open(fileobj=gz, mode="w|") as tar:
         try:
             for name, content in members(path):
                 info = tarfile.TarInfo(name)
