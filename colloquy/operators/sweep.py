@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from colloquy.session import cut
+
 HOUR_MS = 3_600_000
 
 
@@ -34,7 +36,8 @@ def _zero_points(intervals: DataFrame, keys: list[str], start: str, end: str, ce
     known = (e > s) & F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    rows = intervals.where(known).select(*keys, F.inline(halves)).repartition(*keys, "__cell")
+    # the join below asks for a cell that isn't null; saying so here keeps both uses of the shuffle alike, so it runs once
+    rows = intervals.where(known).select(*keys, F.inline(halves)).where("__cell is not null").repartition(*keys, "__cell")
     event = lambda t, d: F.struct(t.alias("__t"), F.lit(d).alias("__d"))
     events = rows.select(*keys, "__cell", F.inline(F.filter(F.array(event(F.col("__s"), 1), event(F.col("__e"), -1)), lambda x: x["__t"].isNotNull())))
 
@@ -70,7 +73,7 @@ def interval_gaps(intervals: DataFrame, keys: list[str], start: str, end: str, c
 
 def covered_periods(intervals: DataFrame, keys: list[str], start: str, end: str, cell_ms: int = HOUR_MS) -> DataFrame:
     """The continuous periods of each entity: ``keys``, ``period_start``, ``period_end``. Rules as in interval_gaps."""
-    zero = _zero_points(intervals, keys, start, end, cell_ms)
+    zero = cut(_zero_points(intervals, keys, start, end, cell_ms))
     last = zero.groupBy(*keys, "__cell").agg(F.max("__next").alias("__last"))
     before = W.partitionBy(*keys).orderBy("__cell").rowsBetween(W.unboundedPreceding, -1)
     last = last.select(*keys, "__cell", F.max("__last").over(before).alias("__earlier"))
