@@ -20,18 +20,26 @@ HOUR_MS = 3_600_000
 TURN = ["episode_key", "turn_id", "speaker", "start_ms", "end_ms"]
 
 
-def _celled(turns: DataFrame, cell_ms: int = HOUR_MS) -> DataFrame:
-    return turns.where("episode_key is not null and start_ms is not null and end_ms is not null").withColumn("__cell", F.floor(F.col("start_ms") / cell_ms))
-
-
 def gap_groups(turns: DataFrame, gap_ms: int) -> DataFrame:
-    """Adds ``group_no`` (from 0): a new group begins where a turn starts ``gap_ms`` or more after the end of the turn
-    before it, whatever the ends of earlier ones. Turns without an episode or bounds are left out."""
-    before = with_previous(_celled(turns), ["episode_key"], "__cell", ["start_ms", "turn_id"], ["end_ms"], "__prev")
-    new = F.when(F.col("start_ms") - F.col("__prev.end_ms") >= gap_ms, 1).otherwise(0)
-    flagged = before.withColumn("__new", new).drop("__prev")
-    counted = running_before(flagged, ["episode_key"], "__cell", [F.col("start_ms"), F.col("turn_id")], F.col("__new"), "__sum")
-    return counted.withColumn("group_no", F.col("__sum") + F.col("__new")).drop("__new", "__sum", "__cell")
+    """The distinct turns with ``group_no`` (from 0): a new group begins where a turn starts ``gap_ms`` or more after the
+    end of the turn before it, whatever the ends of earlier ones. Turns without an episode, id or bounds are left out.
+
+    One shuffle by (episode, cell of time). Within a cell neighbours are compared directly; each cell's first start, last
+    end and number of breaks then tell whether its first turn begins a group and how many came before it.
+    """
+    at, order = ["episode_key", "__cell"], ["start_ms", "turn_id"]
+    rows = turns.where("start_ms is not null and end_ms is not null and turn_id is not null").withColumn("__cell", F.floor(F.col("start_ms") / HOUR_MS))
+    rows = rows.where("episode_key is not null and __cell is not null").repartition(*at).distinct()
+    within = W.partitionBy(*at).orderBy(*order)
+    rows = rows.withColumn("__new", F.coalesce((F.col("start_ms") - F.lag("end_ms").over(within) >= gap_ms).cast("int"), F.lit(0)))
+    # the last row with all its columns: so that both uses of the shuffle read the same columns, and it runs once
+    last = F.max(F.struct(*order, *[c for c in turns.columns if c not in (*at, *order)]))
+    cells = rows.groupBy(*at).agg(F.sum("__new").alias("__n"), F.min("start_ms").alias("__from"), last.alias("__last"))
+    over = W.partitionBy("episode_key").orderBy("__cell")
+    cells = cells.withColumn("__first", F.coalesce((F.col("__from") - F.lag(F.col("__last.end_ms")).over(over) >= gap_ms).cast("int"), F.lit(0)))
+    before = F.coalesce(F.sum(F.col("__n") + F.col("__first")).over(over.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    cells = cells.select(*at, (before + F.col("__first")).alias("__base"))
+    return rows.withColumn("__in", F.sum("__new").over(within.rowsBetween(W.unboundedPreceding, 0))).join(cells, at).withColumn("group_no", F.col("__base") + F.col("__in")).drop("__new", "__in", "__base", "__cell")
 
 
 def groups_of(grouped: DataFrame) -> DataFrame:
@@ -45,7 +53,7 @@ def two_speaker_scan(grouped: DataFrame, max_ms: int) -> DataFrame:
 
     Within a group a run goes on while its turns have at most two speakers; a third closes it and begins the next with
     that turn only. Within a run a chunk closes with the turn whose end lies ``max_ms`` or more after the chunk's start,
-    and the next one starts at that end. A null speaker is a speaker like any other. One pass, constant memory.
+    and the next one starts at that end. Speakers aren't null. One pass, constant memory.
     """
     kinds = [("episode_key", pa.string()), ("group_no", pa.int64()), ("turn_id", pa.int64()), ("speaker", pa.string()), ("start_ms", pa.int64()), ("end_ms", pa.int64()), ("run_no", pa.int64()), ("chunk_no", pa.int64()), ("chunk_from", pa.int64())]
     names = [k for k, _ in kinds]
@@ -85,11 +93,13 @@ def chunks_of(scanned: DataFrame, min_ms: int, max_ms: int) -> DataFrame:
     """One row per chunk of the two-speaker runs that last ``min_ms`` or more: a run of at most ``max_ms`` is one chunk, a
     longer one is cut, and a rest shorter than ``min_ms`` dropped. ``top_ms`` and ``total_ms``: turn time of the speaker
     with most of it, and of all."""
-    run, order = ["episode_key", "group_no", "run_no"], F.struct("start_ms", "turn_id")
-    runs = scanned.groupBy(*run).agg(F.count_distinct("speaker").alias("__n"), F.min("start_ms").alias("__from"), F.max_by("end_ms", order).alias("__to"))
-    runs = runs.where((F.col("__n") == 2) & (F.col("__to") - F.col("__from") >= min_ms))
+    run = ["episode_key", "group_no", "run_no"]
+    whole = W.partitionBy(*run)  # silence bounds it
+    rows = scanned.withColumn("__from", F.min("start_ms").over(whole)).withColumn("__to", F.max(F.struct("start_ms", "turn_id", "end_ms")).over(whole)["end_ms"])
+    # a run has one speaker or two
+    rows = rows.withColumn("__two", ~F.min("speaker").over(whole).eqNullSafe(F.max("speaker").over(whole))).where(F.col("__two") & (F.col("__to") - F.col("__from") >= min_ms))
     long = F.col("__to") - F.col("__from") > max_ms
-    rows = scanned.join(runs.drop("__n"), run).withColumn("chunk_no", F.when(long, F.col("chunk_no")).otherwise(0)).withColumn("chunk_from", F.when(long, F.col("chunk_from")).otherwise(F.col("__from")))
+    rows = rows.withColumn("chunk_no", F.when(long, F.col("chunk_no")).otherwise(0)).withColumn("chunk_from", F.when(long, F.col("chunk_from")).otherwise(F.col("__from")))
     spoken = rows.groupBy(*run, "chunk_no", "chunk_from", "speaker").agg(F.sum(F.col("end_ms") - F.col("start_ms")).alias("ms"), F.count("*").alias("n"), F.max(F.struct("start_ms", "turn_id", "end_ms")).alias("last"))
     chunks = spoken.groupBy(*run, "chunk_no", "chunk_from").agg(F.sum("n").alias("n_turns"), F.max("ms").alias("top_ms"), F.sum("ms").alias("total_ms"), F.count("*").alias("n_speakers"), F.max("last")["end_ms"].alias("end_ms"))
     return chunks.where(F.col("end_ms") - F.col("chunk_from") >= min_ms).withColumnRenamed("chunk_from", "start_ms")

@@ -9,16 +9,16 @@ from colloquy.functions.keys import SPEAKER_NUMBER_SQL, millis, speaker_number,
 from colloquy.operators import sequence as S
 from colloquy.operators.intervals import overlap_total, short_overlapping
 from colloquy.operators.sweep import covered_periods
-from colloquy.session import read_table
+from colloquy.session import cut, read_table
 
 GAP, SHARE, LEAST, MOST, ENOUGH = 5_000, 0.8, 10_000, 120_000, 4
 
 
 def turns(spark: SparkSession, d: str) -> DataFrame:
-    """Usable turns with a speaker number, each once, in ms."""
+    """Usable turns with a speaker number, in ms; some come twice, which gap_groups() and unions don't mind."""
     seg = read_table(spark, d, "segments").where(usable_bounds(F.col("start_sec"), F.col("end_sec")))
     seg = seg.select("episode_key", F.col("seg_id").alias("turn_id"), speaker_number(F.col("speaker")).alias("speaker"), millis(F.col("start_sec")).alias("start_ms"), millis(F.col("end_sec")).alias("end_ms"))
-    return seg.where("speaker is not null").distinct()
+    return seg.where("speaker is not null")
 
 
 def gap_split(spark: SparkSession, d: str) -> DataFrame:
@@ -35,7 +35,7 @@ def long_dialogue_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def speaker_balance(spark: SparkSession, d: str) -> DataFrame:
-    t = turns(spark, d).groupBy("episode_key", "speaker").agg(F.sum(F.col("end_ms") - F.col("start_ms")).alias("ms"))
+    t = turns(spark, d).distinct().groupBy("episode_key", "speaker").agg(F.sum(F.col("end_ms") - F.col("start_ms")).alias("ms"))
     t = t.groupBy("episode_key").agg(F.max("ms").alias("top_ms"), F.sum("ms").alias("total_ms"))
     return t.withColumn("balanced", S.is_balanced(F.col("top_ms"), F.col("total_ms"), SHARE))
 
@@ -58,7 +58,7 @@ def interval_union(spark: SparkSession, d: str) -> DataFrame:
 
 
 def relabel_speakers(spark: SparkSession, d: str) -> DataFrame:
-    return S.first_appearance(turns(spark, d))
+    return S.first_appearance(turns(spark, d).distinct())
 
 
 def pack_chunks(spark: SparkSession, d: str) -> DataFrame:
@@ -71,17 +71,17 @@ def tracks(spark: SparkSession, d: str) -> DataFrame:
     return p.select("episode_key", "speaker", F.col("period_start").alias("start_ms"), F.col("period_end").alias("end_ms"))
 
 
-def turn_exchanges(spark: SparkSession, d: str) -> DataFrame:
-    return S.exchanges(tracks(spark, d)).groupBy("episode_key").agg(F.count("*").alias("exchanges"), F.count_if("overlaps").alias("overlapping"))
+def turn_exchanges(spark: SparkSession, d: str, t: DataFrame | None = None) -> DataFrame:
+    return S.exchanges(t or tracks(spark, d)).groupBy("episode_key").agg(F.count("*").alias("exchanges"), F.count_if("overlaps").alias("overlapping"))
 
 
-def overlap_duration(spark: SparkSession, d: str) -> DataFrame:
-    t = tracks(spark, d)
+def overlap_duration(spark: SparkSession, d: str, t: DataFrame | None = None) -> DataFrame:
+    t = t or tracks(spark, d)
     return overlap_total(t.where("speaker = 0"), t.where("speaker = 1"), "episode_key")
 
 
-def backchannels(spark: SparkSession, d: str) -> DataFrame:
-    t = tracks(spark, d)
+def backchannels(spark: SparkSession, d: str, t: DataFrame | None = None) -> DataFrame:
+    t = t or tracks(spark, d)
     a, b = t.where("speaker = 0"), t.where("speaker = 1")
     return short_overlapping(a, b, "episode_key").withColumn("speaker", F.lit(0)).unionByName(short_overlapping(b, a, "episode_key").withColumn("speaker", F.lit(1)))
 
@@ -89,10 +89,10 @@ def backchannels(spark: SparkSession, d: str) -> DataFrame:
 def turn_taking_stats(spark: SparkSession, d: str) -> DataFrame:
     """Per episode: exchanges and backchannels a minute, mean turn, share of simultaneous speech and of overlapping
     exchanges. The duration is the end of the last turn."""
-    t = tracks(spark, d)
+    t = cut(tracks(spark, d))
     base = t.groupBy("episode_key").agg(F.count("*").alias("n"), F.sum(F.col("end_ms") - F.col("start_ms")).alias("spoken"), F.max("end_ms").alias("duration"))
-    back = backchannels(spark, d).groupBy("episode_key").agg(F.count("*").alias("back"))
-    j = base.join(turn_exchanges(spark, d), "episode_key", "left").join(overlap_duration(spark, d), "episode_key", "left").join(back, "episode_key", "left").fillna(0)
+    back = backchannels(spark, d, t).groupBy("episode_key").agg(F.count("*").alias("back"))
+    j = base.join(turn_exchanges(spark, d, t), "episode_key", "left").join(overlap_duration(spark, d, t), "episode_key", "left").join(back, "episode_key", "left").fillna(0)
     minutes = F.col("duration") / 60_000.0
     return j.select(
         "episode_key",

@@ -53,7 +53,7 @@ def speaker_linking(spark: SparkSession, d: str) -> DataFrame:
 
 
 def label_files(spark: SparkSession, d: str) -> DataFrame:
-    return speaker_labels(turns(spark, d)).select("episode_key", "track", "line")
+    return speaker_labels(turns(spark, d).distinct()).select("episode_key", "track", "line")
 
 
 def diarize_stage(spark: SparkSession, d: str) -> DataFrame:
