@@ -164,3 +164,23 @@ def parse_turn(raw: Column) -> Column:
     words = F.filter(parts, lambda p: p.try_cast("double").isNull())
     speaker = F.coalesce(F.try_element_at(words, F.lit(-1)), F.try_element_at(numbers, F.lit(3)).try_cast("bigint").cast("string"), F.lit("SPEAKER_00"))
     return F.when(F.size(numbers) >= 2, F.struct(speaker.alias("speaker"), F.get(numbers, 0).alias("start"), F.get(numbers, 1).alias("end")))
+
+
+def gpu_index(device: Column) -> Column:
+    """The number after the colon of a device's name; null if it has none."""
+    return F.get(F.split(device, ":"), 1).try_cast("int")
+
+
+def probe_info(probe: Column) -> Column:
+    """struct(duration, sample_rate, bit_rate) of a probe's JSON: duration 0 where it is missing or no number, the stream's
+    bit rate before the file's, null where there is none."""
+    at = lambda p: F.get_json_object(probe, p)
+    duration = F.coalesce(at("$.format.duration").try_cast("double"), F.lit(0.0))
+    bits = F.coalesce(at("$.streams[0].bit_rate").try_cast("int"), at("$.format.bit_rate").try_cast("int"))
+    return F.struct(duration.alias("duration"), at("$.streams[0].sample_rate").try_cast("int").alias("sample_rate"), bits.alias("bit_rate"))
+
+
+def dialogue_meta(device: str, start: str, end: str, index: str, *rest: str) -> Column:
+    """The metadata of a dialogue as JSON; null fields are left out."""
+    span = (F.col(end) - F.col(start)).alias("dialogue_duration_sec")
+    return F.to_json(F.struct(*rest, F.col(index).alias("dialogue_idx"), F.col(start).alias("dialogue_start"), F.col(end).alias("dialogue_end"), span, F.col(device).alias("device"), gpu_index(F.col(device)).alias("gpu_id")))
