@@ -55,6 +55,7 @@ VIETNAMESE, SPANISH_SIGNS = re.compile(r"[ăâđêôơưạảấầẩẫậắ
 SPANISH = frozenset("el la los las de del y en que un una es se no por con su para al lo como más este esta todo nos hola".split())
 ENGLISH = frozenset("the of and a to in is it that was for on with as at by this you we be are or not from have page error".split())
 WORD = re.compile(r"\w+")
+BLANK = np.array([32], dtype=np.uint32)
 SENTENCE_END = re.compile(r"[.!?…]\s|[。！？\n|]")
 MARKUP = re.compile(r"<[^<>\n]{1,200}>")
 
@@ -84,7 +85,7 @@ def fields_of(text: str) -> list[tuple[int, int]]:
 def codes_of(text: str) -> np.ndarray:
     """Code points of the text in lower case, without markup, runs of white space as one space, digits as 0."""
     text = re.sub(r"\d", "0", re.sub(r"\s+", " ", MARKUP.sub(" ", text))).lower()
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
 def grams(codes: np.ndarray, n: int) -> np.ndarray:
@@ -96,13 +97,13 @@ def grams(codes: np.ndarray, n: int) -> np.ndarray:
     return (h >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def counted(texts: list[str]) -> np.ndarray:
-    """Counts of the texts' n-grams, one row for each order."""
+def counted(texts: list[np.ndarray]) -> np.ndarray:
+    """Counts of the texts' n-grams, one row for each order; ``texts`` has the codes_of() of each."""
     table = np.zeros((len(ORDERS), 1 << BITS), dtype=np.float32)
     parts, size = [], 0
     for k, t in enumerate(texts):
-        parts.append(codes_of(t + " "))
-        size += len(parts[-1])
+        parts += [t, BLANK]
+        size += len(t)
         if size > CHUNK or k == len(texts) - 1:
             codes = np.concatenate(parts)
             for row, n in zip(table, ORDERS, strict=True):
@@ -123,20 +124,19 @@ def language_of(text: str) -> str:
     return "es" if sum(w in SPANISH for w in words) + len(SPANISH_SIGNS.findall(low)) > sum(w in ENGLISH for w in words) else "en"
 
 
-def by_language(text: str) -> dict[str, list[str]]:
-    out: dict[str, list[str]] = {x: [] for x in LANGUAGES}
-    for line in text.strip().split("\n"):
-        out[language_of(line)].append(line)
+def by_language(texts: list[str]) -> dict[str, list[np.ndarray]]:
+    out: dict[str, list[np.ndarray]] = {x: [] for x in LANGUAGES}
+    for t in texts:
+        out[language_of(t)].append(codes_of(t))
     return out
 
 
 def ratio(a: np.ndarray, b: np.ndarray, attested: float = 0.0) -> np.ndarray:
-    """Log likelihood ratio tables of a against b. Both count as if they had the size of the smaller, so that what neither
-    has is even; n-grams that b has at least three times, and a not more than ten times as often, are worth ``attested``
-    more to b, others in proportion: what little residue b may hold itself must not speak against a."""
-    size = np.maximum(np.minimum(a.sum(axis=1), b.sum(axis=1)), 1)[:, None]
+    """Log likelihood ratio tables of a against b. A larger b counts as if it had a's size, so that what neither has is
+    even; n-grams that b has at least three times, and a not more than ten times as often, are worth ``attested`` more to
+    b, others in proportion: what little residue b may hold itself must not speak against a."""
     met = b >= 3
-    a, b = a * size / np.maximum(a.sum(axis=1)[:, None], 1), b * size / np.maximum(b.sum(axis=1)[:, None], 1)
+    b = b * np.minimum(1, a.sum(axis=1) / np.maximum(b.sum(axis=1), 1))[:, None]
     known = met * np.float32(attested) * np.minimum(1, 10 * b / np.maximum(a, 1e-9))
     return np.log((a + ALPHA) / (b + known + ALPHA)).astype(np.float32)
 
@@ -149,8 +149,7 @@ def scores(length: int, places: list[np.ndarray], table: np.ndarray) -> np.ndarr
     return out / len(ORDERS)
 
 
-def score_sums(text: str, *tables: np.ndarray) -> list[float]:
-    codes = codes_of(text)
+def score_sums(codes: np.ndarray, *tables: np.ndarray) -> list[float]:
     places = [grams(codes, n) for n in ORDERS]
     return [float(scores(len(codes), places, t).sum()) for t in tables]
 
@@ -162,10 +161,9 @@ class Models:
     residue: dict[str, list[np.ndarray]]
     quotes: dict[str, np.ndarray]
 
-    def coverage(self, text: str) -> float:
-        """Share of the text's characters in windows that are residue; 0 for a text without letters or digits."""
-        codes = codes_of(text.strip())
-        covered, total, language = 0, len(codes), language_of(text)
+    def coverage(self, codes: np.ndarray, language: str) -> float:
+        """Share of a text's characters in windows that are residue; 0 for a text without any."""
+        covered, total = 0, len(codes)
         if not total:
             return 0.0
         for at in range(0, total, CHUNK):
@@ -193,37 +191,39 @@ class Models:
             end = SENTENCE_END.search(after)
             around = before[cut[-1] if cut else 0 :] + "F" + after[: end.start() + 1 if end else None]
             around = FIELD.sub("F", around)
-            n += score_sums(around, self.quotes[language_of(around)])[0] <= 0
+            n += score_sums(codes_of(around), self.quotes[language_of(around)])[0] <= 0
         return n
 
 
 def fit(sample: list[str]) -> Models:
     """Models from the seeds and a sample of whole texts, without labels; each language has its own, so that a rare one
     isn't taken for residue."""
-    texts: dict[str, list[str]] = {x: [] for x in LANGUAGES}
-    for t in sample:
-        texts[language_of(t)].append(t)
-    seed = {k: by_language(getattr(seeds, k)) for k in ("FILLER", "NOTICES", "MENTIONS", "SLOTS", "QUOTES")}
-    latin = counted([seeds.LATIN])
+    texts = by_language(sample)
+    seed = {k: by_language(getattr(seeds, k).strip().split("\n")) for k in ("FILLER", "NOTICES", "MENTIONS", "SLOTS", "QUOTES")}
+    latin = counted([codes_of(seeds.LATIN)])
     known = Models({}, {})
     for x in LANGUAGES:
         start = {k: counted(v[x]) for k, v in seed.items()}
-        known.quotes[x] = ratio(start["QUOTES"], start["SLOTS"])
+        # of the quotes' seeds there are more; neither kind is to be preferred for that
+        even = np.minimum(1, start["SLOTS"].sum(axis=1) / start["QUOTES"].sum(axis=1))[:, None]
+        known.quotes[x] = ratio(start["QUOTES"] * even, start["SLOTS"])
         kinds = [latin, start["FILLER"], start["NOTICES"]]
-        now, natural = kinds, texts[x]
+        now, all_counts, doubtful = kinds, counted(texts[x]), texts[x]
         for step in range(ROUNDS + 1):
             # mentions weigh as much as a fiftieth of the prose, so that the models know them
-            base = counted(natural)
-            base += start["MENTIONS"] * max(1.0, base.sum() / start["MENTIONS"].sum() / 50)
+            base = all_counts if step == 0 else all_counts - odd_counts
+            base = base + start["MENTIONS"] * max(1.0, base.sum() / start["MENTIONS"].sum() / 50)
             known.residue[x] = [ratio(k, base, ATTESTED) for k in now]
             if step == ROUNDS:
                 break
-            natural, odd = [], [[] for _ in kinds]
-            for t in texts[x]:
-                if known.coverage(t) < LEAST_COVER:
-                    natural.append(t)
-                else:
+            odd: list[list[np.ndarray]] = [[] for _ in kinds]
+            cover = [known.coverage(t, x) for t in doubtful]
+            for t, c in zip(doubtful, cover, strict=True):
+                if c >= LEAST_COVER:
                     odd[int(np.argmax(score_sums(t, *known.residue[x])))].append(t)
+            # texts without a single window of residue are prose, and aren't asked again
+            doubtful = [t for t, c in zip(doubtful, cover, strict=True) if c > 0]
+            odd_counts = sum(counted(o) for o in odd)
             now = [k + counted(o) for k, o in zip(kinds, odd, strict=True)]
     return known
 
@@ -247,7 +247,7 @@ def residue(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         m = shared.value
         for b in batches:
             texts = [t or "" for t in b.column("text").to_pylist()]
-            fields, cover = [m.unfilled(t) for t in texts], [m.coverage(t) for t in texts]
+            fields, cover = [m.unfilled(t) for t in texts], [m.coverage(codes_of(t.strip()), language_of(t)) for t in texts]
             verdict = [f > 0 or c >= LEAST_COVER for f, c in zip(fields, cover, strict=True)]
             yield pa.record_batch([b.column("doc_id"), pa.array(fields, pa.int64()), pa.array(cover, pa.float64()), pa.array(verdict, pa.bool_())], ["doc_id", "fields", "coverage", "is_residue"])
 
