@@ -29,7 +29,7 @@ from colloquy.session import read_table
 SAMPLE_DOCS, SAMPLE_CHARS, ROUNDS = 4_000, 20_000, 3
 BITS, ORDERS = 18, (2, 3, 4)
 #: Pseudo-count; characters in a window; least mean log ratio of a window that is residue; least share covered.
-ALPHA, WINDOW, LEAST_RATIO, LEAST_COVER = 0.5, 24, 0.25, 0.35
+ALPHA, WINDOW, LEAST_RATIO, LEAST_COVER = 0.5, 24, 0.25, 0.44
 #: What an n-gram's being attested in prose is worth, as a count.
 ATTESTED = 1.0
 CHUNK = 1 << 19
