@@ -136,7 +136,7 @@ _V = f"""{_C},
 d AS (SELECT episode_key, CAST(row_number() OVER (PARTITION BY episode_key ORDER BY group_no, run_no, chunk_no) - 1 AS BIGINT) AS dialogue_idx, group_no, run_no, chunk_no, n_turns, start_ms, end_ms
  FROM c WHERE total > 0 AND top / total <= {SHARE})"""
 _PERIODS = """
-m{x} AS (SELECT *, max(e) OVER (PARTITION BY {k} ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {src}),
+m{x} AS (SELECT *, max(e) OVER (PARTITION BY {k} ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM (SELECT DISTINCT {k}, s, e FROM {src})),
 n{x} AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach THEN 1 ELSE 0 END) OVER (PARTITION BY {k} ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS part FROM m{x}),
 p{x} AS MATERIALIZED (SELECT {k}, min(s) AS s, max(e) AS e FROM n{x} GROUP BY {k}, part)"""
 _U = _T + "," + _PERIODS.format(x="u", k="episode_key", src="t")

@@ -36,7 +36,7 @@ WITH iv AS (
  SELECT episode_key, -1, CAST(round(dlg_start * 1000) AS BIGINT), CAST(round(dlg_end * 1000) AS BIGINT)
  FROM separation_tasks WHERE dlg_end > dlg_start),
 m AS (SELECT *, max(e) OVER (PARTITION BY episode_key, speaker_no ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
- FROM iv WHERE speaker_no IS NOT NULL AND episode_key IS NOT NULL)
+ FROM (SELECT DISTINCT * FROM iv) WHERE speaker_no IS NOT NULL AND episode_key IS NOT NULL)
 """
 SQL = {
     "p2_found": _BASE + "SELECT episode_key, speaker_no, reach AS gap_start_ms, s AS gap_end_ms FROM m WHERE s > reach",
