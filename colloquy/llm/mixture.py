@@ -67,7 +67,7 @@ def mix(lengths: DataFrame, targets: DataFrame, total_tokens: int | None = None,
     """
     plan = targets.where("source is not null").groupBy("source").agg(F.max(F.coalesce("target_share", F.lit(0.0))).alias("share"), F.max(F.coalesce("max_repeats", F.lit(0))).alias("repeats")).orderBy("source").collect()
     spark, names = lengths.sparkSession, [r["source"] for r in plan]
-    docs = lengths.where((F.col("n_tokens") > 0) & F.col("source").isin(names))
+    docs = lengths.select("doc_id", "source", "n_tokens").where((F.col("n_tokens") > 0) & F.col("source").isin(names))
     sums = {r["source"]: r["n"] for r in docs.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
     have = [sums.get(x, 0) for x in names]
     shares, repeats = [r["share"] for r in plan], [r["repeats"] for r in plan]

@@ -19,52 +19,85 @@ from colloquy.functions.keys import millis, usable_bounds
 from colloquy.session import read_table
 
 
-def cut_offsets(total: int, tiers: list[np.ndarray], limit: int, overlap: int) -> list[tuple[int, int, bool]]:
+#: Sorted, disjoint, closed ranges of offsets: their starts and their ends. A single offset is both.
+Ranges = tuple[np.ndarray, np.ndarray]
+
+
+def cut_offsets(total: int, tiers: list[Ranges], limit: int, overlap: int) -> list[tuple[int, int, bool]]:
     """(start, end, hard) of each piece of an item of ``total``, in the unit of the offsets.
 
-    ``tiers``: sorted arrays of offsets to cut at, best first. Pieces are at most ``limit`` long, consecutive ones share
-    exactly ``overlap``, and together they cover the item. A piece ends at the last boundary within the limit, that of
-    the first tier that has one in the second half of the piece, else of the last tier if that brings the item forward;
-    else it is cut hard at the limit. An item within the limit is one piece; an item of 0 is one empty piece. Raises
-    ValueError unless 0 <= overlap < limit.
+    ``tiers``: ranges of offsets to cut at, best first. Pieces are at most ``limit`` long, consecutive ones share exactly
+    ``overlap``, and together they cover the item. A piece ends at the last boundary within the limit, that of the first
+    tier that has one in the second half of the piece, else of the last tier if that brings the item forward; else it is
+    cut hard at the limit. An item within the limit is one piece; an item of 0 is one empty piece. Raises ValueError
+    unless 0 <= overlap < limit.
     """
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and less than limit")
     pieces, start = [], 0
     while total - start > limit:
         end, hard = start + limit, True
-        for array, least in [*((a, max(overlap, limit // 2)) for a in tiers), *((a, overlap) for a in tiers[-1:])]:
-            k = int(np.searchsorted(array, start + limit, side="right")) - 1
-            if k >= 0 and array[k] > start + least:
-                end, hard = int(array[k]), False
+        for (starts, ends), least in [*((a, max(overlap, limit // 2)) for a in tiers), *((a, overlap) for a in tiers[-1:])]:
+            k = int(np.searchsorted(starts, start + limit, side="right")) - 1
+            if k >= 0 and (last := min(int(ends[k]), start + limit)) > start + least:
+                end, hard = last, False
                 break
         pieces.append((start, end, hard))
         start = end - overlap
     return [*pieces, (start, total, False)]
 
 
-def tiers_of(free: np.ndarray, safe: np.ndarray, overlap: int) -> list[np.ndarray]:
-    """Tiers from sorted offsets that are in order (``free``) and those of them well clear of any harm (``safe``). A cut
-    has two places, the piece's end and, the overlap before it, the next one's start; first those with both in order."""
-    both = lambda a: a[np.isin(a - overlap, a, assume_unique=True)]
-    return [both(safe), both(free), safe, free]
+def common(a: Ranges, b: Ranges) -> Ranges:
+    """What two sets of ranges share."""
+    out, i, j = [], 0, 0
+    while i < len(a[0]) and j < len(b[0]):
+        start, end = max(a[0][i], b[0][j]), min(a[1][i], b[1][j])
+        if start <= end:
+            out.append((start, end))
+        if a[1][i] < b[1][j]:
+            i += 1
+        else:
+            j += 1
+    both = np.array(out, dtype=np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
 
 
-PIECES = "task_id bigint, dlg_key string, episode_key string, piece_no int, n_pieces int, from_ms bigint, to_ms bigint, total_ms bigint, hard_cut boolean, by_wave boolean"
+def tiers_of(free: Ranges, safe: Ranges, overlap: int) -> list[Ranges]:
+    """Tiers from offsets that are in order (``free``) and those of them well clear of any harm (``safe``). A cut has two
+    places, the piece's end and, the overlap before it, the next one's start; first those with both in order."""
+
+    def both(r: Ranges) -> Ranges:
+        if r[0] is r[1]:  # single offsets
+            points = r[0][np.isin(r[0] - overlap, r[0], assume_unique=True)]
+            return points, points
+        return common(r, (r[0] + overlap, r[1] + overlap))
+
+    return [both(safe), both(free), safe, free]
 
 
-def silent_offsets(wave: np.ndarray, silence: float) -> tuple[np.ndarray, np.ndarray]:
+def silent_offsets(wave: np.ndarray, silence: float) -> tuple[Ranges, Ranges]:
     """The values of a peak wave in which nobody speaks, and those of them that follow another such."""
     quiet = np.nan_to_num(wave) <= silence
-    return np.flatnonzero(quiet), np.flatnonzero(quiet & np.r_[False, quiet[:-1]])
+    free, safe = np.flatnonzero(quiet), np.flatnonzero(quiet & np.r_[False, quiet[:-1]])
+    return (free, free), (safe, safe)
+
 
+def pause_offsets(total: int, turns: list[tuple[int, int]]) -> Ranges:
+    """The offsets at which no turn is under way; the turns are (start, end) from the item's start. Between turns that
+    touch there is one."""
+    starts, ends, reach = [], [], 0
+    for a, b in sorted(turns):
+        if a >= reach:
+            starts.append(reach)
+            ends.append(a)
+        reach = max(reach, b)
+    if reach <= total:
+        starts.append(reach)
+        ends.append(total)
+    return np.array(starts, dtype=np.int64), np.array(ends, dtype=np.int64)
 
-def pause_offsets(total: int, turns: list[tuple[int, int]]) -> np.ndarray:
-    """Offsets in ms at which no turn is under way; the turns are (start, end) from the item's start."""
-    free = np.ones(total + 1, dtype=bool)
-    for a, b in turns:
-        free[max(0, a + 1) : max(0, b)] = False
-    return np.flatnonzero(free)
+
+PIECES = "task_id bigint, dlg_key string, episode_key string, piece_no int, n_pieces int, from_ms bigint, to_ms bigint, total_ms bigint, hard_cut boolean, by_wave boolean"
 
 
 def audio_pieces(tasks: DataFrame, segments: DataFrame, limit_sec: float = 600.0, overlap_sec: float = 2.0, silence: float = 0.02, cell_ms: int = 600_000) -> DataFrame:

@@ -41,7 +41,8 @@ def tag_terms(*documents: str | None) -> list[str]:
         for tag in tags if isinstance(tags, list) else ():
             term = tag.get("term") if isinstance(tag, dict) else None
             if isinstance(term, str) and (term := SPACE.sub(" ", term).strip().lower()):
-                out.append(term)
+                # half a surrogate pair can be escaped in JSON, but isn't text
+                out.append(term if term.isascii() else term.encode("utf-8", "replace").decode("utf-8"))
     return out
 
 
