@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from colloquy.llm.pieces import audio_pieces, cut_offsets, tiers_of
+from colloquy.llm.pieces import audio_pieces, cut_offsets, pause_offsets, tiers_of
 from colloquy.llm.runs import agglomerate, collapse_runs
 
 TASKS = "task_id bigint, dlg_key string, episode_key string, dialogue_idx int, dlg_start double, dlg_end double, wav_rate int, dlg_wav array<float>, queued_at int, piece_no string"
@@ -26,7 +26,7 @@ def test_cuts_cover_and_overlap():
         total, limit = rnd.randrange(0, 5_000), rnd.randrange(20, 900)
         overlap = rnd.randrange(0, limit // 2)
         free = np.array(sorted(rnd.sample(range(5_000), rnd.randrange(0, 60))), dtype=np.int64)
-        pieces = cut_offsets(total, tiers_of(free, free[::2], overlap), limit, overlap)
+        pieces = cut_offsets(total, tiers_of((free, free), (free[::2], free[::2]), overlap), limit, overlap)
         check(pieces, total, limit, overlap)
         for start, end, hard in pieces[:-1]:
             inside = free[(free > start + overlap) & (free <= start + limit)]
@@ -36,6 +36,17 @@ def test_cuts_cover_and_overlap():
         cut_offsets(10, [], 5, 5)
 
 
+def test_pauses_match_brute_force():
+    rnd = random.Random(7)
+    for _ in range(200):
+        turns = [(s := rnd.randrange(-20, 300), s + rnd.randrange(1, 60)) for _ in range(rnd.randrange(0, 12))]
+        starts, ends = pause_offsets(250, turns)
+        free = {t for a, b in zip(starts, ends, strict=True) for t in range(a, b + 1)}
+        assert free & set(range(251)) == {t for t in range(251) if not any(a < t < b for a, b in turns)}
+    far = cut_offsets(10**12, tiers_of(*[pause_offsets(10**12, [(5, 10**9)])] * 2, 2_000), 10**11, 2_000)
+    check(far, 10**12, 10**11, 2_000)
+
+
 def test_audio_pieces(spark):
     wave = [0.5] * 2_500
     wave[2_300] = wave[2_301] = wave[2_292] = wave[2_293] = 0.0

@@ -66,7 +66,7 @@ def test_sainte_lague():
 
 def test_mix(spark):
     docs = [(k, "abc"[k % 3] if k % 7 else "small", 50 + k % 40) for k in range(3_000)] + [(9_001, None, 500), (9_002, "a", 0), (9_003, "unlisted", 10**6)]
-    lengths = spark.createDataFrame(docs, "doc_id bigint, source string, n_tokens bigint")
+    lengths = spark.createDataFrame([(*r, 1, 1) for r in docs], "doc_id bigint, source string, n_tokens bigint, most int, shard int")
     targets = spark.createDataFrame([("a", 0.2, 1), ("b", 0.3, 1), ("c", 0.1, 2), ("small", 0.3, 4), ("empty", 0.1, 9)], "source string, target_share double, max_repeats int")
     mixed = mix(lengths, targets)
     rows = mixed.collect()
