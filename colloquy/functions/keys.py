@@ -44,9 +44,10 @@ SPEAKER_NUMBER_SQL = f"try_cast(nullif(regexp_extract(translate({{c}}, '{FULLWID
 
 
 def usable_bounds(start: Column, end: Column) -> Column:
-    """Both bounds set, finite, and the end after the start."""
+    """Both bounds set, finite, and the end after the start: never null, and a plain conjunction, so that its null checks
+    reach the scan."""
     finite = lambda c: ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
-    return F.coalesce(start.isNotNull() & end.isNotNull() & finite(start) & finite(end) & (end > start), F.lit(False))
+    return start.isNotNull() & end.isNotNull() & finite(start) & finite(end) & (end > start)
 
 
 def millis(seconds: Column) -> Column:

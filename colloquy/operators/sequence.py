@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colloquy.operators.prefix import running_before, with_previous
+from colloquy.session import cut
 
 HOUR_MS = 3_600_000
 TURN = ["episode_key", "turn_id", "speaker", "start_ms", "end_ms"]
@@ -113,7 +114,8 @@ def is_balanced(top: Column, total: Column, most_share: float) -> Column:
 def valid_dialogues(turns: DataFrame, gap_ms: int = 5_000, most_share: float = 0.8, min_ms: int = 10_000, max_ms: int = 600_000) -> DataFrame:
     """Balanced two-speaker dialogues, numbered from 0 within their episode in order of time."""
     chunks = chunks_of(two_speaker_scan(gap_groups(turns, gap_ms), max_ms), min_ms, max_ms)
-    kept = chunks.where(is_balanced(F.col("top_ms"), F.col("total_ms"), most_share)).withColumn("__cell", F.col("group_no"))
+    # cut: the numbers need the dialogues twice, and they are few beside the turns
+    kept = cut(chunks.where(is_balanced(F.col("top_ms"), F.col("total_ms"), most_share)).withColumn("__cell", F.col("group_no")))
     numbered = running_before(kept, ["episode_key"], "__cell", [F.col("run_no"), F.col("chunk_no")], F.lit(1), "dialogue_idx")
     return numbered.select("episode_key", F.col("dialogue_idx").cast("bigint").alias("dialogue_idx"), "group_no", "run_no", "chunk_no", "n_turns", "start_ms", "end_ms")
 
