@@ -59,7 +59,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _marked(held, True)  # long runs are passed on as edges, which costs a comparison and no more
                 held = out.filter(pa.array(fresh))
                 continue
-            yield _marked(held, goes_on and bool(held.column("edge")[0].as_py()))
+            yield held  # one run, so its rows already have the same mark; it is empty where a batch only repeated an id
         yield out.slice(0, cut_at).filter(pa.array(fresh[:cut_at]))
         held = out.slice(cut_at).filter(pa.array(fresh[cut_at:]))
     if held is not None:

@@ -35,6 +35,23 @@ def test_copies_over_many_partitions(spark):
     assert hidden_copies(df.limit(0)).count() == 0
 
 
+def test_copies_of_an_id_that_repeats_for_batches(spark):
+    """One id redelivered for several Arrow batches, at the start, in the middle and at the end of a partition."""
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        for hot in ("a", "m", "z"):
+            for times in range(13, 36):
+                rows = [("o", "h", 1), ("o", "h", 2), ("o", "n", 3), ("o", "n", 4)] + [("o", hot, 50)] * times + [("o", hot, 51)]
+                first = {}
+                for _, k, i in rows:
+                    first[k] = min(i, first.get(k, i))
+                got = hidden_copies(spark.createDataFrame(rows, "origin string, key string, id bigint"), 1)
+                assert sorted(tuple(r) for r in got.collect()) == sorted({(o, k, i, first[k]) for o, k, i in rows})
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
 def components(pairs):
     parent = {}
 
