@@ -29,7 +29,7 @@ def streaming_runs(spark: SparkSession, d: str) -> DataFrame:
 
 def streaming_cutoff(spark: SparkSession, d: str) -> DataFrame:
     rows = T.read_stream(spark, f"{d}/events.parquet").select("user_id", "event_id", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
-    return T.run_available(T.until_target(rows, "user_id", "event_id", "cents", 500_000)).drop("__batch")
+    return T.until_target(rows, "user_id", "event_id", "cents", 500_000)
 
 
 SQL = {

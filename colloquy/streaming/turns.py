@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from colloquy.session import checkpoint_dir
+from colloquy.operators.prefix import running_before
+from colloquy.session import checkpoint_dir, cut
 
 
 def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -20,14 +21,15 @@ def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def run_available(stream: DataFrame, mode: str = "append") -> DataFrame:
+def run_available(stream: DataFrame, mode: str = "append", each: Callable[[DataFrame, int, str], DataFrame] | None = None) -> DataFrame:
     """Runs the stream over what is there now and gives what it wrote. Each batch is written to its own folder, so one
-    that is repeated after a failure replaces itself; in update mode the caller takes the last batch of a key."""
+    that is repeated after a failure replaces itself; in update mode the caller takes the last batch of a key. ``each``
+    makes of a batch, its number and the run's folder the rows to write, with the columns of the stream."""
     spark = stream.sparkSession
     folder = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def save(batch: DataFrame, number: int) -> None:
-        batch.withColumn("__batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+        (each(batch, number, folder) if each else batch).withColumn("__batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
 
     stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).foreachBatch(save).start().awaitTermination()
     return spark.read.option("recursiveFileLookup", "true").schema(stream.schema.add("__batch", T.IntegerType())).parquet(f"{folder}/out")
@@ -94,18 +96,31 @@ def dialogue_runs(turns: DataFrame, gap_ms: int) -> DataFrame:
     return rows.groupBy("episode_key").applyInPandasWithState(step, RUN, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def until_target(rows: DataFrame, key: str, order: str, amount: str, target: int) -> DataFrame:
-    """Rows before which a key's sum of ``amount`` is below ``target``: the row that crosses it still passes. State is one
-    sum a key."""
-    schema = rows.select(key, order, amount).schema
-
-    def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        so_far = state.get[0] if state.exists else 0
-        for f in frames:
-            f = f.sort_values(order, kind="stable")
-            before = so_far + f[amount].fillna(0).cumsum() - f[amount].fillna(0)
-            so_far += int(f[amount].fillna(0).sum())
-            yield f[before < target]
-        state.update((so_far,))
-
-    return rows.select(key, order, amount).groupBy(key).applyInPandasWithState(step, schema, "total bigint", "append", GroupStateTimeout.NoTimeout)
+#: Values of an integer order in a cell of until_target().
+CELL = 1 << 16
+
+
+def until_target(rows: DataFrame, key: str, order: str, amount: str, target: int, cell: Column | None = None) -> DataFrame:
+    """Runs the stream over what is there now and gives the rows before which a key's sum of ``amount`` (null: 0) is below
+    ``target``; the row that crosses it still passes. Within a batch rows count in order of ``order`` (null: last), however
+    many a key has; ``cell`` divides that order into stretches, for integers those of CELL values. Kept from batch to
+    batch is one sum a key, each batch's in a folder of its own."""
+    picked = rows.select(key, order, amount)
+    at = F.coalesce(F.floor(F.col(order) / CELL) if cell is None else cell, F.lit((1 << 63) - 1))
+
+    def passing(batch: DataFrame, number: int, folder: str) -> DataFrame:
+        # a struct, as a null key is one, too; cut: what a stream's batch comes from must run only once
+        new = cut(batch.select(F.struct(key).alias("__key"), key, order, amount, F.coalesce(amount, F.lit(0)).alias("__amount"), at.cast("bigint").alias("__cell")))
+        sums = new.select("__key", "__amount")
+        if number:
+            # the sum so far goes before all rows of its key
+            earlier = batch.sparkSession.read.parquet(f"{folder}/sums/batch={number - 1}")
+            sums = sums.unionByName(earlier)
+            new = new.withColumn("__new", F.lit(True)).unionByName(earlier.withColumn("__cell", F.lit(-1 << 63).cast("bigint")), allowMissingColumns=True)
+        else:
+            new = new.withColumn("__new", F.lit(True))
+        sums.groupBy("__key").agg(F.sum("__amount").alias("__amount")).write.mode("overwrite").parquet(f"{folder}/sums/batch={number}")
+        summed = running_before(new, ["__key"], "__cell", [F.col(order), F.col(amount)], F.col("__amount"), "__before")
+        return summed.where(F.col("__new") & (F.col("__before") < target)).select(key, order, amount)
+
+    return run_available(picked, each=passing).drop("__batch")
