@@ -7,15 +7,17 @@ around it: character n-gram models of sentences with a slot and of sentences tha
 text a log likelihood ratio; windows in which its mean is positive are residue. A text is excluded if they cover most of
 it, so one that talks about errors in a sentence or two stays.
 
-The models start from the seeds of residue_seeds.py and a bounded sample of the corpus (SAMPLE_DOCS texts of at most
-SAMPLE_CHARS characters). Texts of the sample that the first models call residue then move from the natural to the
-residue model, and all are fitted again. Every text is scored whole, by the same fixed-size tables.
+The models start from the seeds of residue_seeds.py and all texts of the corpus, each distinct normal() text once, so that
+a page with many copies isn't taken for prose. Texts that the first models call residue then move from the natural to the
+residue model, and all are fitted again. Executors count n-grams and judge texts; the driver has fixed-size tables only.
+Every text is scored whole.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,9 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.llm import residue_seeds as seeds
-from colloquy.session import read_table
+from colloquy.session import checkpoint_dir, read_table
 
-SAMPLE_DOCS, SAMPLE_CHARS, ROUNDS = 4_000, 20_000, 3
+ROUNDS = 3
 BITS, ORDERS = 18, (2, 3, 4)
 #: Pseudo-count; characters in a window; least mean log ratio of a window that is residue; least share covered.
 ALPHA, WINDOW, LEAST_RATIO, LEAST_COVER = 0.5, 24, 0.25, 0.44
@@ -82,12 +84,20 @@ def fields_of(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def codes_of(text: str) -> np.ndarray:
-    """Code points of the text in lower case, without markup, runs of white space as one space, digits as 0."""
-    text = re.sub(r"\d", "0", re.sub(r"\s+", " ", MARKUP.sub(" ", text))).lower()
+def normal(text: str) -> str:
+    """The text in lower case, without markup, runs of white space as one space, digits as 0."""
+    return re.sub(r"\d", "0", re.sub(r"\s+", " ", MARKUP.sub(" ", text))).lower()
+
+
+def points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
+def codes_of(text: str) -> np.ndarray:
+    """Code points of the normal() text."""
+    return points(normal(text))
+
+
 def grams(codes: np.ndarray, n: int) -> np.ndarray:
     """Table place of the n-gram that starts at each position."""
     h = np.full(max(0, len(codes) - n + 1), 0x9E3779B97F4A7C15 + n, dtype=np.uint64)
@@ -99,7 +109,7 @@ def grams(codes: np.ndarray, n: int) -> np.ndarray:
 
 def counted(texts: list[np.ndarray]) -> np.ndarray:
     """Counts of the texts' n-grams, one row for each order; ``texts`` has the codes_of() of each."""
-    table = np.zeros((len(ORDERS), 1 << BITS), dtype=np.float32)
+    table = np.zeros((len(ORDERS), 1 << BITS))
     parts, size = [], 0
     for k, t in enumerate(texts):
         parts += [t, BLANK]
@@ -107,7 +117,8 @@ def counted(texts: list[np.ndarray]) -> np.ndarray:
         if size > CHUNK or k == len(texts) - 1:
             codes = np.concatenate(parts)
             for row, n in zip(table, ORDERS, strict=True):
-                row += np.bincount(grams(codes, n), minlength=1 << BITS)
+                for at in range(0, len(codes), CHUNK):
+                    row += np.bincount(grams(codes[at : at + CHUNK + n - 1], n), minlength=1 << BITS)
             parts, size = [], 0
     return table
 
@@ -195,39 +206,125 @@ class Models:
         return n
 
 
-def fit(sample: list[str]) -> Models:
-    """Models from the seeds and a sample of whole texts, without labels; each language has its own, so that a rare one
-    isn't taken for residue."""
-    texts = by_language(sample)
+#: Kinds of residue: Latin filler, other filler, notices.
+KINDS = 3
+
+
+def fitted(counts: dict[str, np.ndarray], odd_of: Callable[[Models], dict[str, list[np.ndarray]]]) -> Models:
+    """Models from the seeds and a corpus without labels; each language has its own, so that a rare one isn't taken for
+    residue. ``counts``: by language, of the corpus's distinct texts; ``odd_of`` gives those of the texts that models call
+    residue, by language and kind."""
     seed = {k: by_language(getattr(seeds, k).strip().split("\n")) for k in ("FILLER", "NOTICES", "MENTIONS", "SLOTS", "QUOTES")}
+    start = {x: {k: counted(v[x]) for k, v in seed.items()} for x in LANGUAGES}
     latin = counted([codes_of(seeds.LATIN)])
     known = Models({}, {})
     for x in LANGUAGES:
-        start = {k: counted(v[x]) for k, v in seed.items()}
         # of the quotes' seeds there are more; neither kind is to be preferred for that
-        even = np.minimum(1, start["SLOTS"].sum(axis=1) / start["QUOTES"].sum(axis=1))[:, None]
-        known.quotes[x] = ratio(start["QUOTES"] * even, start["SLOTS"])
-        kinds = [latin, start["FILLER"], start["NOTICES"]]
-        now, all_counts, doubtful = kinds, counted(texts[x]), texts[x]
-        for step in range(ROUNDS + 1):
+        even = np.minimum(1, start[x]["SLOTS"].sum(axis=1) / start[x]["QUOTES"].sum(axis=1))[:, None]
+        known.quotes[x] = ratio(start[x]["QUOTES"] * even, start[x]["SLOTS"])
+    odd: dict[str, list[np.ndarray]] = {}
+    for step in range(ROUNDS + 1):
+        for x in LANGUAGES:
+            kinds, base, mentions = [latin, start[x]["FILLER"], start[x]["NOTICES"]], counts[x], start[x]["MENTIONS"]
+            if step:
+                kinds, base = [k + o for k, o in zip(kinds, odd[x], strict=True)], base - sum(odd[x])
             # mentions weigh as much as a fiftieth of the prose, so that the models know them
-            base = all_counts if step == 0 else all_counts - odd_counts
-            base = base + start["MENTIONS"] * max(1.0, base.sum() / start["MENTIONS"].sum() / 50)
-            known.residue[x] = [ratio(k, base, ATTESTED) for k in now]
-            if step == ROUNDS:
-                break
-            odd: list[list[np.ndarray]] = [[] for _ in kinds]
-            cover = [known.coverage(t, x) for t in doubtful]
-            for t, c in zip(doubtful, cover, strict=True):
-                if c >= LEAST_COVER:
-                    odd[int(np.argmax(score_sums(t, *known.residue[x])))].append(t)
-            # texts without a single window of residue are prose, and aren't asked again
-            doubtful = [t for t, c in zip(doubtful, cover, strict=True) if c > 0]
-            odd_counts = sum(counted(o) for o in odd)
-            now = [k + counted(o) for k, o in zip(kinds, odd, strict=True)]
+            base = base + mentions * max(1.0, base.sum() / mentions.sum() / 50)
+            known.residue[x] = [ratio(k, base, ATTESTED) for k in kinds]
+        if step < ROUNDS:
+            odd = odd_of(known)
     return known
 
 
+def judged(models: Models, language: str, codes: np.ndarray) -> tuple[float, int]:
+    """coverage(), and the kind of a text that is residue; -1 of any other."""
+    cover = models.coverage(codes, language)
+    return cover, int(np.argmax(score_sums(codes, *models.residue[language]))) if cover >= LEAST_COVER else -1
+
+
+def fit(texts: list[str]) -> Models:
+    """Models of texts in memory."""
+    doubtful: dict[str, list[np.ndarray]] = {x: [] for x in LANGUAGES}
+    for x, t in dict.fromkeys((language_of(t), normal(t.strip())) for t in texts):
+        doubtful[x].append(points(t))
+
+    def odd_of(known: Models) -> dict[str, list[np.ndarray]]:
+        out = {}
+        for x in LANGUAGES:
+            verdicts = [judged(known, x, t) for t in doubtful[x]]
+            out[x] = [counted([t for t, (_, kind) in zip(doubtful[x], verdicts, strict=True) if kind == k]) for k in range(KINDS)]
+            # texts without a single window of residue are prose, and aren't asked again
+            doubtful[x] = [t for t, (cover, _) in zip(doubtful[x], verdicts, strict=True) if cover > 0]
+        return out
+
+    return fitted({x: counted(v) for x, v in doubtful.items()}, odd_of)
+
+
+def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        texts = b.column("text").to_pylist()
+        yield pa.record_batch([pa.array([language_of(t) for t in texts], pa.string()), pa.array([normal(t.strip()) for t in texts], pa.string())], ["language", "text"])
+
+
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """n-gram counts of (language, kind, text): slot is the place in the tables of all languages and kinds."""
+    tables: dict[int, np.ndarray] = {}
+    for b in batches:
+        texts: dict[int, list[np.ndarray]] = {}
+        for x, kind, t in zip(*(b.column(c).to_pylist() for c in ("language", "kind", "text")), strict=True):
+            texts.setdefault(LANGUAGES.index(x) * KINDS + kind, []).append(points(t))
+        for k, v in texts.items():
+            tables[k] = tables[k] + counted(v) if k in tables else counted(v)
+    for k, table in tables.items():
+        slots = np.flatnonzero(table)
+        yield pa.record_batch([pa.array(slots + k * table.size, pa.int32()), pa.array(table.ravel()[slots].astype(np.int64))], ["slot", "n"])
+
+
+def _tables(texts: DataFrame) -> dict[str, list[np.ndarray]]:
+    """By language and kind the counts of (language, kind, text); what is collected has a fixed size at most."""
+    sums = texts.mapInArrow(_tallied, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(LANGUAGES) * KINDS * len(ORDERS) << BITS)
+    out[sums["slot"].to_numpy()] = sums["n"].to_numpy()
+    return dict(zip(LANGUAGES, map(list, out.reshape(len(LANGUAGES), KINDS, len(ORDERS), 1 << BITS)), strict=True))
+
+
+def fit_table(texts: DataFrame) -> Models:
+    """The models of fit() for a table with a column ``text`` without nulls. The distinct normal() texts are written to the
+    shared folder until the models are done, as every round reads them."""
+    spark = texts.sparkSession
+    folder = f"{checkpoint_dir(spark)}/texts-{uuid.uuid4().hex}"
+
+    def kept(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    doubtful = kept(texts.mapInArrow(_normalised, "language string, text string").distinct(), "all")
+    rounds = 0
+
+    def odd_of(known: Models) -> dict[str, list[np.ndarray]]:
+        nonlocal doubtful, rounds
+        shared = spark.sparkContext.broadcast(known)
+
+        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                pairs = [judged(shared.value, x, points(t)) for x, t in zip(b.column("language").to_pylist(), b.column("text").to_pylist(), strict=True)]
+                # texts without a single window of residue are prose, and aren't asked again
+                rows = b.filter(pa.array([cover > 0 for cover, _ in pairs], pa.bool_()))
+                yield pa.record_batch([*rows.columns, pa.array([kind for cover, kind in pairs if cover > 0], pa.int32())], ["language", "text", "kind"])
+
+        rounds += 1
+        verdicts = kept(doubtful.mapInArrow(judge, "language string, text string, kind int"), f"round-{rounds}")
+        shared.destroy()
+        doubtful = verdicts.select("language", "text")
+        return _tables(verdicts.where("kind >= 0"))
+
+    try:
+        return fitted({x: t[0] for x, t in _tables(doubtful.select("language", F.lit(0).alias("kind"), "text")).items()}, odd_of)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def residue(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``fields`` (unfilled template fields), ``coverage`` (share of residue windows), ``is_residue``.
 
@@ -236,11 +333,7 @@ def residue(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     the seeds.
     """
     rows = documents.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    usable = rows.where(F.length(F.trim("text")).between(1, SAMPLE_CHARS))
-    n = usable.count()
-    if n > SAMPLE_DOCS:
-        usable = usable.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(n)) < SAMPLE_DOCS)
-    models = fit([r["text"] for r in usable.orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(SAMPLE_DOCS).select("text").collect()])
+    models = fit_table(rows.where(F.length(F.trim("text")) > 0).select("text"))
     shared = documents.sparkSession.sparkContext.broadcast(models)  # three tables of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -139,6 +139,25 @@ def test_residue_table(spark):
     assert R.residue(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_models_know_all_texts(spark):
+    """Of a table of more than 4,000 texts, long ones and copies among them, all count, each distinct text once."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where(F.length(F.trim("text")) > 0).orderBy("doc_id").limit(4_200).select("text").collect()]
+    texts += [" ".join(texts[k : k + 60]) for k in range(0, 120, 60)]
+    m = R.fit(texts)
+    rows = [(k, t, "s", "x") for k, t in enumerate(texts + texts[:900])]
+    got = {r.doc_id: r.coverage for r in R.residue(spark.createDataFrame(rows, DOCS)).where("pmod(doc_id, 9) = 0").collect()}
+    assert got == {k: m.coverage(R.codes_of(t.strip()), R.language_of(t)) for k, t, _, _ in rows if k % 9 == 0}
+
+
+def test_copies_of_a_notice_are_no_prose(spark):
+    notice = "Error 521: the page you requested could not be reached. Quote ticket 4471 and try again later."
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(F.length(F.trim("text")) > 0).select("doc_id", "text")
+    copies = [(10**7 + k, notice.replace("4471", str(4_000 + k))) for k in range(docs.count() // 2)]
+    both = docs.unionByName(spark.createDataFrame(copies, "doc_id bigint, text string"))
+    got = [r.is_residue for r in R.residue(both).where("doc_id >= 10000000").collect()]
+    assert len(got) == len(copies) and all(got)
+
+
 def test_held_out_accuracy(spark):
     """Fitted on one half of the documents, the verdicts on the other half agree with models fitted on that half."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(F.length(F.trim("text")) > 0)
