@@ -45,10 +45,12 @@ FIELD_WORDS = (
 ).split()
 FIELD_PARTS_JA = "入力 記入 挿入 ここに 名前 氏名 日付 タイトル 題名 リンク ゲスト名 番組名 概要 お名前".split()
 NAME = r"[A-Za-z_][\w.\-]+"
+#: Letters of scripts without spaces are \w, too, so \b doesn't tell where a name in ASCII ends.
+FROM, TO = r"(?<![A-Za-z0-9_])", r"(?![A-Za-z0-9_])"
 FIELD = re.compile(
-    rf"\{{\{{\{{?[ ]*[^{{}}\n]{{1,60}}?[ ]*\}}\}}\}}?|\{{%[^%\n]{{1,60}}%\}}|[#$]\{{[^{{}}\n]{{1,60}}\}}|\{{{NAME}\}}|<%=?[^%\n]{{1,60}}%>|%%{NAME}%%|%\({NAME}\)[sd]|%[A-Z_]{{3,}}%|@@{NAME}@@|__[A-Za-z](?:[\w.]*?[A-Za-z])?__(?!\w)|\[\[[^\[\]\n|]{{1,60}}\]\]"
-    rf"|\b(?:INSERT|ADD|ENTER|YOUR|FILL|TODO)_[A-Z_]+\b|\b[Xx][Xx]/[Xx][Xx]/[Xx]{{2,4}}\b|〇{{2,}}(?:（[^）\n]{{1,20}}）)?|&lt;[A-Za-z_][\w. \-]{{1,40}}&gt;"
-    r"|(?P<soft>\[[^\[\]\n]{1,60}\]|<[^<>\n]{1,60}>|\([^()\n]{1,60}\)|（[^（）\n]{1,40}）|［[^［］\n]{1,40}］|【[^【】\n]{1,40}】|＜[^＜＞\n]{1,40}＞)"
+    rf"\{{\{{\{{?[^{{}}\n]+\}}\}}\}}?|\{{%[^%\n]+%\}}|[#$]\{{[^{{}}\n]+\}}|\{{{NAME}\}}|<%=?[^%\n]+%>|%%{NAME}%%|%\({NAME}\)[sd]|%[A-Z_]{{3,}}%|@@{NAME}@@|__[A-Za-z](?:[\w.]*?[A-Za-z])?__{TO}|\[\[[^\[\]\n|]+\]\]"
+    rf"|{FROM}(?:INSERT|ADD|ENTER|YOUR|FILL|TODO)_[A-Z_]+{TO}|{FROM}[Xx][Xx]/[Xx][Xx]/[Xx]{{2,4}}{TO}|〇{{2,}}(?:（[^（）\n]+）)?|&lt;[A-Za-z_][\w. \-]+&gt;"
+    r"|(?P<soft>\[[^\[\]\n]+\]|<[^<>\n]+>|\([^()\n]+\)|（[^（）\n]+）|［[^［］\n]+］|【[^【】\n]+】|＜[^＜＞\n]+＞)"
 )
 #: Letters and words that tell the languages apart.
 LANGUAGES = ("vi", "en", "es", "ja")
@@ -56,7 +58,7 @@ LETTER, KANA = re.compile(r"[^\W\d_]"), re.compile(r"[\u3040-\u30ff\u4e00-\u9fff
 VIETNAMESE, SPANISH_SIGNS = re.compile(r"[ăâđêôơưạảấầẩẫậắằẳẵặẹẻẽếềểễệỉĩịọỏốồổỗộớờởỡợụủứừửữựỳỵỷỹàèìòùãõ]"), re.compile(r"[ñ¿¡áéíóú]")
 SPANISH = frozenset("el la los las de del y en que un una es se no por con su para al lo como más este esta todo nos hola".split())
 ENGLISH = frozenset("the of and a to in is it that was for on with as at by this you we be are or not from have page error".split())
-WORD = re.compile(r"\w+")
+WORD, PART = re.compile(r"\w+"), re.compile(r"[^\W_]+")
 BLANK = np.array([32], dtype=np.uint32)
 SENTENCE_END = re.compile(r"[.!?…]\s|[。！？\n|]")
 MARKUP = re.compile(r"<[^<>\n]{1,200}>")
@@ -78,7 +80,7 @@ def fields_of(text: str) -> list[tuple[int, int]]:
                     continue
             if not any(p in inner for p in FIELD_PARTS_JA):
                 # round brackets hold ordinary asides: only capitals there
-                if len(words) > 6 or not any(w in FIELD_WORDS for w in words) or soft[0] == "(" and inner != inner.upper():
+                if not any(w in FIELD_WORDS for w in PART.findall(inner.lower())) or soft[0] == "(" and inner != inner.upper():
                     continue
         out.append(m.span())
     return out

@@ -126,6 +126,23 @@ def test_coverage(models, text, want):
     assert (models.coverage(R.codes_of(text.strip()), R.language_of(text)) >= R.LEAST_COVER) == want
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "__SHOW_NAME__へようこそ。",
+        "公開日はXX/XX/XXXXです。",
+        "提供はINSERT_SPONSORです。",
+        "Today's guest is [GUEST_NAME].",
+        "Welcome back to <episode_title>.",
+        "About the guest: [Insert a short description of the guest here].",
+        "Brought to you by {{ " + "sponsor or " * 12 + "nobody }}.",
+        "Today's guest is [" + "guest name and " * 8 + "title].",
+    ],
+)
+def test_fields_at_kana_with_underscores_and_of_any_length(models, text):
+    assert models.unfilled(text) == 1
+
+
 def test_long_texts_are_scored_whole(models):
     prose = "Khách mời bắt đầu với làm gốm từ năm 1998 và chưa từng dừng lại. "
     text = prose * (2 * R.CHUNK // len(prose)) + "Chào {{ten_khach_moi}}, cảm ơn bạn đã lắng nghe!"
