@@ -35,6 +35,35 @@ def run_available(stream: DataFrame, mode: str = "append", each: Callable[[DataF
     return spark.read.option("recursiveFileLookup", "true").schema(stream.schema.add("__batch", T.IntegerType())).parquet(f"{folder}/out")
 
 
+def run_to_end(rows: DataFrame, operator: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
+    """As run_available(), of ``operator`` over the rows and, after all that are there now, a mark of the end for each
+    ``key``: a row with nulls in its other columns. The marks are a second source, empty in the first run; the query then
+    goes on from its checkpoint with the marks of the keys that came."""
+    spark = rows.sparkSession
+    folder = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    marks, kinds = f"{folder}/marks", rows.schema
+    nothing = spark.createDataFrame([], T.StructType([kinds[key]]))
+    nothing.write.parquet(marks)
+    ends = spark.readStream.schema(nothing.schema).parquet(marks).select(*[F.col(c.name) if c.name == key else F.lit(None).cast(c.dataType).alias(c.name) for c in kinds])
+
+    def seen(batch: DataFrame, number: int) -> None:
+        batch.select(key).distinct().write.mode("overwrite").parquet(f"{folder}/keys/batch={number}")
+
+    stream = operator(rows.unionByName(ends))
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.withColumn("__batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+
+    def run(what: DataFrame, name: str, each: Callable[[DataFrame, int], None]) -> None:
+        what.writeStream.outputMode("append").option("checkpointLocation", f"{folder}/{name}").trigger(availableNow=True).foreachBatch(each).start().awaitTermination()
+
+    run(stream, "checkpoint", save)
+    run(rows.select(key), "checkpoint-keys", seen)
+    spark.read.option("recursiveFileLookup", "true").schema(nothing.schema).parquet(f"{folder}/keys").where(F.col(key).isNotNull()).distinct().write.mode("append").parquet(marks)
+    run(stream, "checkpoint", save)
+    return spark.read.option("recursiveFileLookup", "true").schema(stream.schema.add("__batch", T.IntegerType())).parquet(f"{folder}/out")
+
+
 def once(rows: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
     """Rows whose keys weren't seen within the watermark's delay: state is bounded by it."""
     return rows.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
@@ -71,11 +100,13 @@ def dialogue_runs(turns: DataFrame, gap_ms: int) -> DataFrame:
                 out.append((key[0], now[0], now[1], now[2], a, b, now[5], now[6]))
 
         for row in pd.concat(list(frames)).sort_values(["start_ms", "turn_id"], kind="stable").itertuples():
-            speaker, start, end = row.speaker, int(row.start_ms), int(row.end_ms)
+            speaker = row.speaker
             if speaker is None:
                 close()
                 now = None
-            elif now is None:
+                continue
+            start, end = int(row.start_ms), int(row.end_ms)
+            if now is None:
                 now = [0, 0, 1, speaker, None, start, end]
             elif start - now[6] >= gap_ms:
                 close()

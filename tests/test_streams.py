@@ -6,7 +6,7 @@ import random
 import pyarrow as pa
 import pyarrow.parquet as pq
 
-from colloquy.plans import streams
+from colloquy.plans import dialogues, streams
 from colloquy.streaming import turns as T
 
 
@@ -49,3 +49,10 @@ def test_cutoff_over_batches(spark, tmp_path):
     stream = T.read_stream(spark, str(tmp_path / "rows"), files_per_trigger=1)
     got = [tuple(r) for r in T.until_target(stream, "k", "i", "n", 400).collect()]
     assert by_text(got) == by_text(passing(all_rows, 400))
+
+
+def test_last_runs_are_emitted(spark, data):
+    """The stream to its end has all that the batch query has, the runs that streaming_runs leaves open among it."""
+    got = sorted(map(tuple, streams.streaming_runs_to_end(spark, data).collect()))
+    want = sorted(map(tuple, dialogues.two_speaker_runs(spark, data).select("episode_key", "group_no", "run_no", "n_turns", "speaker_a", "speaker_b", "start_ms", "end_ms").collect()))
+    assert got == want and len(got) > streams.streaming_runs(spark, data).count()
