@@ -48,7 +48,7 @@ def manifest(spark: SparkSession, c: C.Config) -> dict[str, DataFrame]:
 
 
 def benchmark(spark: SparkSession, c: C.Config) -> dict[str, DataFrame]:
-    return {"metrics": metrics.channel_metrics(spark, c.data), "summary": metrics.benchmark_summary(spark, c.data), "turn_taking": dialogues.turn_taking_stats(spark, c.data)}
+    return {"metrics": metrics.leading_channel_metrics(spark, c.data), "summary": metrics.leading_benchmark_summary(spark, c.data), "turn_taking": dialogues.leading_turn_taking_stats(spark, c.data)}
 
 
 PHASES = {"collect": [collect], "segment": [segment], "diarize": [diarize], "separate": [separate], "filter": [curate_phase], "manifest": [manifest], "benchmark": [benchmark]}

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colloquy.functions.keys import SPEAKER_NUMBER_SQL, millis, speaker_number, usable_bounds
 from colloquy.operators import sequence as S
 from colloquy.operators.intervals import overlap_total, short_overlapping
+from colloquy.operators.prefix import hot_from, join_hot
 from colloquy.operators.sweep import covered_periods
 from colloquy.session import cut, read_table
 
@@ -71,6 +73,18 @@ def tracks(spark: SparkSession, d: str) -> DataFrame:
     return p.select("episode_key", "speaker", F.col("period_start").alias("start_ms"), F.col("period_end").alias("end_ms"))
 
 
+def leading_tracks(spark: SparkSession, d: str) -> DataFrame:
+    """As tracks(), of the two speakers with most turn time in an episode, whatever their numbers: 0 has most; of equal
+    ones the lesser number comes first."""
+    t = turns(spark, d).where("episode_key is not null").distinct().withColumn("__who", F.struct("episode_key", "speaker"))
+    spoken = cut(t.groupBy("__who").agg(F.sum(F.col("end_ms") - F.col("start_ms")).alias("ms"), F.count("*").alias("n")))
+    rank = F.row_number().over(W.partitionBy("__who.episode_key").orderBy(F.desc("ms"), "__who.speaker")) - 1  # over speakers
+    two = spoken.select("__who", "n", rank.alias("track")).where("track < 2")
+    hot = hot_from(spoken.agg(F.sum("n")).first()[0] or 0)
+    p = covered_periods(join_hot(t.drop("speaker"), two, "__who", "n", hot).select("episode_key", F.col("track").alias("speaker"), "start_ms", "end_ms"), ["episode_key", "speaker"], "start_ms", "end_ms")
+    return p.select("episode_key", "speaker", F.col("period_start").alias("start_ms"), F.col("period_end").alias("end_ms"))
+
+
 def turn_exchanges(spark: SparkSession, d: str, t: DataFrame | None = None) -> DataFrame:
     return S.exchanges(t or tracks(spark, d)).groupBy("episode_key").agg(F.count("*").alias("exchanges"), F.count_if("overlaps").alias("overlapping"))
 
@@ -86,10 +100,10 @@ def backchannels(spark: SparkSession, d: str, t: DataFrame | None = None) -> Dat
     return short_overlapping(a, b, "episode_key").withColumn("speaker", F.lit(0)).unionByName(short_overlapping(b, a, "episode_key").withColumn("speaker", F.lit(1)))
 
 
-def turn_taking_stats(spark: SparkSession, d: str) -> DataFrame:
+def turn_taking_stats(spark: SparkSession, d: str, t: DataFrame | None = None) -> DataFrame:
     """Per episode: exchanges and backchannels a minute, mean turn, share of simultaneous speech and of overlapping
     exchanges. The duration is the end of the last turn."""
-    t = cut(tracks(spark, d))
+    t = cut(t or tracks(spark, d))
     base = t.groupBy("episode_key").agg(F.count("*").alias("n"), F.sum(F.col("end_ms") - F.col("start_ms")).alias("spoken"), F.max("end_ms").alias("duration"))
     back = backchannels(spark, d, t).groupBy("episode_key").agg(F.count("*").alias("back"))
     j = base.join(turn_exchanges(spark, d, t), "episode_key", "left").join(overlap_duration(spark, d, t), "episode_key", "left").join(back, "episode_key", "left").fillna(0)
@@ -104,6 +118,22 @@ def turn_taking_stats(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def leading_turn_exchanges(spark: SparkSession, d: str) -> DataFrame:
+    return turn_exchanges(spark, d, leading_tracks(spark, d))
+
+
+def leading_overlap_duration(spark: SparkSession, d: str) -> DataFrame:
+    return overlap_duration(spark, d, cut(leading_tracks(spark, d)))
+
+
+def leading_backchannels(spark: SparkSession, d: str) -> DataFrame:
+    return backchannels(spark, d, cut(leading_tracks(spark, d)))
+
+
+def leading_turn_taking_stats(spark: SparkSession, d: str) -> DataFrame:
+    return turn_taking_stats(spark, d, leading_tracks(spark, d))
+
+
 _T = f"""
 t AS MATERIALIZED (SELECT DISTINCT episode_key, seg_id AS turn_id, {SPEAKER_NUMBER_SQL.format(c="speaker")} AS speaker,
  CAST(round(start_sec * 1000) AS BIGINT) AS s, CAST(round(end_sec * 1000) AS BIGINT) AS e FROM segments
@@ -141,6 +171,9 @@ n{x} AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach THEN 1 ELSE 0 END) O
 p{x} AS MATERIALIZED (SELECT {k}, min(s) AS s, max(e) AS e FROM n{x} GROUP BY {k}, part)"""
 _U = _T + "," + _PERIODS.format(x="u", k="episode_key", src="t")
 _AB = _T + ", ab AS (SELECT * FROM t WHERE speaker IN (0, 1))," + _PERIODS.format(x="a", k="episode_key, speaker", src="ab")
+_NUMBERED = "ab AS (SELECT * FROM t WHERE speaker IN (0, 1))"
+_LEADING = """le AS (SELECT episode_key, speaker, CAST(row_number() OVER (PARTITION BY episode_key ORDER BY ms DESC, speaker) - 1 AS INTEGER) AS k FROM (SELECT episode_key, speaker, sum(e - s) AS ms FROM t GROUP BY 1, 2)),
+ab AS (SELECT t.episode_key, t.turn_id, le.k AS speaker, t.s, t.e FROM t JOIN le ON le.episode_key = t.episode_key AND le.speaker = t.speaker WHERE k < 2)"""
 _X = _AB + """,
 x1 AS (SELECT *, lag(speaker) OVER w AS ps, lag(e) OVER w AS pe FROM pa WINDOW w AS (PARTITION BY episode_key ORDER BY s, e, speaker)),
 ex AS (SELECT episode_key, count(*) AS exchanges, count(*) FILTER (s < pe) AS overlapping FROM x1 WHERE speaker <> ps GROUP BY 1),
@@ -168,4 +201,5 @@ SQL = {
       coalesce(overlap_ms, 0) / duration * 100.0::DOUBLE AS simultaneous_pct, CASE WHEN coalesce(exchanges, 0) > 0 THEN overlapping / exchanges * 100.0::DOUBLE ELSE 0.0::DOUBLE END AS overlapping_pct
       FROM q LEFT JOIN ex USING (episode_key) LEFT JOIN ov USING (episode_key) LEFT JOIN h USING (episode_key)""",
 }
-QUERIES = {f.__name__: f for f in (gap_split, two_speaker_runs, long_dialogue_chunks, speaker_balance, valid_dialogues, dialogues_of_rich_episodes, interval_union, relabel_speakers, pack_chunks, turn_exchanges, overlap_duration, backchannels, turn_taking_stats)}
+SQL |= {f"leading_{n}": SQL[n].replace(_NUMBERED, _LEADING) for n in ("turn_exchanges", "overlap_duration", "backchannels", "turn_taking_stats")}
+QUERIES = {f.__name__: f for f in (gap_split, two_speaker_runs, long_dialogue_chunks, speaker_balance, valid_dialogues, dialogues_of_rich_episodes, interval_union, relabel_speakers, pack_chunks, turn_exchanges, overlap_duration, backchannels, turn_taking_stats, leading_turn_exchanges, leading_overlap_duration, leading_backchannels, leading_turn_taking_stats)}

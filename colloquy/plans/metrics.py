@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from colloquy.functions import exprs as E
 from colloquy.models import run_stage
 from colloquy.operators import metrics as M
-from colloquy.plans.dialogues import _AB, _U, tracks, turns
+from colloquy.plans.dialogues import _AB, _LEADING, _NUMBERED, _U, leading_tracks, tracks, turns
 from colloquy.session import read_table
 from colloquy.sources.labels import speaker_labels
 
@@ -22,20 +22,28 @@ def activity_islands(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.col("task_id").cast("bigint").alias("task_id"), F.col("n").alias("stretches"), "frames")
 
 
-def channel_metrics(spark: SparkSession, d: str) -> DataFrame:
+def channel_metrics(spark: SparkSession, d: str, t: DataFrame | None = None) -> DataFrame:
     """Seconds spoken on either channel, null where there is none, their mean, and a status."""
-    t = tracks(spark, d).groupBy("episode_key").agg(*[F.sum(F.when(F.col("speaker") == k, F.col("end_ms") - F.col("start_ms"))).alias(c) for k, c in ((0, "a"), (1, "b"))])
+    t = (t or tracks(spark, d)).groupBy("episode_key").agg(*[F.sum(F.when(F.col("speaker") == k, F.col("end_ms") - F.col("start_ms"))).alias(c) for k, c in ((0, "a"), (1, "b"))])
     e = read_table(spark, d, "episodes").select("episode_key", "bit_rate").join(t, "episode_key", "left")
     a, b = F.col("a") / 1000.0, F.col("b") / 1000.0
     return e.select("episode_key", a.alias("spoken_a"), b.alias("spoken_b"), E.mean_of(a, b).alias("spoken_mean"), E.metric_status(F.coalesce("a", "b").isNotNull(), F.col("bit_rate").isNull()).alias("metric_status"))
 
 
-def benchmark_summary(spark: SparkSession, d: str) -> DataFrame:
-    c = channel_metrics(spark, d).join(read_table(spark, d, "episodes").select("episode_key", F.round(F.col("duration_sec") * 1000).cast("bigint").alias("ms")), "episode_key")
+def benchmark_summary(spark: SparkSession, d: str, t: DataFrame | None = None) -> DataFrame:
+    c = channel_metrics(spark, d, t).join(read_table(spark, d, "episodes").select("episode_key", F.round(F.col("duration_sec") * 1000).cast("bigint").alias("ms")), "episode_key")
     n, ok = F.count("*"), F.count_if(F.col("metric_status") == "ok")
     return c.agg(n.alias("samples"), F.sum(F.coalesce("ms", F.lit(0))).alias("ms"), ok.alias("ok"), F.count_if(F.col("metric_status") == "partial").alias("partial"), F.count_if(F.col("metric_status") == "unavailable").alias("unavailable"), F.when((n > 0) & (n == ok), "ok").otherwise("partial").alias("status"))
 
 
+def leading_channel_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return channel_metrics(spark, d, leading_tracks(spark, d))
+
+
+def leading_benchmark_summary(spark: SparkSession, d: str) -> DataFrame:
+    return benchmark_summary(spark, d, leading_tracks(spark, d))
+
+
 def embedding_consistency(spark: SparkSession, d: str) -> DataFrame:
     m = M.mean_pair_cosine(read_table(spark, d, "embeddings"), "label", "embedding")
     return m.select("label", "n", F.round("mean_cosine", 6).alias("mean_cosine"))
@@ -96,4 +104,5 @@ SQL = {
       SELECT episode_key, 'speakers' AS track, line FROM x UNION ALL SELECT episode_key, label, line FROM x
       UNION ALL SELECT episode_key, 'vad', {_LABEL.format(c="s")} || chr(9) || {_LABEL.format(c="e")} || chr(9) || 'speech' FROM pu""",
 }
-QUERIES = {f.__name__: f for f in (activity_islands, channel_metrics, benchmark_summary, embedding_consistency, embedding_distinctiveness, speaker_linking, label_files, diarize_stage, separate_stage, score_stage)}
+SQL |= {f"leading_{n}": SQL[n].replace(_NUMBERED, _LEADING) for n in ("channel_metrics", "benchmark_summary")}
+QUERIES = {f.__name__: f for f in (activity_islands, channel_metrics, benchmark_summary, leading_channel_metrics, leading_benchmark_summary, embedding_consistency, embedding_distinctiveness, speaker_linking, label_files, diarize_stage, separate_stage, score_stage)}
