@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,18 @@ def benchmark(spark: SparkSession, c: C.Config) -> dict[str, DataFrame]:
 PHASES = {"collect": [collect], "segment": [segment], "diarize": [diarize], "separate": [separate], "filter": [curate_phase], "manifest": [manifest], "benchmark": [benchmark]}
 PHASES["end2end"] = [collect, segment, curate_phase, manifest, benchmark]
 
+#: Settings that a step reads besides data, output and spark.
+READS = {segment: {"gap_seconds", "max_speaker_share", "min_dialogue_seconds", "max_dialogue_seconds", "min_dialogues"}, diarize: {"diarization"}, separate: {"separation"}}
+
+
+def unread(phase: str, c: C.Config) -> list[str]:
+    """Settings that differ from their defaults but change nothing: of end2end those that none of its steps reads, of a
+    phase alone those that no phase reads, so that phases can share a file."""
+    steps = PHASES[phase] if phase == "end2end" else READS
+    read = {"data", "output", "spark"}.union(*(READS.get(s, set()) for s in steps))
+    given, usual = asdict(c), asdict(C.Config())
+    return [k for k, v in given.items() if k not in read and v != usual[k]]
+
 
 def main(args: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="colloquy", description=__doc__)
@@ -62,6 +75,8 @@ def main(args: list[str] | None = None) -> int:
     parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE")
     given = parser.parse_args(args)
     c = C.load(given.config, given.set)
+    if ignored := unread(given.phase, c):
+        parser.error(f"{given.phase} doesn't read {', '.join(ignored)}")
     spark = build_session("colloquy", None, **c.spark)
     for step in PHASES[given.phase]:
         write_reports(c.output, **step(spark, c))

@@ -25,3 +25,15 @@ def test_phase(spark, data, tmp_path):
         for step in PHASES[name]:
             assert all(df.columns for df in step(spark, c).values())
     assert list((tmp_path / "manifest").glob("base_lang=*"))
+
+
+def test_settings_that_change_nothing_are_refused(capsys):
+    from colloquy.__main__ import main, unread
+
+    for setting in ("target_hours=3", 'languages=["vi"]', "min_sample_rate=8000", "diarization=other"):
+        with pytest.raises(SystemExit):
+            main(["end2end", "--set", setting])
+        assert setting.partition("=")[0] in capsys.readouterr().err
+    c = C.load(None, ["gap_seconds=9", "diarization=other", "data=x", "spark.y=2"])
+    assert unread("diarize", c) == [] and unread("end2end", c) == ["diarization"]
+    assert unread("collect", C.load(None, ["writers=2"])) == ["writers"]
