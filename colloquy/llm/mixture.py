@@ -111,21 +111,33 @@ def _settled(dealt: DataFrame, wanted: dict[str, int]) -> DataFrame:
     return joined.select("doc_id", "source", "n_tokens", (F.col("repeats") + F.coalesce("change", F.lit(0))).alias("repeats"))
 
 
-def shares_of(mixed: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per target source: target_share, documents, tokens and actual_share of the mix; 0 where the mix has none of it."""
+def shares_of(mixed: DataFrame, targets: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
+    """Per target source: target_share, documents, tokens and actual_share of the mix; 0 where the mix has none of it.
+    With ``lengths``, what the mix was made of, also available_tokens, used_tokens, each document once, and their
+    quotient used_part, 0 where nothing is available."""
     used = mixed.groupBy("source").agg(F.count("*").alias("documents"), F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.max("repeats").alias("most_repeats"))
     joined = targets.select("source", "target_share", "max_repeats").join(used, "source", "left").fillna(0, ["documents", "tokens", "most_repeats"])
     all_tokens = F.sum("tokens").over(W.partitionBy(F.lit(0)))  # over the few targets
-    return joined.withColumn("actual_share", F.when(all_tokens > 0, F.col("tokens") / all_tokens).otherwise(0.0))
+    joined = joined.withColumn("actual_share", F.when(all_tokens > 0, F.col("tokens") / all_tokens).otherwise(0.0))
+    if lengths is None:
+        return joined
+    used_once = mixed.groupBy("source").agg(F.sum("n_tokens").alias("used_tokens"))
+    there = lengths.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"))
+    joined = joined.join(there, "source", "left").join(used_once, "source", "left").fillna(0, ["available_tokens", "used_tokens"])
+    return joined.withColumn("used_part", F.when(F.col("available_tokens") > 0, F.col("used_tokens") / F.nullif("available_tokens", F.lit(0))).otherwise(0.0))
+
+
+def _lengths(spark: SparkSession, d: str) -> DataFrame:
+    return cut(token_counts(read_table(spark, d, "documents"), keep=("source",)))
 
 
 def p8_mixed(spark: SparkSession, d: str) -> DataFrame:
-    lengths = cut(token_counts(read_table(spark, d, "documents"), keep=("source",)))
-    return mix(lengths, read_table(spark, d, "mix_targets"))
+    return mix(_lengths(spark, d), read_table(spark, d, "mix_targets"))
 
 
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
-    return shares_of(p8_mixed(spark, d), read_table(spark, d, "mix_targets"))
+    lengths, targets = _lengths(spark, d), read_table(spark, d, "mix_targets")
+    return shares_of(mix(lengths, targets), targets, lengths)
 
 
 SQL: dict[str, str] = {}

@@ -82,6 +82,14 @@ def test_mix(spark):
     assert {(r.source, r.repeats) for r in capped} == set(most.items())
 
 
+def test_used_part_of_the_corpus(spark):
+    lengths = spark.createDataFrame([(1, "a", 10), (2, "a", 30), (3, "b", 5), (4, None, 7)], "doc_id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.4, 2), ("c", 0.1, 1)], "source string, target_share double, max_repeats int")
+    mixed = spark.createDataFrame([(1, "a", 10, 1), (3, "b", 5, 2)], "doc_id bigint, source string, n_tokens bigint, repeats bigint")
+    got = {r.source: (r.tokens, r.available_tokens, r.used_tokens, r.used_part) for r in shares_of(mixed, targets, lengths).collect()}
+    assert got == {"a": (10, 40, 10, 0.25), "b": (10, 5, 5, 1.0), "c": (0, 0, 0, 0.0)}
+
+
 @pytest.fixture(scope="module")
 def models(spark, data):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(trim(text)) > 0").select("text").orderBy("doc_id").collect()]
