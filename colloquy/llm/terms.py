@@ -1,27 +1,37 @@
 """Frequency of every distinct term (problem 6).
 
 Heavy-light aggregation. Terms that are common in a bounded sample are broadcast; each task counts these in local arrays
-and sends one row per term it met. All other terms are summed within a batch and shuffled. Both tables are united. The
-sample decides only which way a term goes, never its count: both ways are exact.
+where the rows are read and sends one row per term it met. All other terms are summed within a task and shuffled. The two
+tables are united. The sample decides only which way a term goes, never its count: both ways are exact.
+
+Rows that repeat an id must not count twice, and only those cross the network: a pass over the ids alone finds the ids of
+two rows or more and writes them into a Bloom filter of fixed size. Rows it knows nothing of are counted on the spot; the
+others, with the few it takes for repeats wrongly, are made distinct by shuffle and counted then.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.session import read_table
+from colloquy.session import cut, read_table
 
 #: Rows of the sample in which heavy terms are looked for, the least share of them that makes a term heavy, and so,
 #: at most terms-per-item / share of them are broadcast.
 SAMPLE_ROWS, HEAVY_SHARE, MOST_HEAVY = 20_000, 0.005, 4_096
+#: Bits of the filter of ids that repeat, and how many an id sets. A full filter only sends more rows by shuffle.
+FILTER_BITS, PROBES = 1 << 25, 3
+#: Light terms a task holds before it passes their sums on.
+MOST_LIGHT = 200_000
 SPACE = re.compile(r"\s+")
 
 
@@ -46,62 +56,128 @@ def tag_terms(*documents: str | None) -> list[str]:
     return out
 
 
-def _extract(fields: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            columns = [b.column(1 + k).to_pylist() for k in range(fields)]
-            terms = [tag_terms(*x) for x in zip(*columns, strict=True)]
-            yield pa.record_batch([b.column(0).cast(pa.int64()), pa.array(terms, pa.list_(pa.string()))], ["id", "terms"])
+@dataclass
+class Ids:
+    """What a pass over the ids found: rows, distinct ids, and the filter of ids that repeat."""
 
-    return run
+    rows: int
+    items: int
+    words: np.ndarray
 
+    def repeated(self, hashes: np.ndarray) -> np.ndarray:
+        """Which rows may repeat an id, by the xxhash64 of their ids; false for every id of one row, but a few."""
+        out = np.ones(len(hashes), dtype=bool)
+        for k in range(PROBES):
+            at = (hashes.view(np.uint64) >> np.uint64(k * 20)) & np.uint64(64 * len(self.words) - 1)
+            out &= (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return out
 
-def _count(heavy: list[str]):
-    """Counts over rows sorted by id; of rows with the same id the first counts."""
-    at = {t: k for k, t in enumerate(heavy)}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        occurrences, items = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        last: int | None = None
-        for b in batches:
-            rare, rare_items = Counter(), Counter()
-            for item, terms in zip(b.column("id").to_pylist(), b.column("terms").to_pylist(), strict=True):
-                if item == last:
-                    continue
-                last = item
-                for t in terms:
-                    if (k := at.get(t)) is None:
-                        rare[t] += 1
-                    else:
-                        occurrences[k] += 1
-                for t in set(terms):
-                    if (k := at.get(t)) is None:
-                        rare_items[t] += 1
-                    else:
-                        items[k] += 1
-            yield pa.record_batch([pa.array(list(rare), pa.string()), pa.array([False] * len(rare), pa.bool_()), pa.array(list(rare.values()), pa.int64()), pa.array([rare_items[t] for t in rare], pa.int64())], ["term", "heavy", "occurrences", "items"])
-        met = np.flatnonzero(occurrences)
-        yield pa.record_batch([pa.array([heavy[k] for k in met], pa.string()), pa.array([True] * len(met), pa.bool_()), pa.array(occurrences[met]), pa.array(items[met])], ["term", "heavy", "occurrences", "items"])
-
-    return run
+def ids_of(rows: DataFrame) -> Ids:
+    """``rows``: id, h. Ids are shuffled, aggregated before; what is collected is at most the filter."""
+    per = rows.groupBy("id", "h").agg(F.count("*").alias("n"))
+    at = [F.shiftrightunsigned("h", k * 20).bitwiseAND(F.lit(FILTER_BITS - 1)) for k in range(PROBES)]
+    bits = [F.struct(F.shiftright(a, 6).alias("word"), F.expr("1L").alias("one"), a.bitwiseAND(F.lit(63)).cast("int").alias("bit"), F.lit(0).cast("bigint").alias("n")) for a in at]
+    own = F.struct(F.lit(-1).cast("bigint").alias("word"), F.expr("0L").alias("one"), F.lit(0).alias("bit"), F.col("n").alias("n"))
+    each = per.select(F.inline(F.when(F.col("n") > 1, F.array(own, *bits)).otherwise(F.array(own))))
+    sums = each.groupBy("word").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("bits"), F.count("*").alias("ids"), F.sum("n").alias("n")).toArrow()
+    word, bits_, ids, n = (sums.column(c).to_numpy() for c in ("word", "bits", "ids", "n"))
+    words, own_at = np.zeros(FILTER_BITS // 64, dtype=np.uint64), np.flatnonzero(word == -1)
+    words[word[word >= 0]] = bits_[word >= 0].view(np.uint64)
+    return Ids(int(n[own_at].sum()), int(ids[own_at].sum()), words)
+
+
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct terms of each row."""
+    for b in batches:
+        rows = zip(*(b.column(k).to_pylist() for k in range(2, b.num_columns)), strict=True)
+        yield pa.record_batch([pa.array([t for row in rows for t in set(tag_terms(*row))], pa.string())], ["term"])
+
+
+LIGHT, HEAVY, REPEATED = range(3)
+COUNTED = pa.schema([("way", pa.int32()), ("term", pa.string()), ("occurrences", pa.int64()), ("items", pa.int64()), ("id", pa.int64()), ("digest", pa.binary()), ("terms", pa.list_(pa.string()))])
+
+
+def _digest(row: tuple) -> bytes:
+    h = hashlib.blake2b(digest_size=16)
+    for text in row:
+        h.update(b"-" if text is None else b"+%d " % len(text) + text.encode("utf-8", "surrogatepass"))
+    return h.digest()
+
+
+def count_terms(batches: Iterator[pa.RecordBatch], heavy: list[str], ids: Ids) -> Iterator[pa.RecordBatch]:
+    """Rows of id, hash of the id and fields, as rows of COUNTED: of heavy terms one each, of light ones one each time
+    MOST_LIGHT of them are held, of rows whose id may repeat the row itself."""
+    at = {t: k for k, t in enumerate(heavy)}
+    occurrences, items = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    light, light_items = Counter(), Counter()
+
+    def table(n: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in COUNTED], schema=COUNTED)
+
+    def sums(way: int, terms: list[str], n: list[int], of: list[int]) -> pa.RecordBatch:
+        return table(len(terms), way=pa.array([way] * len(terms), pa.int32()), term=pa.array(terms, pa.string()), occurrences=pa.array(n, pa.int64()), items=pa.array(of, pa.int64()))
+
+    for b in batches:
+        again = ids.repeated(b.column(1).to_numpy())
+        held: tuple[list, list, list] = ([], [], [])
+        for item, twice, *row in zip(b.column(0).to_pylist(), again.tolist(), *(b.column(k).to_pylist() for k in range(2, b.num_columns)), strict=True):
+            terms = tag_terms(*row)
+            if twice:
+                if terms:
+                    for column, value in zip(held, (item, _digest(tuple(row)), terms), strict=True):
+                        column.append(value)
+                continue
+            for t, n in Counter(terms).items():
+                if (k := at.get(t)) is None:
+                    light[t] += n
+                    light_items[t] += 1
+                else:
+                    occurrences[k] += n
+                    items[k] += 1
+        if held[0]:
+            yield table(len(held[0]), way=pa.array([REPEATED] * len(held[0]), pa.int32()), id=pa.array(held[0], pa.int64()), digest=pa.array(held[1], pa.binary()), terms=pa.array(held[2], pa.list_(pa.string())))
+        if len(light) >= MOST_LIGHT:
+            yield sums(LIGHT, list(light), list(light.values()), [light_items[t] for t in light])
+            light, light_items = Counter(), Counter()
+    yield sums(LIGHT, list(light), list(light.values()), [light_items[t] for t in light])
+    met = np.flatnonzero(occurrences)
+    yield sums(HEAVY, [heavy[k] for k in met], occurrences[met].tolist(), items[met].tolist())
 
 
 def term_counts(items: DataFrame, item_id: str, fields: list[str]) -> DataFrame:
-    """``term``, ``occurrences``, ``items``: how often each tag term occurs in the JSON ``fields``, and in how many items.
+    """``term``, ``occurrences``, ``items``: how often each tag term occurs in the JSON ``fields``, and in how many items."""
+    return counted_terms(items, item_id, fields)[0]
+
 
-    Rows with the same id are one item, counted once; rows with a null id are left out. Empty in, empty out. Columns
-    other than those named are not read. JSON is parsed where it is read; only ids and terms are shuffled.
+def counted_terms(items: DataFrame, item_id: str, fields: list[str]) -> tuple[DataFrame, int]:
+    """term_counts(), and the number of items.
+
+    Rows with the same id are one item. Those that are equal in the fields, too, count once; those that differ each add
+    their terms to the item. Rows with a null id are left out. Empty in, empty out. Columns other than those named are
+    not read. JSON is parsed where it is read, once for each row and once more for the sample's.
     """
-    rows = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("bigint").alias("id"), *[F.col(f).cast("string").alias(f"field_{k}") for k, f in enumerate(fields)])
-    terms = rows.mapInArrow(_extract(len(fields)), "id bigint, terms array<string>")
-    total = rows.count()
-    sample = rows if total <= SAMPLE_ROWS else rows.where(F.pmod(F.xxhash64("id"), F.lit(total)) < SAMPLE_ROWS)
-    seen = sample.mapInArrow(_extract(len(fields)), "id bigint, terms array<string>").select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").count()
-    least = max(2, int(HEAVY_SHARE * min(total, SAMPLE_ROWS)))
+    spark = items.sparkSession
+    key = F.col(item_id).cast("bigint")
+    rows = items.where(F.col(item_id).isNotNull()).select(key.alias("id"), F.xxhash64(key).alias("h"), *[F.col(f).cast("string").alias(f"field_{k}") for k, f in enumerate(fields)])
+    found = ids_of(rows.select("id", "h"))
+    sample = rows if found.rows <= SAMPLE_ROWS else rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(found.rows)) < SAMPLE_ROWS)
+    seen = sample.mapInArrow(_terms, "term string").groupBy("term").count()
+    least = max(2, int(HEAVY_SHARE * min(found.rows, SAMPLE_ROWS)))
     heavy = [r["term"] for r in seen.where(F.col("count") >= least).orderBy(F.desc("count"), "term").limit(MOST_HEAVY).collect()]
-    counted = terms.repartition("id").sortWithinPartitions("id").mapInArrow(_count(heavy), "term string, heavy boolean, occurrences bigint, items bigint")
+    shared = spark.sparkContext.broadcast((heavy, found))  # a filter of FILTER_BITS and at most MOST_HEAVY terms
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from count_terms(batches, *shared.value)
+
+    # cut: the three ways read what was counted, so that rows are read and parsed once
+    counted = cut(rows.mapInArrow(run, "way int, term string, occurrences bigint, items bigint, id bigint, digest binary, terms array<string>"))
     sums = lambda df: df.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum("items").alias("items"))
-    return sums(counted.where(~F.col("heavy"))).unionByName(sums(counted.where("heavy")))
+    light, heavy_ = (sums(counted.where(F.col("way") == w)) for w in (LIGHT, HEAVY))
+    distinct = counted.where(F.col("way") == REPEATED).groupBy("id", "digest").agg(F.first("terms").alias("terms"))
+    pairs = distinct.select("id", F.explode("terms").alias("term")).groupBy("id", "term").agg(F.count("*").alias("occurrences"))
+    again = pairs.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.count("*").alias("items"))
+    return sums(light.unionByName(heavy_).unionByName(again)), found.items
 
 
 def mark_terms(counts: DataFrame, n_items: int, rare_items: int = 2, common_share: float = 0.2) -> DataFrame:
@@ -111,9 +187,7 @@ def mark_terms(counts: DataFrame, n_items: int, rare_items: int = 2, common_shar
 
 
 def _marked(spark: SparkSession, d: str) -> DataFrame:
-    items = read_table(spark, d, "audio_items")
-    n = items.select("item_id").where("item_id is not null").distinct().count()
-    return mark_terms(term_counts(items, "item_id", ["feed_meta", "entry_meta"]), n)
+    return mark_terms(*counted_terms(read_table(spark, d, "audio_items"), "item_id", ["feed_meta", "entry_meta"]))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -136,12 +136,30 @@ def test_term_counts(spark):
 def test_heavy_and_light_counts_agree(heavy):
     import pyarrow as pa
 
-    batch = pa.record_batch([pa.array([1, 1, 2, 3]), pa.array([["talk", "a", "talk"], ["talk"], ["talk", "sleep"], []], pa.list_(pa.string()))], ["id", "terms"])
-    sums = Counter()
-    for out in terms._count(heavy)(iter([batch, batch.slice(2)])):
+    doc = lambda *ts: '{"tags": [%s]}' % ", ".join('{"term": "%s"}' % t for t in ts)
+    batch = pa.record_batch([pa.array([1, 1, 2, 3]), pa.array([10, 10, 20, 30]), pa.array([doc("talk", "a", "talk"), doc("talk"), doc("talk", "sleep"), None])], ["id", "h", "field_0"])
+    none = terms.Ids(4, 3, np.zeros(terms.FILTER_BITS // 64, dtype=np.uint64))
+    occurrences, items, ways = Counter(), Counter(), {}
+    for out in terms.count_terms(iter([batch, batch.slice(2)]), heavy, none):
         for r in out.to_pylist():
-            sums[r["term"]] += r["occurrences"]
-    assert sums == {"talk": 4, "a": 1, "sleep": 2} or sums == {"talk": 3, "a": 1, "sleep": 1}
+            occurrences[r["term"]] += r["occurrences"]
+            items[r["term"]] += r["items"]
+            ways[r["term"]] = r["way"]
+    assert occurrences == {"talk": 5, "a": 1, "sleep": 2} and items == {"talk": 4, "a": 1, "sleep": 2}
+    assert {t for t, w in ways.items() if w == terms.HEAVY} == set(heavy) & set(ways)
+
+
+@pytest.mark.parametrize("turned", [False, True])
+@pytest.mark.parametrize("bits", [terms.FILTER_BITS, 64])
+def test_rows_of_one_id_that_differ_all_count(spark, monkeypatch, turned, bits):
+    """Whatever the order of rows; an id with a third of all rows, some of them equal; a filter that is full."""
+    monkeypatch.setattr(terms, "FILTER_BITS", bits)
+    doc = lambda *ts: '{"tags": [%s]}' % ", ".join('{"term": "%s"}' % t for t in ts)
+    rows = [(1, doc("a"), None), (1, doc("b"), None), (1, doc("a"), None)] + [(7, doc("hot", f"h{k % 5}"), doc("x")) for k in range(300)] + [(k, doc("x"), None) for k in range(100, 700)]
+    want = {"a": (1, 1), "b": (1, 1), "hot": (5, 1), "x": (605, 601), **{f"h{k}": (1, 1) for k in range(5)}}
+    df = spark.createDataFrame(rows[::-1] if turned else rows, "id bigint, a string, b string").repartition(3)
+    got, n = terms.counted_terms(df, "id", ["a", "b"])
+    assert {r.term: (r.occurrences, r["items"]) for r in got.collect()} == want and n == 602
 
 
 def test_marks(spark):
