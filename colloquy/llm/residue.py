@@ -1,24 +1,30 @@
 """Template residue and error-page text (problem 9).
 
-*Fields.* Signs of template fields are located by their form. Whether one is unfilled or quoted is told by the sentence
-around it: character n-gram models of sentences with a slot and of sentences that quote one are compared.
-
-*Content.* Character n-gram models of filler, of error and script notices, and of natural prose give each position of a
-text a log likelihood ratio; windows in which its mean is positive are residue. A text is excluded if they cover most of
-it, so one that talks about errors in a sentence or two stays.
-
-The models start from the seeds of residue_seeds.py and all texts of the corpus, each distinct normal() text once, so that
-a page with many copies isn't taken for prose. Texts that the first models call residue then move from the natural to the
-residue model, and all are fitted again. Executors count n-grams and judge texts; the driver has fixed-size tables only.
-Every text is scored whole.
+*Content.* Character n-gram models of filler, of notices (error pages, scripts required) and of natural prose give each
+position of a text a log likelihood ratio; windows in which its mean is high are residue. A text is excluded if they cover
+half of it or more, so one that talks about errors in a sentence or two stays. A residue model is a mixture of its seeds'
+and the prose's n-grams: what the seeds don't know costs a window little, whatever the size of the corpus.
+
+*Fields.* Whatever has brackets, signs or capitals as a template field could have is a window of its own. Models of fields
+and of other bracketed matter, over characters and over their kinds, tell whether it is a field; models of sentences with
+a slot and of sentences that quote one tell, over the sentence around it, whether it is unfilled.
+
+The models of residue and of fields come from residue_seeds.py, that of prose from all texts of the corpus, each distinct
+one once, so that a page with many copies isn't taken for prose. Thresholds were set on the labelled texts DEV of
+tests/llm/residue_texts.py. Executors count n-grams and judge texts; the driver has tables of fixed size only. Every text
+is read and scored whole.
 """
 
 from __future__ import annotations
 
+import html
 import re
-import uuid
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+import unicodedata
+import zlib
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,305 +32,321 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.llm import residue_seeds as seeds
-from colloquy.session import checkpoint_dir, read_table
-
-ROUNDS = 3
-BITS, ORDERS = 18, (2, 3, 4)
-#: Pseudo-count; characters in a window; least mean log ratio of a window that is residue; least share covered.
-ALPHA, WINDOW, LEAST_RATIO, LEAST_COVER = 0.5, 24, 0.25, 0.44
-#: What an n-gram's being attested in prose is worth, as a count.
-ATTESTED = 1.0
-CHUNK = 1 << 19
-
-#: Tags that are markup, and words of template fields in soft brackets.
-HTML = "a abbr b blockquote body br button code div em figure footer form h1 h2 h3 h4 h5 h6 head header hr html i img input label li link main meta nav ol option p pre script section select small span strong style sub sup table tbody td th thead title tr u ul v c ruby rt lang video audio source track iframe noscript time summary details".split()
-FIELD_WORDS = (
-    "insert add enter fill your here name date title link url guest host sponsor show episode number topic email placeholder "
-    "điền chèn nhập thêm tên tiêu ngày liên khách chương tập họ "
-    "insertar inserte añadir agregar escribe escribir nombre título fecha enlace invitado invitada aquí programa tema"
-).split()
-FIELD_PARTS_JA = "入力 記入 挿入 ここに 名前 氏名 日付 タイトル 題名 リンク ゲスト名 番組名 概要 お名前".split()
-NAME = r"[A-Za-z_][\w.\-]+"
-#: Letters of scripts without spaces are \w, too, so \b doesn't tell where a name in ASCII ends.
-FROM, TO = r"(?<![A-Za-z0-9_])", r"(?![A-Za-z0-9_])"
-FIELD = re.compile(
-    rf"\{{\{{\{{?[^{{}}\n]+\}}\}}\}}?|\{{%[^%\n]+%\}}|[#$]\{{[^{{}}\n]+\}}|\{{{NAME}\}}|<%=?[^%\n]+%>|%%{NAME}%%|%\({NAME}\)[sd]|%[A-Z_]{{3,}}%|@@{NAME}@@|__[A-Za-z](?:[\w.]*?[A-Za-z])?__{TO}|\[\[[^\[\]\n|]+\]\]"
-    rf"|{FROM}(?:INSERT|ADD|ENTER|YOUR|FILL|TODO)_[A-Z_]+{TO}|{FROM}[Xx][Xx]/[Xx][Xx]/[Xx]{{2,4}}{TO}|〇{{2,}}(?:（[^（）\n]+）)?|&lt;[A-Za-z_][\w. \-]+&gt;"
-    r"|(?P<soft>\[[^\[\]\n]+\]|<[^<>\n]+>|\([^()\n]+\)|（[^（）\n]+）|［[^［］\n]+］|【[^【】\n]+】|＜[^＜＞\n]+＞)"
-)
-#: Letters and words that tell the languages apart.
-LANGUAGES = ("vi", "en", "es", "ja")
-LETTER, KANA = re.compile(r"[^\W\d_]"), re.compile(r"[\u3040-\u30ff\u4e00-\u9fff]")
-VIETNAMESE, SPANISH_SIGNS = re.compile(r"[ăâđêôơưạảấầẩẫậắằẳẵặẹẻẽếềểễệỉĩịọỏốồổỗộớờởỡợụủứừửữựỳỵỷỹàèìòùãõ]"), re.compile(r"[ñ¿¡áéíóú]")
-SPANISH = frozenset("el la los las de del y en que un una es se no por con su para al lo como más este esta todo nos hola".split())
-ENGLISH = frozenset("the of and a to in is it that was for on with as at by this you we be are or not from have page error".split())
-WORD, PART = re.compile(r"\w+"), re.compile(r"[^\W_]+")
-BLANK = np.array([32], dtype=np.uint32)
-SENTENCE_END = re.compile(r"[.!?…]\s|[。！？\n|]")
+from colloquy.llm.repeats import Repeats, repeats
+from colloquy.session import read_table
+
+LANGUAGES = seeds.LANGUAGES
+#: Orders of n-grams; bits of the tables of content and of fields and quotes; positions scored at a time.
+ORDERS, BITS, FIELD_BITS, CHUNK = (2, 3, 4), 18, 16, 1 << 19
+#: The seeds' part in a residue model; what an n-gram is likely at least in prose; the part of the seeds' prose in prose.
+SEEDED, FLOOR, KNOWN_PROSE = 0.2, 2e-5, 0.1
+#: Characters in a window; least mean log ratio of one that is residue; least share of residue in a text that is excluded.
+WINDOW, LEAST_RATIO, LEAST_COVER = 24, 0.15, 0.5
+#: Likelihood of an n-gram at least, and the least mean log ratio of a field; the same of sentences, and the least sum of
+#: one that quotes.
+FIELD_FLOOR, LEAST_FIELD, QUOTE_FLOOR, LEAST_QUOTE = 1e-5, 0.0, 1e-4, 10.0
+
+#: Commonest words of the two languages that letters don't tell apart.
+SPANISH = re.compile(r"\b(?:el|la|los|las|de|del|y|en|que|un|una|es|se|por|con|su|para|al|lo|como|más|este|esta|todo|nos)\b|[ñ¿¡áéíóú]")
+ENGLISH = re.compile(r"\b(?:the|of|and|to|in|is|it|that|was|for|on|with|as|at|by|this|you|we|be|are|or|not|from|have)\b")
+VIETNAMESE = "ăâđêôơưạảấầẩẫậắằẳẵặẹẻẽếềểễệỉĩịọỏốồổỗộớờởỡợụủứừửữựỳỵỷỹàèìòùãõ"
 MARKUP = re.compile(r"<[^<>\n]{1,200}>")
+SENTENCE_END = re.compile(r"[.!?…]\s|[。！？\n|]")
+#: Keys of texts a task remembers so as to pass on each of a text's copies once, and candidates it has judged.
+REMEMBERED = 200_000
+BLANK, SLOT = np.array([32], dtype=np.uint32), "\x01"
 
-
-def fields_of(text: str) -> list[tuple[int, int]]:
-    """(start, end) of what has the form of a template field."""
-    out = []
-    for m in FIELD.finditer(text):
-        soft = m.group("soft")
-        if soft:
-            inner = soft[1:-1].strip()
-            words = [w.lower() for w in WORD.findall(inner)]
-            if soft[0] == "<":
-                if not words or words[0] in HTML and not (inner.endswith("/") and words[0] in ("summary", "title")) or inner[0] == "/" or "=" in inner:
-                    continue
-                if inner.endswith("/") and len(words) >= 1 and " " not in inner:
-                    out.append(m.span())
-                    continue
-            if not any(p in inner for p in FIELD_PARTS_JA):
-                # round brackets hold ordinary asides: only capitals there
-                if not any(w in FIELD_WORDS for w in PART.findall(inner.lower())) or soft[0] == "(" and inner != inner.upper():
-                    continue
-        out.append(m.span())
-    return out
-
-
-def normal(text: str) -> str:
-    """The text in lower case, without markup, runs of white space as one space, digits as 0."""
-    return re.sub(r"\d", "0", re.sub(r"\s+", " ", MARKUP.sub(" ", text))).lower()
+#: What a template field could be. Letters of scripts without spaces are \w, too, so \b doesn't tell where ASCII ends.
+FROM, TO = r"(?<![A-Za-z0-9_])", r"(?![A-Za-z0-9_])"
+CANDIDATE = re.compile(
+    r"(?=[^\w\s,;'!?\"”“。、-]|[A-Z_○-◯〇△×Ｘ]|(?<![A-Za-z0-9_])[dmyhx])(?:[#$%@!*|]?\{+[^{}\n]*\}+|\*\|[^|\n]+\|\*|\[+[^\[\]\n]+\]+|<+[^<>\n]+>+|\(\(+[^()\n]+\)\)+|%?\([^()\n]+\)(?:[sd]" + TO + r")?"
+    r"|（[^（）\n]+）|［[^［］\n]+］|【[^【】\n]+】|＜[^＜＞\n]+＞|｛[^｛｝\n]+｝|〔[^〔〕\n]+〕|«[^«»\n]+»|&lt;[^&\n]+&gt;"
+    r"|(?P<sign>[%@#*~|]{2,3}|[%@#])[^\W\d_](?:[\w .\-]*?\w)?(?P=sign)|" + FROM + r"(?P<two>_{2,3}|[:$*~|_])[^\W\d_](?:[\w.\-]*?[^\W_])?(?P=two)" + TO +
+    "|" + FROM + r"[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)+" + TO +
+    "|" + FROM + r"(?:[Xx]{2,}(?:[/.:\-][Xx]{2,})*|[DMYdmy]{2,4}(?P<cut>[/.\-])[DMYdmy]{2,4}(?P=cut)[DMYdmy]{2,4}|[Hh]{2}:[Mm]{2}(?::[Ss]{2})?|TB[ACD]|TODO|FIXME|TK(?:TK)?)" + TO +
+    r"|[_＿]{2,}(?:[/ ][_＿]{2,})*|[〇○◯●△×Ｘ]{2,}|…{3,}|\.{6,}|%[sd]" + TO + ")"
+)
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Of each code point below 2^16, two classes: what it is in a field, and 1 to 3 for a Japanese, Vietnamese or other
+    letter, 0 for any other."""
+    shape, script = np.full(1 << 16, ord("L"), dtype=np.uint32), np.zeros(1 << 16, dtype=np.int64)
+    for c in range(1 << 16):
+        x = chr(c)
+        japanese = "぀" <= x <= "ヿ" or "一" <= x <= "鿿"
+        shape[c] = ord("0") if x.isdigit() else ord("あ") if japanese else (ord("A") if x.isupper() else ord("a")) if x.isalpha() else c
+        script[c] = 0 if not x.isalpha() else 1 if japanese else 2 if x.lower() in VIETNAMESE else 3
+    return shape, script
 
 
 def points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def codes_of(text: str) -> np.ndarray:
-    """Code points of the normal() text."""
-    return points(normal(text))
+def language_of(text: str) -> str:
+    """ja, vi, es or en, by the letters of the whole text and, between the last two, by its common words; en where
+    nothing tells."""
+    n = np.zeros(4, dtype=np.int64)
+    codes = points(text)
+    for at in range(0, len(codes), CHUNK):
+        n += np.bincount(_kinds()[1][np.minimum(codes[at : at + CHUNK], 0xFFFF)], minlength=4)
+    letters = max(1, int(n[1:].sum()))
+    if n[1] > 0.1 * letters:
+        return "ja"
+    if n[2] > 0.03 * letters:
+        return "vi"
+    low = text.lower()
+    return "es" if sum(1 for _ in SPANISH.finditer(low)) > sum(1 for _ in ENGLISH.finditer(low)) else "en"
+
+
+def normal(text: str, lines: bool = False) -> str:
+    """The text in lower case, entities resolved, without markup, runs of white space as one space (with ``lines``, as a
+    line end where they hold one), digits as 0."""
+    if "&" in text:
+        text = html.unescape(text)
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", text)
+    text = MARKUP.sub(" ", text)
+    if lines:
+        text = re.sub(r"\s*\n\s*", "\n", text)
+    return re.sub(r"\d", "0", re.sub(r"[^\S\n]+" if lines else r"\s+", " ", text)).lower().strip()
+
+
+def grams(codes: np.ndarray, bits: int = BITS) -> Iterator[np.ndarray]:
+    """For each order the table places of the n-grams that start at each position."""
+    h = np.full(len(codes), 0x9E3779B97F4A7C15, dtype=np.uint64)
+    for k in range(ORDERS[-1]):
+        h = h[: max(0, len(codes) - k)]
+        h ^= codes[k:]
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+        if k + 1 in ORDERS:
+            yield (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def grams(codes: np.ndarray, n: int) -> np.ndarray:
-    """Table place of the n-gram that starts at each position."""
-    h = np.full(max(0, len(codes) - n + 1), 0x9E3779B97F4A7C15 + n, dtype=np.uint64)
-    for k in range(n):
-        h = (h ^ codes[k : k + len(h)]) * np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-    return (h >> np.uint64(64 - BITS)).astype(np.int64)
-
-
-def counted(texts: list[np.ndarray]) -> np.ndarray:
-    """Counts of the texts' n-grams, one row for each order; ``texts`` has the codes_of() of each."""
-    table = np.zeros((len(ORDERS), 1 << BITS))
-    parts, size = [], 0
-    for k, t in enumerate(texts):
-        parts += [t, BLANK]
-        size += len(t)
-        if size > CHUNK or k == len(texts) - 1:
-            codes = np.concatenate(parts)
-            for row, n in zip(table, ORDERS, strict=True):
-                for at in range(0, len(codes), CHUNK):
-                    row += np.bincount(grams(codes[at : at + CHUNK + n - 1], n), minlength=1 << BITS)
-            parts, size = [], 0
+def counted(codes: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Counts of the n-grams, one row for each order."""
+    table = np.zeros((len(ORDERS), 1 << bits), dtype=np.int64)
+    for at in range(0, len(codes), CHUNK):
+        for row, g in zip(table, grams(codes[at : at + CHUNK + ORDERS[-1] - 1], bits), strict=True):
+            row += np.bincount(g[:CHUNK], minlength=1 << bits)
     return table
 
 
-def language_of(text: str) -> str:
-    """ja, vi, es or en, by letters and, between the last two, by common words; en where nothing tells."""
-    low = text[:CHUNK].lower()
-    n = max(1, len(LETTER.findall(low)))
-    if len(KANA.findall(low)) > 0.1 * n:
-        return "ja"
-    if len(VIETNAMESE.findall(low)) > 0.03 * n:
-        return "vi"
-    words = WORD.findall(low)
-    return "es" if sum(w in SPANISH for w in words) + len(SPANISH_SIGNS.findall(low)) > sum(w in ENGLISH for w in words) else "en"
+def shares(table: np.ndarray) -> np.ndarray:
+    return table / np.maximum(1, table.sum(axis=-1, keepdims=True))
 
 
-def by_language(texts: list[str]) -> dict[str, list[np.ndarray]]:
-    out: dict[str, list[np.ndarray]] = {x: [] for x in LANGUAGES}
-    for t in texts:
-        out[language_of(t)].append(codes_of(t))
-    return out
+def views(span: str) -> tuple[np.ndarray, np.ndarray]:
+    """A candidate's characters, and their kinds."""
+    own = f"\x02{span}\x03"
+    return points(own.lower()), _kinds()[0][np.minimum(points(own), 0xFFFF)]
 
 
-def ratio(a: np.ndarray, b: np.ndarray, attested: float = 0.0) -> np.ndarray:
-    """Log likelihood ratio tables of a against b. A larger b counts as if it had a's size, so that what neither has is
-    even; n-grams that b has at least three times, and a not more than ten times as often, are worth ``attested`` more to
-    b, others in proportion: what little residue b may hold itself must not speak against a."""
-    met = b >= 3
-    b = b * np.minimum(1, a.sum(axis=1) / np.maximum(b.sum(axis=1), 1))[:, None]
-    known = met * np.float32(attested) * np.minimum(1, 10 * b / np.maximum(a, 1e-9))
-    return np.log((a + ALPHA) / (b + known + ALPHA)).astype(np.float32)
+@lru_cache(maxsize=1)
+def _seed_models() -> tuple[np.ndarray, dict[str, np.ndarray], dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Tables of fields, (view, order, place); of quotes, by language; of filler, notices and prose, by language."""
 
+    def field_shares(of) -> np.ndarray:
+        """Each language weighs the same, however many names it has here."""
+        return sum(shares(np.stack([counted(v, FIELD_BITS) for v in views("\x03\x02".join(of(x)))])) for x in LANGUAGES) / len(LANGUAGES)
 
-def scores(length: int, places: list[np.ndarray], table: np.ndarray) -> np.ndarray:
-    """Per position the mean of the orders' log ratios; ``places`` has the grams() of each order."""
-    out = np.zeros(length, dtype=np.float32)
-    for row, g in zip(table, places, strict=True):
-        out[: len(g)] += row[g]
-    return out / len(ORDERS)
+    def quote_shares(lines: str, x: str) -> np.ndarray:
+        """Half plain prose, so that common words speak for neither side."""
+        marked = re.sub(r"(?<![A-Za-z])F(?![A-Za-z])", SLOT, lines)
+        own, plain = (shares(counted(points("\n".join(map(normal, t))), FIELD_BITS)) for t in (marked.split(";"), [seeds.PROSE[x]]))
+        return (own + plain) / 2
 
+    def content(lines: list[str]) -> np.ndarray:
+        return shares(counted(points("\n".join(map(normal, lines)))))
 
-def score_sums(codes: np.ndarray, *tables: np.ndarray) -> list[float]:
-    places = [grams(codes, n) for n in ORDERS]
-    return [float(scores(len(codes), places, t).sum()) for t in tables]
+    fields = np.log((field_shares(seeds.fields) + FIELD_FLOOR) / (field_shares(seeds.asides) + FIELD_FLOOR)).astype(np.float32)
+    quotes = {x: np.log((quote_shares(seeds.QUOTES[x], x) + QUOTE_FLOOR) / (quote_shares(seeds.SLOTS[x], x) + QUOTE_FLOOR)).astype(np.float32) for x in LANGUAGES}
+    latin = seeds.LATIN.strip().split("\n") * 4
+    return fields, quotes, {x: (content(seeds.filler(x) + latin), content(seeds.notices(x)), content(seeds.prose(x))) for x in LANGUAGES}
 
 
 @dataclass
 class Models:
-    """Tables of log ratios, by language."""
+    """Tables of log likelihood ratios: of content by language, (order, place, kind of residue); of fields; of quotes by
+    language."""
 
-    residue: dict[str, list[np.ndarray]]
+    residue: dict[str, np.ndarray]
+    fields: np.ndarray
     quotes: dict[str, np.ndarray]
+    known: dict[str, bool] = field(default_factory=dict)
 
-    def coverage(self, codes: np.ndarray, language: str) -> float:
+    def coverage(self, text: str, language: str | None = None) -> float:
         """Share of a text's characters in windows that are residue; 0 for a text without any."""
+        codes, table = points(normal(text)), self.residue[language or language_of(text)]
         covered, total = 0, len(codes)
-        if not total:
-            return 0.0
         for at in range(0, total, CHUNK):
-            part = codes[max(0, at - WINDOW) : at + CHUNK + WINDOW]
-            own = slice(min(at, WINDOW), min(at, WINDOW) + min(CHUNK, total - at))
-            mask = np.zeros(len(part), dtype=bool)
-            places = [grams(part, n) for n in ORDERS]
+            part = codes[max(0, at - WINDOW) : at + CHUNK + WINDOW + ORDERS[-1]]
+            scores = np.zeros((len(part) + 1, table.shape[2]), dtype=np.float64)
+            for rows, g in zip(table, grams(part), strict=True):
+                scores[1 : len(g) + 1] += rows.take(g, axis=0)
+            np.cumsum(scores, axis=0, out=scores)
             w = min(WINDOW, len(part))
-            for table in self.residue[language]:
-                sums = np.concatenate([[0.0], np.cumsum(scores(len(part), places, table), dtype=np.float64)])
-                hit = sums[w:] - sums[:-w] >= LEAST_RATIO * w
-                if hit.any():  # a position is covered if one of the w windows that hold it is a hit
-                    hits = np.concatenate([[0], np.cumsum(hit)])
-                    at_end = np.minimum(np.arange(1, len(part) + 1), len(hit))
-                    mask |= hits[at_end] > hits[np.maximum(np.arange(len(part)) - w + 1, 0)]
-            covered += int(mask[own].sum())
-        return covered / total
-
-    def unfilled(self, text: str) -> int:
-        """How many template fields stand in the text unfilled; those that a sentence quotes don't count."""
-        spans, n = fields_of(text), 0
-        for k, (a, z) in enumerate(spans):
-            before, after = text[max(0, a - 160) : a], text[z : z + 160]
-            cut = [m.end() for m in SENTENCE_END.finditer(before)]
-            end = SENTENCE_END.search(after)
-            around = before[cut[-1] if cut else 0 :] + "F" + after[: end.start() + 1 if end else None]
-            around = FIELD.sub("F", around)
-            n += score_sums(codes_of(around), self.quotes[language_of(around)])[0] <= 0
+            hit = (scores[w:] - scores[:-w]).max(axis=1) >= LEAST_RATIO * w * len(ORDERS)
+            if not hit.any():
+                continue
+            hits = np.concatenate([[0], np.cumsum(hit)])  # a position is covered if one of the w windows that hold it is a hit
+            mask = hits[np.minimum(np.arange(1, len(part) + 1), len(hit))] > hits[np.maximum(np.arange(len(part)) - w + 1, 0)]
+            first = min(at, WINDOW)
+            covered += int(mask[first : first + min(CHUNK, total - at)].sum())
+        return covered / total if total else 0.0
+
+    def is_field(self, span: str) -> bool:
+        if span not in self.known:
+            mean = 0.0
+            for codes, table in zip(views(span), self.fields, strict=True):
+                for row, g in zip(table, grams(codes, FIELD_BITS), strict=True):
+                    mean += float(row[g].sum()) / max(1, len(g))
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[span] = mean >= LEAST_FIELD * len(ORDERS) * len(self.fields)
+        return self.known[span]
+
+    def unfilled(self, text: str, language: str | None = None) -> int:
+        """How many template fields stand in the text unfilled; those in a sentence that quotes them don't count."""
+        parts, last = [], 0
+        for m in CANDIDATE.finditer(text):
+            if self.is_field(m.group()):
+                parts += [text[last : m.start()], SLOT]
+                last = m.end()
+        if not last:
+            return 0
+        around = normal("".join(parts) + text[last:], lines=True)
+        codes, table = points(around), self.quotes[language or language_of(text)]
+        sums = np.zeros(len(codes) + 1)
+        for at in range(0, len(codes), CHUNK):
+            for row, g in zip(table, grams(codes[at : at + CHUNK + ORDERS[-1] - 1], FIELD_BITS), strict=True):
+                g = g[:CHUNK]
+                sums[at + 1 : at + 1 + len(g)] += row[g]
+        sums = np.cumsum(sums) / len(ORDERS)
+        ends, n = [m.end() for m in SENTENCE_END.finditer(around)], 0
+        for m in re.finditer(SLOT, around):
+            k = bisect_right(ends, m.start())
+            n += bool(sums[ends[k] if k < len(ends) else len(around)] - sums[ends[k - 1] if k else 0] < LEAST_QUOTE)
         return n
 
-
-#: Kinds of residue: Latin filler, other filler, notices.
-KINDS = 3
+    def is_residue(self, text: str) -> bool:
+        x = language_of(text)
+        return self.unfilled(text, x) > 0 or self.coverage(text, x) >= LEAST_COVER
 
 
-def fitted(counts: dict[str, np.ndarray], odd_of: Callable[[Models], dict[str, list[np.ndarray]]]) -> Models:
-    """Models from the seeds and a corpus without labels; each language has its own, so that a rare one isn't taken for
-    residue. ``counts``: by language, of the corpus's distinct texts; ``odd_of`` gives those of the texts that models call
-    residue, by language and kind."""
-    seed = {k: by_language(getattr(seeds, k).strip().split("\n")) for k in ("FILLER", "NOTICES", "MENTIONS", "SLOTS", "QUOTES")}
-    start = {x: {k: counted(v[x]) for k, v in seed.items()} for x in LANGUAGES}
-    latin = counted([codes_of(seeds.LATIN)])
-    known = Models({}, {})
+def models_of(prose: dict[str, np.ndarray]) -> Models:
+    """Models from the seeds and, by language, the n-gram counts of the corpus; a language of which the corpus has nothing
+    knows the seeds' prose only."""
+    fields, quotes, content = _seed_models()
+    residue = {}
     for x in LANGUAGES:
-        # of the quotes' seeds there are more; neither kind is to be preferred for that
-        even = np.minimum(1, start[x]["SLOTS"].sum(axis=1) / start[x]["QUOTES"].sum(axis=1))[:, None]
-        known.quotes[x] = ratio(start[x]["QUOTES"] * even, start[x]["SLOTS"])
-    odd: dict[str, list[np.ndarray]] = {}
-    for step in range(ROUNDS + 1):
-        for x in LANGUAGES:
-            kinds, base, mentions = [latin, start[x]["FILLER"], start[x]["NOTICES"]], counts[x], start[x]["MENTIONS"]
-            if step:
-                kinds, base = [k + o for k, o in zip(kinds, odd[x], strict=True)], base - sum(odd[x])
-            # mentions weigh as much as a fiftieth of the prose, so that the models know them
-            base = base + mentions * max(1.0, base.sum() / mentions.sum() / 50)
-            known.residue[x] = [ratio(k, base, ATTESTED) for k in kinds]
-        if step < ROUNDS:
-            odd = odd_of(known)
-    return known
-
-
-def judged(models: Models, language: str, codes: np.ndarray) -> tuple[float, int]:
-    """coverage(), and the kind of a text that is residue; -1 of any other."""
-    cover = models.coverage(codes, language)
-    return cover, int(np.argmax(score_sums(codes, *models.residue[language]))) if cover >= LEAST_COVER else -1
+        *kinds, known = content[x]
+        part = KNOWN_PROSE if prose[x].any() else 1.0
+        natural = (1 - part) * shares(prose[x]) + part * known + FLOOR
+        residue[x] = np.stack([np.log(1 - SEEDED + SEEDED * k / natural) for k in kinds], axis=2).astype(np.float32)
+    return Models(residue, fields, quotes)
+
+
+def _table() -> np.ndarray:
+    return np.zeros((len(LANGUAGES), len(ORDERS), 1 << BITS), dtype=np.int64)
+
+
+def tally(texts: Iterable[str], table: np.ndarray) -> None:
+    """Adds the n-grams of the texts."""
+    by: dict[str, list[np.ndarray]] = {}
+    for t in texts:
+        by.setdefault(language_of(t), []).extend((points(normal(t)), BLANK))
+    for x, codes in by.items():
+        table[LANGUAGES.index(x)] += counted(np.concatenate(codes))
 
 
 def fit(texts: list[str]) -> Models:
     """Models of texts in memory."""
-    doubtful: dict[str, list[np.ndarray]] = {x: [] for x in LANGUAGES}
-    for x, t in dict.fromkeys((language_of(t), normal(t.strip())) for t in texts):
-        doubtful[x].append(points(t))
-
-    def odd_of(known: Models) -> dict[str, list[np.ndarray]]:
-        out = {}
-        for x in LANGUAGES:
-            verdicts = [judged(known, x, t) for t in doubtful[x]]
-            out[x] = [counted([t for t, (_, kind) in zip(doubtful[x], verdicts, strict=True) if kind == k]) for k in range(KINDS)]
-            # texts without a single window of residue are prose, and aren't asked again
-            doubtful[x] = [t for t, (cover, _) in zip(doubtful[x], verdicts, strict=True) if cover > 0]
-        return out
-
-    return fitted({x: counted(v) for x, v in doubtful.items()}, odd_of)
-
-
-def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts = b.column("text").to_pylist()
-        yield pa.record_batch([pa.array([language_of(t) for t in texts], pa.string()), pa.array([normal(t.strip()) for t in texts], pa.string())], ["language", "text"])
-
-
-def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """n-gram counts of (language, kind, text): slot is the place in the tables of all languages and kinds."""
-    tables: dict[int, np.ndarray] = {}
-    for b in batches:
-        texts: dict[int, list[np.ndarray]] = {}
-        for x, kind, t in zip(*(b.column(c).to_pylist() for c in ("language", "kind", "text")), strict=True):
-            texts.setdefault(LANGUAGES.index(x) * KINDS + kind, []).append(points(t))
-        for k, v in texts.items():
-            tables[k] = tables[k] + counted(v) if k in tables else counted(v)
-    for k, table in tables.items():
-        slots = np.flatnonzero(table)
-        yield pa.record_batch([pa.array(slots + k * table.size, pa.int32()), pa.array(table.ravel()[slots].astype(np.int64))], ["slot", "n"])
-
-
-def _tables(texts: DataFrame) -> dict[str, list[np.ndarray]]:
-    """By language and kind the counts of (language, kind, text); what is collected has a fixed size at most."""
-    sums = texts.mapInArrow(_tallied, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(len(LANGUAGES) * KINDS * len(ORDERS) << BITS)
-    out[sums["slot"].to_numpy()] = sums["n"].to_numpy()
-    return dict(zip(LANGUAGES, map(list, out.reshape(len(LANGUAGES), KINDS, len(ORDERS), 1 << BITS)), strict=True))
-
-
-def fit_table(texts: DataFrame) -> Models:
-    """The models of fit() for a table with a column ``text`` without nulls. The distinct normal() texts are written to the
-    shared folder until the models are done, as every round reads them."""
-    spark = texts.sparkSession
-    folder = f"{checkpoint_dir(spark)}/texts-{uuid.uuid4().hex}"
+    table = _table()
+    tally({normal(t): t for t in texts}.values(), table)
+    return models_of(dict(zip(LANGUAGES, table, strict=True)))
+
 
-    def kept(rows: DataFrame, name: str) -> DataFrame:
-        rows.write.option("compression", "zstd").parquet(f"{folder}/{name}")
-        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+#: Places in a row of counts.
+PLACES = 1 << 11
+COUNTS = "part int, h bigint, h2 bigint, counts binary, text string"
+COUNTS_ARROW = pa.schema([("part", pa.int32()), ("h", pa.int64()), ("h2", pa.int64()), ("counts", pa.binary()), ("text", pa.string())])
 
-    doubtful = kept(texts.mapInArrow(_normalised, "language string, text string").distinct(), "all")
-    rounds = 0
 
-    def odd_of(known: Models) -> dict[str, list[np.ndarray]]:
-        nonlocal doubtful, rounds
-        shared = spark.sparkContext.broadcast(known)
+def _packed(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+    """Counts as rows of PLACES places; what is all 0 is left out."""
+    kept = [(k, zlib.compress(v.tobytes(), 1)) for k, v in sums.items() if v.any()]
+    columns = [pa.array([k for k, _ in kept], pa.int32()), *[pa.nulls(len(kept), pa.int64())] * 2, pa.array([v for _, v in kept], pa.binary()), pa.nulls(len(kept), pa.string())]
+    return pa.RecordBatch.from_arrays(columns, schema=COUNTS_ARROW)
 
-        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                pairs = [judged(shared.value, x, points(t)) for x, t in zip(b.column("language").to_pylist(), b.column("text").to_pylist(), strict=True)]
-                # texts without a single window of residue are prose, and aren't asked again
-                rows = b.filter(pa.array([cover > 0 for cover, _ in pairs], pa.bool_()))
-                yield pa.record_batch([*rows.columns, pa.array([kind for cover, kind in pairs if cover > 0], pa.int32())], ["language", "text", "kind"])
 
-        rounds += 1
-        verdicts = kept(doubtful.mapInArrow(judge, "language string, text string, kind int"), f"round-{rounds}")
-        shared.destroy()
-        doubtful = verdicts.select("language", "text")
-        return _tables(verdicts.where("kind >= 0"))
+def _slices(table: np.ndarray) -> dict[int, np.ndarray]:
+    return dict(enumerate(table.reshape(-1, PLACES)))
 
-    try:
-        return fitted({x: t[0] for x, t in _tables(doubtful.select("language", F.lit(0).alias("kind"), "text")).items()}, odd_of)
-    finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+def prose_counts(texts: DataFrame) -> dict[str, np.ndarray]:
+    """By language the n-gram counts of a table with a column ``text`` without nulls, each distinct text (but for case,
+    white space and digits) once. Texts that don't repeat are counted where they are read; of the others each task passes
+    on one copy. Tasks are few, so the tables they send don't grow with the data."""
+    spark = texts.sparkSession
+    plain = F.regexp_replace(F.regexp_replace(F.lower(F.trim("text")), r"(?U)\s+", " "), r"(?U)\d", "0")
+    keyed = texts.select(F.xxhash64(plain).alias("h"), F.xxhash64(plain, F.lit(1)).alias("h2"), "text")
+    shared = spark.sparkContext.broadcast(repeats(keyed.select("h", "h2")))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Repeats = shared.value
+        table, seen = _table(), set()
+        for b in batches:
+            again = found.may_repeat(b.column("h").to_numpy())
+            tally((t for t, twice in zip(b.column("text").to_pylist(), again.tolist(), strict=True) if not twice), table)
+            fresh = []
+            for k in np.flatnonzero(again).tolist():
+                key = (b.column("h")[k].as_py(), b.column("h2")[k].as_py())
+                if key not in seen:
+                    fresh.append(k)
+                    seen.add(key)
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            if fresh:
+                own = b.take(pa.array(fresh))
+                n = own.num_rows
+                yield pa.RecordBatch.from_arrays([pa.array([-1] * n, pa.int32()), own.column("h"), own.column("h2"), pa.nulls(n, pa.binary()), own.column("text").cast(pa.string())], schema=COUNTS_ARROW)
+        yield _packed(_slices(table))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by part, h, h2: sums of the counts, and of the texts among them, each once."""
+        sums: dict[int, np.ndarray] = {}
+        table, last = None, None
+        for b in batches:
+            once = []
+            for part, h, h2, counts, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if part < 0:
+                    if (h, h2) != last:
+                        once.append(text)
+                    last = (h, h2)
+                else:
+                    own = np.frombuffer(zlib.decompress(counts), dtype=np.int64)
+                    sums[part] = sums[part] + own if part in sums else own
+            if once:
+                table = _table() if table is None else table
+                tally(once, table)
+        if table is not None:
+            for part, own in _slices(table).items():
+                sums[part] = sums[part] + own if part in sums else own
+        yield _packed(sums)
+
+    counts = keyed.coalesce(4 * spark.sparkContext.defaultParallelism).mapInArrow(count, COUNTS)
+    counts = counts.repartition("part", "h").sortWithinPartitions("part", "h", "h2").mapInArrow(add, COUNTS)
+    rows = counts.repartition("part").mapInArrow(add, COUNTS).select("part", "counts").toArrow()
+    table = _table()
+    flat = table.reshape(-1, PLACES)
+    for part, own in zip(rows["part"].to_pylist(), rows["counts"].to_pylist(), strict=True):
+        flat[part] += np.frombuffer(zlib.decompress(own), dtype=np.int64)
+    shared.destroy()
+    return dict(zip(LANGUAGES, table, strict=True))
 
 
 def residue(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -335,14 +357,15 @@ def residue(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     the seeds.
     """
     rows = documents.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    models = fit_table(rows.where(F.length(F.trim("text")) > 0).select("text"))
-    shared = documents.sparkSession.sparkContext.broadcast(models)  # three tables of fixed size
+    models = models_of(prose_counts(rows.where(F.length(F.trim("text")) > 0).select("text")))
+    shared = documents.sparkSession.sparkContext.broadcast(models)  # tables of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m: Models = shared.value
         for b in batches:
             texts = [t or "" for t in b.column("text").to_pylist()]
-            fields, cover = [m.unfilled(t) for t in texts], [m.coverage(codes_of(t.strip()), language_of(t)) for t in texts]
+            spoken = [language_of(t) for t in texts]
+            fields, cover = [m.unfilled(t, x) for t, x in zip(texts, spoken, strict=True)], [m.coverage(t, x) for t, x in zip(texts, spoken, strict=True)]
             verdict = [f > 0 or c >= LEAST_COVER for f, c in zip(fields, cover, strict=True)]
             yield pa.record_batch([b.column("doc_id"), pa.array(fields, pa.int64()), pa.array(cover, pa.float64()), pa.array(verdict, pa.bool_())], ["doc_id", "fields", "coverage", "is_residue"])
 

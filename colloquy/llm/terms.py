@@ -16,20 +16,18 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colloquy.llm.repeats import Repeats, repeats
 from colloquy.session import cut, read_table
 
 #: Rows of the sample in which heavy terms are looked for, the least share of them that makes a term heavy, and so,
 #: at most terms-per-item / share of them are broadcast.
 SAMPLE_ROWS, HEAVY_SHARE, MOST_HEAVY = 20_000, 0.005, 4_096
-#: Bits of the filter of ids that repeat, and how many an id sets. A full filter only sends more rows by shuffle.
-FILTER_BITS, PROBES = 1 << 25, 3
 #: Light terms a task holds before it passes their sums on.
 MOST_LIGHT = 200_000
 SPACE = re.compile(r"\s+")
@@ -56,37 +54,6 @@ def tag_terms(*documents: str | None) -> list[str]:
     return out
 
 
-@dataclass
-class Ids:
-    """What a pass over the ids found: rows, distinct ids, and the filter of ids that repeat."""
-
-    rows: int
-    items: int
-    words: np.ndarray
-
-    def repeated(self, hashes: np.ndarray) -> np.ndarray:
-        """Which rows may repeat an id, by the xxhash64 of their ids; false for every id of one row, but a few."""
-        out = np.ones(len(hashes), dtype=bool)
-        for k in range(PROBES):
-            at = (hashes.view(np.uint64) >> np.uint64(k * 20)) & np.uint64(64 * len(self.words) - 1)
-            out &= (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-        return out
-
-
-def ids_of(rows: DataFrame) -> Ids:
-    """``rows``: id, h. Ids are shuffled, aggregated before; what is collected is at most the filter."""
-    per = rows.groupBy("id", "h").agg(F.count("*").alias("n"))
-    at = [F.shiftrightunsigned("h", k * 20).bitwiseAND(F.lit(FILTER_BITS - 1)) for k in range(PROBES)]
-    bits = [F.struct(F.shiftright(a, 6).alias("word"), F.expr("1L").alias("one"), a.bitwiseAND(F.lit(63)).cast("int").alias("bit"), F.lit(0).cast("bigint").alias("n")) for a in at]
-    own = F.struct(F.lit(-1).cast("bigint").alias("word"), F.expr("0L").alias("one"), F.lit(0).alias("bit"), F.col("n").alias("n"))
-    each = per.select(F.inline(F.when(F.col("n") > 1, F.array(own, *bits)).otherwise(F.array(own))))
-    sums = each.groupBy("word").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("bits"), F.count("*").alias("ids"), F.sum("n").alias("n")).toArrow()
-    word, bits_, ids, n = (sums.column(c).to_numpy() for c in ("word", "bits", "ids", "n"))
-    words, own_at = np.zeros(FILTER_BITS // 64, dtype=np.uint64), np.flatnonzero(word == -1)
-    words[word[word >= 0]] = bits_[word >= 0].view(np.uint64)
-    return Ids(int(n[own_at].sum()), int(ids[own_at].sum()), words)
-
-
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct terms of each row."""
     for b in batches:
@@ -105,7 +72,7 @@ def _digest(row: tuple) -> bytes:
     return h.digest()
 
 
-def count_terms(batches: Iterator[pa.RecordBatch], heavy: list[str], ids: Ids) -> Iterator[pa.RecordBatch]:
+def count_terms(batches: Iterator[pa.RecordBatch], heavy: list[str], ids: Repeats) -> Iterator[pa.RecordBatch]:
     """Rows of id, hash of the id and fields, as rows of COUNTED: of heavy terms one each, of light ones one each time
     MOST_LIGHT of them are held, of rows whose id may repeat the row itself."""
     at = {t: k for k, t in enumerate(heavy)}
@@ -119,7 +86,7 @@ def count_terms(batches: Iterator[pa.RecordBatch], heavy: list[str], ids: Ids) -
         return table(len(terms), way=pa.array([way] * len(terms), pa.int32()), term=pa.array(terms, pa.string()), occurrences=pa.array(n, pa.int64()), items=pa.array(of, pa.int64()))
 
     for b in batches:
-        again = ids.repeated(b.column(1).to_numpy())
+        again = ids.may_repeat(b.column(1).to_numpy())
         held: tuple[list, list, list] = ([], [], [])
         for item, twice, *row in zip(b.column(0).to_pylist(), again.tolist(), *(b.column(k).to_pylist() for k in range(2, b.num_columns)), strict=True):
             terms = tag_terms(*row)
@@ -160,12 +127,12 @@ def counted_terms(items: DataFrame, item_id: str, fields: list[str]) -> tuple[Da
     spark = items.sparkSession
     key = F.col(item_id).cast("bigint")
     rows = items.where(F.col(item_id).isNotNull()).select(key.alias("id"), F.xxhash64(key).alias("h"), *[F.col(f).cast("string").alias(f"field_{k}") for k, f in enumerate(fields)])
-    found = ids_of(rows.select("id", "h"))
+    found = repeats(rows.select("id", "h"))
     sample = rows if found.rows <= SAMPLE_ROWS else rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(found.rows)) < SAMPLE_ROWS)
     seen = sample.mapInArrow(_terms, "term string").groupBy("term").count()
     least = max(2, int(HEAVY_SHARE * min(found.rows, SAMPLE_ROWS)))
     heavy = [r["term"] for r in seen.where(F.col("count") >= least).orderBy(F.desc("count"), "term").limit(MOST_HEAVY).collect()]
-    shared = spark.sparkContext.broadcast((heavy, found))  # a filter of FILTER_BITS and at most MOST_HEAVY terms
+    shared = spark.sparkContext.broadcast((heavy, found))  # a filter of fixed size and at most MOST_HEAVY terms
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from count_terms(batches, *shared.value)
@@ -177,7 +144,7 @@ def counted_terms(items: DataFrame, item_id: str, fields: list[str]) -> tuple[Da
     distinct = counted.where(F.col("way") == REPEATED).groupBy("id", "digest").agg(F.first("terms").alias("terms"))
     pairs = distinct.select("id", F.explode("terms").alias("term")).groupBy("id", "term").agg(F.count("*").alias("occurrences"))
     again = pairs.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.count("*").alias("items"))
-    return sums(light.unionByName(heavy_).unionByName(again)), found.items
+    return sums(light.unionByName(heavy_).unionByName(again)), found.keys
 
 
 def mark_terms(counts: DataFrame, n_items: int, rare_items: int = 2, common_share: float = 0.2) -> DataFrame:

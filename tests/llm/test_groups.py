@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from colloquy.functions.keys import url_identity
-from colloquy.llm import terms
+from colloquy.llm import repeats, terms
 from colloquy.llm.copies import hidden_copies
+from colloquy.llm.repeats import Repeats
 from colloquy.llm.splits import SHARES, allocate, linked_groups, split_groups, star_components
 
 
@@ -138,7 +139,7 @@ def test_heavy_and_light_counts_agree(heavy):
 
     doc = lambda *ts: '{"tags": [%s]}' % ", ".join('{"term": "%s"}' % t for t in ts)
     batch = pa.record_batch([pa.array([1, 1, 2, 3]), pa.array([10, 10, 20, 30]), pa.array([doc("talk", "a", "talk"), doc("talk"), doc("talk", "sleep"), None])], ["id", "h", "field_0"])
-    none = terms.Ids(4, 3, np.zeros(terms.FILTER_BITS // 64, dtype=np.uint64))
+    none = Repeats(4, 3, np.zeros(64, dtype=np.uint64))
     occurrences, items, ways = Counter(), Counter(), {}
     for out in terms.count_terms(iter([batch, batch.slice(2)]), heavy, none):
         for r in out.to_pylist():
@@ -150,10 +151,10 @@ def test_heavy_and_light_counts_agree(heavy):
 
 
 @pytest.mark.parametrize("turned", [False, True])
-@pytest.mark.parametrize("bits", [terms.FILTER_BITS, 64])
+@pytest.mark.parametrize("bits", [1 << 25, 64])
 def test_rows_of_one_id_that_differ_all_count(spark, monkeypatch, turned, bits):
     """Whatever the order of rows; an id with a third of all rows, some of them equal; a filter that is full."""
-    monkeypatch.setattr(terms, "FILTER_BITS", bits)
+    monkeypatch.setattr(repeats, "FILTER_BITS", bits)
     doc = lambda *ts: '{"tags": [%s]}' % ", ".join('{"term": "%s"}' % t for t in ts)
     rows = [(1, doc("a"), None), (1, doc("b"), None), (1, doc("a"), None)] + [(7, doc("hot", f"h{k % 5}"), doc("x")) for k in range(300)] + [(k, doc("x"), None) for k in range(100, 700)]
     want = {"a": (1, 1), "b": (1, 1), "hot": (5, 1), "x": (605, 601), **{f"h{k}": (1, 1) for k in range(5)}}
