@@ -38,8 +38,9 @@ from colloquy.session import read_table
 LANGUAGES = seeds.LANGUAGES
 #: Orders of n-grams; bits of the tables of content and of fields and quotes; positions scored at a time.
 ORDERS, BITS, FIELD_BITS, CHUNK = (2, 3, 4), 18, 16, 1 << 19
-#: The seeds' part in a residue model; what an n-gram is likely at least in prose; the part of the seeds' prose in prose.
-SEEDED, FLOOR, KNOWN_PROSE = 0.2, 2e-5, 0.1
+#: The seeds' part in a residue model; what an n-gram is likely at least in prose; the part of the seeds' prose in prose at
+#: least, and for how many n-grams of the corpus it counts.
+SEEDED, FLOOR, KNOWN_PROSE, KNOWN_GRAMS = 0.2, 2e-5, 0.1, 20_000
 #: Characters in a window; least mean log ratio of one that is residue; least share of residue in a text that is excluded.
 WINDOW, LEAST_RATIO, LEAST_COVER = 24, 0.15, 0.5
 #: Likelihood of an n-gram at least, and the least mean log ratio of a field; the same of sentences, and the least sum of
@@ -244,7 +245,7 @@ def models_of(prose: dict[str, np.ndarray]) -> Models:
     residue = {}
     for x in LANGUAGES:
         *kinds, known = content[x]
-        part = KNOWN_PROSE if prose[x].any() else 1.0
+        part = max(KNOWN_PROSE, KNOWN_GRAMS / (KNOWN_GRAMS + prose[x][0].sum()))
         natural = (1 - part) * shares(prose[x]) + part * known + FLOOR
         residue[x] = np.stack([np.log(1 - SEEDED + SEEDED * k / natural) for k in kinds], axis=2).astype(np.float32)
     return Models(residue, fields, quotes)
