@@ -36,13 +36,13 @@ def join_hot(big: DataFrame, small: DataFrame, key: str, count: str, hot: int) -
     return big.join(often, key).unionByName(big.join(F.broadcast(often.select(key)), key, "left_anti").join(rest, key))
 
 
-#: At most this many keys are broadcast as hot, whatever the number of rows.
-MOST_HOT = 1_000
+#: At most this many keys are broadcast as hot, whatever the number of rows; a task holds keys of fewer rows than LEAST_HOT.
+MOST_HOT, LEAST_HOT = 1_000, 50_000
 
 
 def hot_from(rows: int) -> int:
     """The least count of a hot key: with it, at most MOST_HOT of ``rows`` rows' keys are hot, and none that is small."""
-    return max(50_000, -(-rows // MOST_HOT))
+    return max(LEAST_HOT, -(-rows // MOST_HOT))
 
 
 def with_previous(df: DataFrame, keys: list[str], cell: str, order: list[str], values: list[str], name: str) -> DataFrame:
