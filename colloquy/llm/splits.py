@@ -6,11 +6,13 @@ Items that share a feed or a recording, directly or through others, form a compo
 smallest item id. Only recordings in two feeds or more make edges. Rounds of large star and small star turn each
 component into a star around its smallest node; each round's edges are cut off from their lineage.
 
-*Allocation.* Components of the same size and label profile (the label most of their items have) are one bundle; there
-are at most sqrt(2 * items) sizes, so bundles are few. Flow from bundles to splits is solved for quotas per split and per
-split and label, with the squares of the deviations as costs: its fractional optimum is proportional and has no
-deviation, which leaves at most (splits - 1) components a bundle to round. These go, largest first, where the marginal
-cost is least, and cycles of negative cost (moves and exchanges) are cancelled until there is none.
+*Allocation.* Components of the same size and label profile (the parts of its labels, in eighths) are one bundle, which is
+all the driver sees. Sizes are settled from the largest to the smallest. Those of one size are a min-cost flow in units of
+that size, from bundles over (label, split) to splits, whose costs are the squares of the deviations from the quotas of
+all items settled so far, per split and per split and label. It starts from the proportional flow rounded down; the units
+that are left go along shortest paths of the residual network, and cycles of negative cost are cancelled until there is
+none, so it is optimal and integral. Bundles of several labels flow first, each by itself. As quotas hold at each size, the
+splits also resemble each other in sizes, and what a size leaves over is settled by the smaller ones.
 
 *Members.* The components of a bundle are ordered by a seeded hash and dealt out in that order.
 """
@@ -77,105 +79,234 @@ def linked_groups(items: DataFrame, item_id: str, links: tuple[Column, Column],
     return rows.select("item_id", "feed").distinct(), feeds.join(nodes, "feed").select("feed", "group_id", "label", "n")
 
 
-def allocate(sizes: np.ndarray, labels: np.ndarray, counts: np.ndarray, shares: np.ndarray, most_steps: int = 100_000) -> np.ndarray:
+#: Parts of a profile.
+EIGHTHS = 8
+
+
+class Flow:
+    """Components of one size on their way from labels to splits. ``by_label`` (label, split) and ``by_split``: items above
+    the quota, before them and but for what is placed here."""
+
+    def __init__(self, counts: np.ndarray, size: int, by_label: np.ndarray, by_split: np.ndarray):
+        self.counts, self.size = counts, size
+        self.by_label, self.by_split = by_label.astype(float), by_split.astype(float)
+        self.placed = np.zeros(by_label.shape, dtype=np.int64)
+
+    def place(self, label: int, split: int, n: int = 1) -> None:
+        self.placed[label, split] += n
+        self.by_label[label, split] += n * self.size
+        self.by_split[split] += n * self.size
+
+    def network(self) -> tuple[np.ndarray, np.ndarray]:
+        """Residual costs [from, to] of one unit, infinite where there is no arc. Nodes: 0 the sink, then the splits, then
+        (label, split) for each label. A unit runs from (label, split) over the split to the sink, and back if there is
+        one; from (label, i) to (label, j) where a component of the label is in i and so can be moved to j."""
+        labels, splits = self.placed.shape
+        n = 1 + splits + labels * splits
+        cost = np.full((n, n), np.inf)
+        more = lambda over: 2 * self.size * over + self.size**2
+        less = lambda over: -2 * self.size * over + self.size**2
+        total = self.placed.sum(axis=0)
+        for k in range(splits):
+            cost[1 + k, 0] = more(self.by_split[k])
+            if total[k]:
+                cost[0, 1 + k] = less(self.by_split[k])
+            for x in range(labels):
+                node = 1 + splits + x * splits + k
+                cost[node, 1 + k] = more(self.by_label[x, k])
+                if self.placed[x, k]:
+                    cost[1 + k, node] = less(self.by_label[x, k])
+                    # taking a unit of the label out of k and putting it elsewhere: into k's node it comes from k
+                    for j in range(splits):
+                        if j != k:
+                            cost[node, 1 + splits + x * splits + j] = 0.0
+        return cost, np.arange(n)
+
+    def shortest(self, start: int | None) -> list[int] | None:
+        """Bellman-Ford: the nodes of the shortest path from ``start`` to the sink, or, without a start, those of a cycle
+        of negative cost (None: there is none)."""
+        cost, nodes = self.network()
+        far = np.zeros(len(nodes)) if start is None else np.where(nodes == start, 0.0, np.inf)
+        back = np.full(len(nodes), -1)
+        for _ in range(len(nodes)):
+            through = far[:, None] + cost
+            best = through.argmin(axis=0)
+            better = through[best, nodes] < far - 1e-6
+            if not better.any():
+                break
+            far, back = np.where(better, through[best, nodes], far), np.where(better, best, back)
+        else:
+            at = int(np.flatnonzero(better)[0])
+            for _ in nodes:
+                at = int(back[at])
+            cycle = [at]
+            while (prev := int(back[cycle[-1]])) != at:
+                cycle.append(prev)
+            return [at, *cycle[::-1]] if start is None else None
+        if start is None:
+            return None
+        path = [0]
+        while path[-1] != start:
+            path.append(int(back[path[-1]]))
+        return path[::-1]
+
+    def push(self, path: list[int]) -> None:
+        """Sends a unit along arcs of the residual network."""
+        labels, splits = self.placed.shape
+        for a, b in zip(path, path[1:], strict=False):
+            low, high = min(a, b), max(a, b)
+            if high > splits and low > splits:
+                continue  # a move between two nodes of a label: what it changes is at their arcs to the splits
+            if low == 0:
+                self.by_split[high - 1] += self.size if a > b else -self.size
+            else:
+                x, k = divmod(high - 1 - splits, splits)
+                sign = 1 if a > b else -1
+                self.placed[x, k] += sign
+                self.by_label[x, k] += sign * self.size
+
+    def solve(self, shares: np.ndarray) -> np.ndarray:
+        floors = np.floor(self.counts[:, None] * shares[None, :] + 1e-9).astype(np.int64)
+        for x, k in zip(*np.nonzero(floors), strict=True):
+            self.place(int(x), int(k), int(floors[x, k]))
+        self.cancel()
+        for x in np.flatnonzero(self.counts > floors.sum(axis=1)).tolist():
+            for _ in range(int(self.counts[x] - floors[x].sum())):
+                # a unit of the label may enter at any split's node
+                self.push(self.cheapest(x))
+        self.cancel()
+        return self.placed
+
+    def cheapest(self, label: int) -> list[int]:
+        splits = self.placed.shape[1]
+        paths = [self.shortest(1 + splits + label * splits + k) for k in range(splits)]
+        cost, _ = self.network()
+        return min(filter(None, paths), key=lambda p: sum(cost[a, b] for a, b in zip(p, p[1:], strict=False)))
+
+    def cancel(self) -> None:
+        while cycle := self.shortest(None):
+            self.push(cycle)
+
+
+def allocate(sizes: np.ndarray, profiles: np.ndarray, counts: np.ndarray, shares: np.ndarray) -> np.ndarray:
     """How many components of each bundle go into each split: integers, with the bundles' counts as row sums.
 
-    ``sizes``: items of one component; ``labels``: numbers from 0. Costs are the squared deviations of the items from the
-    quotas, per split and per split and label.
+    ``sizes``: items of one component; ``profiles`` (bundle, label): the parts of the labels in them, whose sum is 1;
+    bundles of the same size have different profiles. Costs are the squared deviations of the items from the quotas, per
+    split and per split and label.
     """
-    out = np.floor(counts[:, None] * shares[None, :] + 1e-9).astype(np.int64)
-    n_labels = int(labels.max()) + 1 if len(labels) else 0
-    total = np.zeros(n_labels)
-    np.add.at(total, labels, (sizes * counts).astype(float))
-    over = -np.outer(total, shares)  # items above quota
-    np.add.at(over, labels, (out * sizes[:, None]).astype(float))
-    whole = over.sum(axis=0)
-
-    def add(b: int, k: int, by: int) -> None:
-        out[b, k] += by
-        over[labels[b], k] += by * sizes[b]
-        whole[k] += by * sizes[b]
-
-    left = counts - out.sum(axis=1)
-    for b in sorted(np.flatnonzero(left).tolist(), key=lambda b: (-sizes[b], labels[b])):
-        for _ in range(int(left[b])):
-            # of (d + s)^2 - d^2 only 2 d s depends on the split
-            add(b, int(np.argmin(over[labels[b]] + whole)), 1)
-
-    def gain(b: np.ndarray, i: int, j: int) -> np.ndarray:
-        """Change of cost if one component of each bundle b moved from split i to j."""
-        s = sizes[b].astype(float)
-        return 2 * s * (over[labels[b], j] - over[labels[b], i] + s) + 2 * s * (whole[j] - whole[i] + s)
-
-    pairs = [(i, j) for i in range(len(shares)) for j in range(len(shares)) if i != j]
-    for _ in range(most_steps):
-        best = (-1e-6, None)
-        for i, j in pairs:
-            b = np.flatnonzero(out[:, i])
-            if len(b) and (g := gain(b, i, j))[k := int(np.argmin(g))] < best[0]:
-                best = (g[k], [(int(b[k]), i, j)])
-        if best[1] is None:  # exchanges: of the moves that cost least, with what then pays best in return
-            for i, j in pairs:
-                b = np.flatnonzero(out[:, i])
-                g = gain(b, i, j)
-                for k in np.argsort(g, kind="stable")[:64].tolist():
-                    add(int(b[k]), i, -1), add(int(b[k]), j, 1)
-                    back = np.flatnonzero(out[:, j])
-                    h = g[k] + gain(back, j, i)
-                    if len(h) and h[m := int(np.argmin(h))] < best[0]:
-                        best = (h[m], [(int(b[k]), i, j), (int(back[m]), j, i)])
-                    add(int(b[k]), j, -1), add(int(b[k]), i, 1)
-        if best[1] is None:
-            break
-        for b, i, j in best[1]:
-            add(b, i, -1), add(b, j, 1)
+    out = np.zeros((len(sizes), len(shares)), dtype=np.int64)
+    by_label, by_split = np.zeros((profiles.shape[1], len(shares))), np.zeros(len(shares))
+    for size in np.unique(sizes)[::-1]:
+        own = np.flatnonzero(sizes == size)
+        several = own[profiles[own].max(axis=1) < 1]
+        for b in several:
+            # one bundle: each unit goes where it costs least, which is the shortest path as long as units are alike
+            parts, n = profiles[b], int(counts[b])
+            by_label -= np.outer(parts * size * n, shares)
+            by_split -= shares * size * n
+            out[b] = np.floor(n * shares + 1e-9).astype(np.int64)
+            by_label += np.outer(parts * size, out[b])
+            by_split += out[b] * size
+            step = lambda sign: 2 * sign * (parts @ by_label + by_split) + size * (parts @ parts + 1)  # noqa: B023, E731
+            while out[b].sum() < n:
+                k = int(np.argmin(step(1)))
+                out[b, k] += 1
+                by_label[:, k] += parts * size
+                by_split[k] += size
+            while True:  # moves between splits
+                gain = step(1)[None, :] + np.where(out[b] > 0, step(-1), np.inf)[:, None]
+                np.fill_diagonal(gain, np.inf)
+                i, j = np.unravel_index(int(np.argmin(gain)), gain.shape)
+                if gain[i, j] > -1e-6:
+                    break
+                out[b, [i, j]] += (-1, 1)
+                by_label[:, [i, j]] += np.outer(parts * size, (-1, 1))
+                by_split[[i, j]] += np.array((-1, 1)) * size
+        one = np.setdiff1d(own, several)
+        if len(one):
+            label = profiles[one].argmax(axis=1)
+            by_label[label] -= np.outer(size * counts[one], shares)
+            by_split -= shares * size * counts[one].sum()
+            flow = Flow(counts[one], int(size), by_label[label], by_split)
+            out[one] = flow.solve(shares)
+            by_label[label], by_split = flow.by_label, flow.by_split
     return out
 
 
+def in_eighths(parts: Column) -> Column:
+    """Parts of labels, (label, n) by label, as (label, eighths), those of 0 left out: rounded to the nearest, and the one
+    with most, the first of them, takes what is left."""
+    whole = F.aggregate(parts, F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
+    rounded = F.transform(parts, lambda x: F.struct(x["label"].alias("label"), F.round(x["n"] * EIGHTHS / whole).cast("int").alias("n")))
+    most = F.array_max(F.transform(parts, lambda x: x["n"]))
+    first = F.array_position(F.transform(parts, lambda x: x["n"]), most)
+    rest = EIGHTHS - F.aggregate(rounded, F.lit(0), lambda a, x: a + x["n"])
+    full = F.transform(rounded, lambda x, i: F.struct(x["label"].alias("label"), (x["n"] + F.when(i + 1 == first, rest).otherwise(0)).alias("n")))
+    return F.filter(full, lambda x: x["n"] > 0)
+
+
 def split_groups(feeds: DataFrame, shares: dict[str, float] | None = None, seed: int = 7) -> DataFrame:
     """``group_id``, ``split``, ``n`` for the groups of linked_groups()."""
     shares = shares or SHARES
     spark = feeds.sparkSession
     by_label = feeds.groupBy("group_id", "label").agg(F.sum("n").alias("n"))
-    groups = cut(by_label.groupBy("group_id").agg(F.sum("n").alias("size"), F.max_by("label", F.struct("n", "label")).alias("profile")))
+    # a group has one row for each label, and labels are few
+    groups = by_label.groupBy("group_id").agg(F.sum("n").alias("size"), F.array_sort(F.collect_list(F.struct("label", "n"))).alias("parts"))
+    profile = F.array_join(F.transform(in_eighths(F.col("parts")), lambda x: F.concat(x["n"].cast("string"), F.lit("\x02"), x["label"])), "\x01")
+    groups = cut(groups.select("group_id", "size", profile.alias("profile")))
     bundles = groups.groupBy("size", "profile").agg(F.count("*").alias("groups")).orderBy("size", "profile").collect()
     if not bundles:
         return groups.select("group_id", F.lit("train").alias("split"), F.col("size").alias("n"))
-    names = sorted({r["profile"] for r in bundles})
-    dealt = allocate(np.array([r["size"] for r in bundles]), np.array([names.index(r["profile"]) for r in bundles]), np.array([r["groups"] for r in bundles]), np.array(list(shares.values())) / sum(shares.values()))
+    parts = [[(label, int(n)) for n, label in (p.split("\x02", 1) for p in r["profile"].split("\x01"))] for r in bundles]
+    names = sorted({label for p in parts for label, _ in p})
+    profiles = np.zeros((len(bundles), len(names)))
+    for row, own in zip(profiles, parts, strict=True):
+        for label, n in own:
+            row[names.index(label)] = n / EIGHTHS
+    dealt = allocate(np.array([r["size"] for r in bundles]), profiles, np.array([r["groups"] for r in bundles]), np.array(list(shares.values())) / sum(shares.values()))
     ends = dealt.cumsum(axis=1)
     table = spark.createDataFrame([(r["size"], r["profile"], [int(x) for x in e]) for r, e in zip(bundles, ends, strict=True)], "size bigint, profile string, ends array<bigint>")
     hashed = groups.withColumn("__h", F.xxhash64("group_id", F.lit(seed))).withColumn("__cell", F.shiftrightunsigned("__h", 54))
     ranked = running_before(hashed, ["size", "profile"], "__cell", [F.col("__h"), F.col("group_id")], F.lit(1), "rank")
-    # at most sqrt(2 * items) sizes for each label: small enough to broadcast
+    # as many rows as bundles, which the driver has just seen
     ranked = ranked.join(F.broadcast(table), ["size", "profile"])
     split = F.element_at(F.array(*map(F.lit, shares)), (F.size(F.filter("ends", lambda e: e <= F.col("rank"))) + 1).cast("int"))
     return ranked.select("group_id", split.alias("split"), F.col("size").alias("n"))
 
 
-def _linked(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    items = read_table(spark, d, "audio_items")
-    language = F.substring(F.lower(F.trim("lang")), 1, 2)
-    return linked_groups(items, "item_id", (url_identity(F.col("rss_url")), url_identity(F.col("audio_url"))), F.nullif(language, F.lit("")))
+def split_items(items: DataFrame, item_id: str, links: tuple[Column, Column], label: Column, shares: dict[str, float] | None = None) -> DataFrame:
+    """``item_id``, ``group_id``, ``split``: every item once, with its group, by linked_groups(), and its split, by
+    split_groups(). What holds for those of nulls, repeats and empty tables holds here."""
+    rows, feeds = linked_groups(items, item_id, links, label)
+    feeds = cut(feeds)
+    per_feed = feeds.groupBy("feed").agg(F.min("group_id").alias("group_id"), F.sum("n").alias("n"))
+    per_feed = per_feed.join(split_groups(feeds, shares).select("group_id", "split"), "group_id")
+    joined = join_hot(rows, per_feed, "feed", "n", hot_from(rows.count()))
+    return joined.select("item_id", "group_id", "split").distinct()
 
 
-def _join_feeds(rows: DataFrame, per_feed: DataFrame) -> DataFrame:
-    return join_hot(rows, per_feed, "feed", "n", hot_from(rows.count()))
+def p3_splits(spark: SparkSession, d: str) -> DataFrame:
+    """Every item with its group and split."""
+    language = F.substring(F.lower(F.trim("lang")), 1, 2)
+    return split_items(read_table(spark, d, "audio_items"), "item_id", (url_identity(F.col("rss_url")), url_identity(F.col("audio_url"))), F.nullif(language, F.lit("")))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    rows, feeds = _linked(spark, d)
-    joined = _join_feeds(rows, feeds.groupBy("feed").agg(F.min("group_id").alias("group_id"), F.sum("n").alias("n")))
-    return joined.where("item_id <> group_id").select("group_id", "item_id").distinct()
+    """The sets that the splits keep together."""
+    return p3_splits(spark, d).where("item_id <> group_id").select("group_id", "item_id")
 
 
-def p3_splits(spark: SparkSession, d: str) -> DataFrame:
-    """Every item with its group and split."""
-    rows, feeds = _linked(spark, d)
-    feeds = cut(feeds)
-    per_feed = feeds.groupBy("feed").agg(F.min("group_id").alias("group_id"), F.sum("n").alias("n"))
-    per_feed = per_feed.join(split_groups(feeds).select("group_id", "split"), "group_id")
-    return _join_feeds(rows, per_feed).select("item_id", "group_id", "split")
+def p3_quotas(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the splits: items, items more than once, groups in two splits, and whether each split's items are
+    within one of its quota, as they can be where there are single items enough."""
+    items = cut(p3_splits(spark, d))
+    by = items.groupBy("split").agg(F.count("*").alias("n"))
+    total = items.agg(F.count("*").alias("items"), (F.count("*") - F.count_distinct("item_id")).alias("repeats"))
+    torn = items.groupBy("group_id").agg((F.count_distinct("split") > 1).alias("torn")).agg(F.count_if("torn").alias("torn_groups"))
+    quota = F.element_at(F.create_map(*[F.lit(x) for kv in SHARES.items() for x in kv]), F.col("split")) * F.col("items")
+    off = by.crossJoin(F.broadcast(total.select("items"))).agg(F.max(F.abs(F.col("n") - quota)).alias("off"))  # one row each
+    return total.crossJoin(F.broadcast(torn)).crossJoin(F.broadcast(off)).select("items", "repeats", "torn_groups", (F.col("off") <= 1).alias("near_quota"))
 
 
 _LINK = f"""
@@ -187,4 +318,5 @@ n AS (SELECT coalesce('f' || r, 'a' || a, 'i' || item_id) AS feed, min(item_id)
 g AS (SELECT u, min(first) AS group_id FROM reach JOIN n ON n.feed = reach.v GROUP BY u)
 """
 SQL = {"p3_found": _LINK + "SELECT DISTINCT group_id, item_id FROM k JOIN g ON g.u = coalesce('f' || r, 'a' || a, 'i' || item_id) WHERE item_id <> group_id"}
-QUERIES = {"p3_found": p3_found, "p3_splits": p3_splits}
+SQL["p3_quotas"] = "SELECT count(DISTINCT item_id) AS items, CAST(0 AS BIGINT) AS repeats, CAST(0 AS BIGINT) AS torn_groups, true AS near_quota FROM audio_items"
+QUERIES = {"p3_found": p3_found, "p3_splits": p3_splits, "p3_quotas": p3_quotas}

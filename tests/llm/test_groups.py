@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 from collections import Counter
 
@@ -11,7 +12,8 @@ from colloquy.functions.keys import url_identity
 from colloquy.llm import repeats, terms
 from colloquy.llm.copies import hidden_copies
 from colloquy.llm.repeats import Repeats
-from colloquy.llm.splits import SHARES, allocate, linked_groups, split_groups, star_components
+from colloquy.llm.splits import SHARES, Flow, allocate, in_eighths, linked_groups, split_groups, split_items, star_components
+from colloquy.operators import prefix
 
 
 def test_copies_over_many_partitions(spark):
@@ -91,17 +93,94 @@ def test_linked_groups(spark):
     assert split_groups(empty[1]).count() == 0 == empty[0].count()
 
 
-def test_allocation_meets_quotas():
+def deviations(sizes, profiles, out, shares):
+    """Items above the quota by (label, split) and by split, over all bundles."""
+    items = (out * sizes[:, None]).astype(float)
+    own = items.sum(axis=1, keepdims=True) * shares
+    return profiles.T @ (items - own), (items - own).sum(axis=0)
+
+
+def cost(sizes, profiles, out, shares):
+    by_label, by_split = deviations(sizes, profiles, out, shares)
+    return (by_label**2).sum() + (by_split**2).sum()
+
+
+def test_flow_of_one_size_is_optimal():
+    """Against every way to place the components, starting from any deviations."""
+    rng = np.random.default_rng(4)
+    shares = np.array([0.6, 0.25, 0.15])
+    for _ in range(60):
+        labels, size = int(rng.integers(1, 4)), int(rng.integers(1, 9))
+        counts = rng.integers(0, 5, labels)
+        by_label, by_split = rng.normal(0, 12, (labels, 3)), rng.normal(0, 12, 3)
+        placed = Flow(counts, size, by_label, by_split).solve(shares)
+        assert (placed.sum(axis=1) == counts).all() and (placed >= 0).all()
+        total = lambda x: ((by_label + size * x) ** 2).sum() + ((by_split + size * x.sum(axis=0)) ** 2).sum()  # noqa: B023, E731
+        ways = [[(i, j, c - i - j) for i in range(c + 1) for j in range(c + 1 - i)] for c in counts.tolist()]
+        best = min(total(np.array(w)) for w in itertools.product(*ways))
+        assert total(placed) == pytest.approx(best)
+
+
+def test_cycles_through_three_splits_are_cancelled():
+    flow = Flow(np.array([1, 1, 1]), 1, np.array([[9.0, 0, 9], [9, 9, 0], [0, 9, 9]]), np.zeros(3))
+    for label, split in ((0, 0), (1, 1), (2, 2)):
+        flow.place(label, split)
+    flow.cancel()
+    assert flow.placed.tolist() == [[0, 1, 0], [0, 0, 1], [1, 0, 0]]
+
+
+def test_allocation_meets_quotas_by_split_and_label():
     rng = np.random.default_rng(1)
-    sizes = np.array([1, 2, 3, 5, 8, 40, 200, 333])
-    labels = rng.integers(0, 3, len(sizes))
-    counts = np.array([4_000, 900, 400, 90, 60, 9, 2, 1])
+    sizes, counts = np.array([1, 2, 3, 5, 8, 40, 200, 333] * 3), np.array([4_000, 900, 400, 90, 60, 9, 2, 1] * 3)
+    profiles = np.repeat(np.eye(3), 8, axis=0)
+    mixed = rng.dirichlet(np.ones(3), 4)
+    sizes, counts, profiles = np.r_[sizes, 40, 40, 8, 3], np.r_[counts, 3, 1, 7, 50], np.r_[profiles, mixed]
     shares = np.array([0.8, 0.1, 0.1])
-    out = allocate(sizes, labels, counts, shares)
+    out = allocate(sizes, profiles, counts, shares)
     assert (out.sum(axis=1) == counts).all() and (out >= 0).all()
-    total = (sizes * counts).sum()
-    assert np.abs((out * sizes[:, None]).sum(axis=0) - total * shares).max() <= 40
-    assert allocate(np.array([7]), np.array([0]), np.array([1]), shares).tolist() == [[1, 0, 0]]
+    by_label, by_split = deviations(sizes, profiles, out, shares)
+    assert np.abs(by_split).max() <= 1 and np.abs(by_label).max() <= 2
+    assert allocate(np.array([7]), np.eye(1), np.array([1]), shares).tolist() == [[1, 0, 0]]
+    assert allocate(np.array([7]), np.array([[0.5, 0.5]]), np.array([1]), shares).tolist() == [[1, 0, 0]]
+
+
+def test_allocation_is_near_the_best_of_all():
+    """A few small bundles: the cost of all sizes together against brute force."""
+    rng = np.random.default_rng(2)
+    shares = np.array([0.5, 0.5])
+    for _ in range(30):
+        sizes = np.sort(rng.choice(np.arange(1, 7), 3, replace=False))
+        sizes[0] = 1
+        profiles = np.eye(2)[rng.integers(0, 2, 3)]
+        counts = np.array([rng.integers(4, 8), rng.integers(1, 4), rng.integers(1, 4)])
+        best = min(cost(sizes, profiles, np.array([(i, c - i) for i, c in zip(w, counts, strict=True)]), shares) for w in itertools.product(*[range(c + 1) for c in counts.tolist()]))
+        assert cost(sizes, profiles, allocate(sizes, profiles, counts, shares), shares) <= best + 2 * sizes.max() ** 2
+
+
+def test_eighths(spark):
+    rows = [(1, [("en", 1)]), (2, [("en", 1), ("vi", 1)]), (3, [("en", 1), ("es", 1), ("vi", 1)]), (4, [("en", 97), ("es", 1), ("vi", 2)])]
+    df = spark.createDataFrame(rows, "id int, parts array<struct<label: string, n: bigint>>").select("id", in_eighths(F.col("parts")).alias("e"))
+    got = {r.id: [tuple(x) for x in r.e] for r in df.collect()}
+    assert got == {1: [("en", 8)], 2: [("en", 4), ("vi", 4)], 3: [("en", 2), ("es", 3), ("vi", 3)], 4: [("en", 8)]}
+
+
+@pytest.mark.parametrize("least_hot", [50_000, 1])
+def test_split_items_with_a_hot_feed(spark, monkeypatch, least_hot):
+    """A feed with a third of all rows, by either way of joining; nulls, repeats and clashing columns."""
+    monkeypatch.setattr(prefix, "LEAST_HOT", least_hot)
+    rnd = random.Random(3)
+    rows = [(k, "hot" if k % 3 == 0 else f"f{rnd.randrange(200)}", f"u{rnd.randrange(4_000)}", rnd.choice(["vi", "en", None]), "x") for k in range(1_200)]
+    rows += rows[:30] + [(5_000, None, None, "vi", "x"), (5_001, None, "u1", "vi", "x"), (None, "hot", "u2", "vi", "x")]
+    df = spark.createDataFrame(rows, "id bigint, rss string, url string, lang string, group_id string")
+    got = split_items(df, "id", (F.col("rss"), F.col("url")), F.col("lang")).collect()
+    roots = components([(f"i{r[0]}", f"{c}{r[k]}") for r in rows if r[0] is not None for k, c in ((1, "f"), (2, "u")) if r[k] is not None])
+    sets = {}
+    for r in rows:
+        if r[0] is not None:
+            sets.setdefault(roots.get(f"i{r[0]}", r[0]), set()).add(r[0])
+    assert {(r.item_id, r.group_id) for r in got} == {(i, min(s)) for s in sets.values() for i in s} and len(got) == 1_202
+    assert len({(r.group_id, r.split) for r in got}) == len(sets)
+    assert split_items(df.limit(0), "id", (F.col("rss"), F.col("url")), F.col("lang")).count() == 0
 
 
 def test_splits_of_many_groups(spark):
