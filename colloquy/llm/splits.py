@@ -12,7 +12,8 @@ that size, from bundles over (label, split) to splits, whose costs are the squar
 all items settled so far, per split and per split and label. It starts from the proportional flow rounded down; the units
 that are left go along shortest paths of the residual network, and cycles of negative cost are cancelled until there is
 none, so it is optimal and integral. Bundles of several labels flow first, each by itself. As quotas hold at each size, the
-splits also resemble each other in sizes, and what a size leaves over is settled by the smaller ones.
+splits also resemble each other in sizes, and what a size leaves over is settled by the smaller ones; where
+these don't suffice, exchange() goes over all sizes at the end.
 
 *Members.* The components of a bundle are ordered by a seeded hash and dealt out in that order.
 """
@@ -231,9 +232,38 @@ def allocate(sizes: np.ndarray, profiles: np.ndarray, counts: np.ndarray, shares
             flow = Flow(counts[one], int(size), by_label[label], by_split)
             out[one] = flow.solve(shares)
             by_label[label], by_split = flow.by_label, flow.by_split
+    exchange(out, sizes, profiles, by_label, by_split)
     return out
 
 
+def exchange(out: np.ndarray, sizes: np.ndarray, profiles: np.ndarray, by_label: np.ndarray, by_split: np.ndarray, block: int = 512) -> None:
+    """While a split is off its quota by more than the smallest component, as can be where large ones had to be placed first
+    and few small ones followed: the move of one component or exchange of two, of any sizes, that lowers the costs most."""
+    while len(sizes) and np.abs(by_split).max() > sizes.min():
+        best, change = -1e-6, []
+        for i, j in ((i, j) for i in range(out.shape[1]) for j in range(out.shape[1]) if i != j):
+            here, there = np.flatnonzero(out[:, i]), np.flatnonzero(out[:, j])
+            gain = lambda b, i, j: 2 * sizes[b] * (profiles[b] @ (by_label[:, j] - by_label[:, i]) + by_split[j] - by_split[i] + sizes[b] * ((profiles[b] ** 2).sum(axis=1) + 1))
+            go = gain(here, i, j)
+            if len(go) and go.min() < best:
+                best, change = float(go.min()), [(int(here[go.argmin()]), i, j)]
+            if i > j or not len(there):
+                continue
+            come = gain(there, j, i)
+            for at in range(0, len(here), block):
+                own = here[at : at + block]
+                both = go[at : at + block, None] + come[None, :] - 4 * np.outer(sizes[own], sizes[there]) * (profiles[own] @ profiles[there].T + 1)
+                a, b = np.unravel_index(int(both.argmin()), both.shape)
+                if both[a, b] < best:
+                    best, change = float(both[a, b]), [(int(own[a]), i, j), (int(there[b]), j, i)]
+        if not change:
+            return
+        for b, i, j in change:
+            out[b, [i, j]] += (-1, 1)
+            by_label[:, [i, j]] += np.outer(profiles[b] * sizes[b], (-1, 1))
+            by_split[[i, j]] += np.array((-1, 1)) * sizes[b]
+
+
 def in_eighths(parts: Column) -> Column:
     """Parts of labels, (label, n) by label, as (label, eighths), those of 0 left out: rounded to the nearest, and the one
     with most, the first of them, takes what is left."""
@@ -299,14 +329,14 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_quotas(spark: SparkSession, d: str) -> DataFrame:
     """What must hold of the splits: items, items more than once, groups in two splits, and whether each split's items are
-    within one of its quota, as they can be where there are single items enough."""
+    within one of its quota, or within 1 % of all items."""
     items = cut(p3_splits(spark, d))
     by = items.groupBy("split").agg(F.count("*").alias("n"))
     total = items.agg(F.count("*").alias("items"), (F.count("*") - F.count_distinct("item_id")).alias("repeats"))
     torn = items.groupBy("group_id").agg((F.count_distinct("split") > 1).alias("torn")).agg(F.count_if("torn").alias("torn_groups"))
     quota = F.element_at(F.create_map(*[F.lit(x) for kv in SHARES.items() for x in kv]), F.col("split")) * F.col("items")
     off = by.crossJoin(F.broadcast(total.select("items"))).agg(F.max(F.abs(F.col("n") - quota)).alias("off"))  # one row each
-    return total.crossJoin(F.broadcast(torn)).crossJoin(F.broadcast(off)).select("items", "repeats", "torn_groups", (F.col("off") <= 1).alias("near_quota"))
+    return total.crossJoin(F.broadcast(torn)).crossJoin(F.broadcast(off)).select("items", "repeats", "torn_groups", (F.col("off") <= F.greatest(F.lit(1.0), F.col("items") / 100)).alias("near_quota"))
 
 
 _LINK = f"""

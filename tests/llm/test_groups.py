@@ -157,6 +157,15 @@ def test_allocation_is_near_the_best_of_all():
         assert cost(sizes, profiles, allocate(sizes, profiles, counts, shares), shares) <= best + 2 * sizes.max() ** 2
 
 
+def test_few_large_groups():
+    """As far off the quotas as with the best of all ways."""
+    sizes, shares = np.array([59, 57, 33, 18, 16, 12, 5]), np.array([0.8, 0.1, 0.1])
+    profiles, counts = np.ones((7, 1)), np.ones(7, dtype=np.int64)
+    out = allocate(sizes, profiles, counts, shares)
+    best = min(cost(sizes, profiles, np.eye(3, dtype=np.int64)[list(w)], shares) for w in itertools.product(range(3), repeat=7))
+    assert cost(sizes, profiles, out, shares) == pytest.approx(best)
+
+
 def test_eighths(spark):
     rows = [(1, [("en", 1)]), (2, [("en", 1), ("vi", 1)]), (3, [("en", 1), ("es", 1), ("vi", 1)]), (4, [("en", 97), ("es", 1), ("vi", 2)])]
     df = spark.createDataFrame(rows, "id int, parts array<struct<label: string, n: bigint>>").select("id", in_eighths(F.col("parts")).alias("e"))
