@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from colloquy.llm.pieces import audio_pieces, cut_offsets, pause_offsets, tiers_of
-from colloquy.llm.runs import agglomerate, collapse_runs
+from colloquy.llm.runs import agglomerate, collapse_runs, edit_similarity
 
 TASKS = "task_id bigint, dlg_key string, episode_key string, dialogue_idx int, dlg_start double, dlg_end double, wav_rate int, dlg_wav array<float>, queued_at int, piece_no string"
 SEGMENTS = "episode_key string, start_sec double, end_sec double, total string"
@@ -121,8 +122,72 @@ def test_runs_of_nothing_and_of_nulls(spark):
     assert got.count() == 0
 
 
-def test_agglomerate_respects_both_limits():
-    s, g = np.array([1.0, 0.9, 1.0, np.nan, 1.0]), np.array([0, 0, 500, 0, 0])
-    assert agglomerate(s, g, 0.95, None).tolist() == [0, 0, 1, 1, 2, 2]
-    assert agglomerate(s, g, 0.5, 100).tolist() == [0, 0, 0, 1, 2, 2]
-    assert agglomerate(np.zeros(0), np.zeros(0), 1.0, None).tolist() == [0]
+def brute_agglomeration(rows, least, most_gap):
+    """Pair after pair, the most similar first, over whole sequences."""
+    out = []
+    for entity in sorted({r[0] for r in rows}):
+        runs = [[(i, label, s, e)] for _, i, label, s, e in sorted({r for r in rows if r[0] == entity}, key=lambda r: (r[3], r[1]))]
+        while True:
+            best = None
+            for k, (a, b) in enumerate(zip(runs, runs[1:], strict=False)):
+                gap = b[0][2] - a[-1][3]
+                if None in (a[0][1], b[0][1]) or most_gap is not None and gap > most_gap:
+                    continue
+                alike = min(edit_similarity(x[1], y[1]) for x in a for y in b)
+                if alike >= least:
+                    best = min(best or (1,), (-alike, gap, ((b[0][0] * 0x9E3779B97F4A7C15) % 2**64) >> 1, k))
+            if best is None:
+                break
+            runs[best[3] : best[3] + 2] = [runs[best[3]] + runs[best[3] + 1]]
+        for run in runs:
+            n = Counter(x[1] for x in run)
+            out.append((entity, run[0][0], run[-1][0], min(n, key=lambda x: (-n[x], str(x))), len(run), run[0][2], max(x[3] for x in run)))
+    return sorted(out, key=lambda t: t[:2])
+
+
+@pytest.mark.parametrize(("least", "gap"), [(0.5, None), (0.6, 300), (1.0, None)])
+def test_near_identical_events_match_brute_force(spark, least, gap):
+    """Divided into any cells and batches; one entity has most rows."""
+    rnd = random.Random(11)
+    names = ["intro", "intra", "into", "outro", "ultra", "in", "music", "musik", None]
+    rows = []
+    for k in range(500):
+        s = rnd.randrange(0, 9_000, 10)
+        rows.append((rnd.choice("aaab"), k, rnd.choice(names), s, s + rnd.choice([1, 50, 400])))
+    want = brute_agglomeration(rows, least, gap)
+    assert any(r[4] > 2 for r in want)
+    df = spark.createDataFrame(rows, "who string, i bigint, what string, s bigint, e bigint").repartition(3)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for cell, batch in ((70, 10_000), (1_000, 7), (10**9, 5), (10**9, 10_000)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+            got = collapse_runs(df, "who", "i", "what", "s", "e", similar=edit_similarity, least_similarity=least, most_gap_ms=gap, cell_ms=cell).collect()
+            assert sorted((tuple(r) for r in got), key=lambda t: t[:2]) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_the_most_similar_pair_goes_first():
+    """Once abcd and abce are one run, it is no more like zbce than abxx is like it, and goes with abxx, which keeps zbce out;
+    if abce joins zbce first, abxx is left out."""
+    labels = ["abxx", "abcd", "abce", "zbce"]
+    near, gap, tie = np.ones(3, bool), np.zeros(3, np.int64), np.arange(3)
+    similarity = np.array([edit_similarity(a, b) for a, b in zip(labels, labels[1:], strict=False)])
+    assert similarity.tolist() == [0.5, 0.75, 0.75]
+    run = lambda tie, waits: agglomerate([{x: 1} for x in labels], near, similarity, gap, tie, waits, edit_similarity, 0.5).tolist()
+    assert run(tie, [False] * 4) == [True, False, False, True]
+    assert run(tie[::-1], [False] * 4) == [True, True, False, False]
+    waits = [False, False, False, True]
+    assert run(tie[::-1], waits) == [True, True, True, True] and waits == [True, True, True, True]
+    assert edit_similarity("", "") == 1.0 and edit_similarity("", "ab") == 0.0
+
+
+def test_waiting_runs_are_few():
+    """Of a long sequence in which all may merge, only what is near its ends waits for what lies beyond."""
+    n, rnd = 20_000, np.random.default_rng(5)
+    names = ["aaaaaaaa", "aaaaaaab", "aaaaaaba", "aaaaabaa"]
+    labels = [{names[k]: 1} for k in rnd.integers(0, 4, n)]
+    similarity = np.array([edit_similarity(*a, *b) for a, b in zip(labels, labels[1:], strict=False)])
+    waits = [True] + [False] * (n - 2) + [True]
+    starts = agglomerate(labels, np.ones(n - 1, bool), similarity, np.zeros(n - 1, np.int64), rnd.permutation(n - 1), waits, edit_similarity, 0.8)
+    assert sum(w for w, s in zip(waits, starts.tolist(), strict=True) if s) < 60
