@@ -2,8 +2,8 @@
 
 Records are reduced to a canonical key, range-partitioned by (key, id) and sorted within partitions, which spills to
 disk as needed. Equal keys then lie side by side and one scan finds them, comparing full keys, not hashes. As the id is
-part of the range key, a key with a third of all rows fills many partitions; only the runs at the edges of partitions can
-go on in another one, and their keys, at most two a partition, are all that is compared between partitions.
+part of the range key, a key with a third of all rows fills many partitions; only the first and the last run of a partition
+can go on in another one, and only their keys, two a partition at most, are compared between partitions.
 """
 
 from __future__ import annotations
@@ -23,22 +23,23 @@ SCANNED = "origin string, key string, id bigint, first_id bigint, edge boolean"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (origin, key, id): drops repeats of an id and adds the run's first id; edge: the run is the first
-    or the last of its partition."""
+    """Rows sorted by (origin, key, id): drops repeats of an id and adds the run's first id. At the end come the edges: the
+    first and the last run of the partition, one row each."""
     last: tuple | None = None  # origin, key, id, first_id of the row before
-    opening: tuple | None = None  # origin, key of the partition's first run
-    held: pa.RecordBatch | None = None  # the run at the end of what came so far isn't an edge until nothing follows
+    opening: tuple | None = None  # origin, key, first_id of the partition's first run
+
+    def table(origin, key, ids, first, edge: bool) -> pa.RecordBatch:
+        return pa.record_batch([origin, key, pa.array(ids, pa.int64()), pa.array(first, pa.int64()), pa.array([edge] * len(ids), pa.bool_())], ["origin", "key", "id", "first_id", "edge"])
+
     for b in batches:
-        if not b.num_rows:
-            continue
         n = b.num_rows
+        if not n:
+            continue
         origin, key, ids = b.column("origin"), b.column("key"), b.column("id").to_numpy()
         change = np.ones(n, dtype=bool)
         if n > 1:
             change[1:] = pc.or_(pc.not_equal(key.slice(1), key.slice(0, n - 1)), pc.not_equal(origin.slice(1), origin.slice(0, n - 1))).to_numpy(zero_copy_only=False)
-        head = (origin[0].as_py(), key[0].as_py())
-        goes_on = last is not None and last[:2] == head
-        opening = opening or head
+        goes_on = last is not None and last[:2] == (origin[0].as_py(), key[0].as_py())
         starts = np.flatnonzero(change)
         first = ids[starts].copy()
         if goes_on:
@@ -48,26 +49,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh[1:] |= ids[1:] != ids[:-1]
         if goes_on:
             fresh[0] = ids[0] != last[2]
-        edge = np.zeros(n, dtype=bool)
-        if opening == head:
-            edge[: starts[1] if len(starts) > 1 else n] = True
-        last = (origin[n - 1].as_py(), key[n - 1].as_py(), ids[-1], first[-1])
-        out = pa.record_batch([origin, key, pa.array(ids), pa.array(first), pa.array(edge)], ["origin", "key", "id", "first_id", "edge"])
-        cut_at = int(starts[-1])
-        if held is not None:
-            if goes_on and len(starts) == 1:  # the open run goes through the whole batch
-                yield _marked(held, True)  # long runs are passed on as edges, which costs a comparison and no more
-                held = out.filter(pa.array(fresh))
-                continue
-            yield held  # one run, so its rows already have the same mark; it is empty where a batch only repeated an id
-        yield out.slice(0, cut_at).filter(pa.array(fresh[:cut_at]))
-        held = out.slice(cut_at).filter(pa.array(fresh[cut_at:]))
-    if held is not None:
-        yield _marked(held, True)
-
-
-def _marked(b: pa.RecordBatch, edge: bool) -> pa.RecordBatch:
-    return b.set_column(4, "edge", pa.array([True] * b.num_rows, pa.bool_())) if edge else b
+        opening = opening or (origin[0].as_py(), key[0].as_py(), int(first[0]))
+        last = (origin[n - 1].as_py(), key[n - 1].as_py(), int(ids[-1]), int(first[-1]))
+        yield table(origin, key, ids, first, False).filter(pa.array(fresh))
+    if last is not None:
+        ends = {opening, (last[0], last[1], last[3])}
+        yield table(pa.array([e[0] for e in ends]), pa.array([e[1] for e in ends]), [e[2] for e in ends], [e[2] for e in ends], True)
 
 
 def hidden_copies(records: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -81,7 +68,7 @@ def hidden_copies(records: DataFrame, partitions: int | None = None) -> DataFram
     ranged = pick.repartitionByRange(partitions, *by) if partitions else pick.repartitionByRange(*by)
     scanned = cut(ranged.sortWithinPartitions(*by).mapInArrow(_scan, SCANNED))
     heads = scanned.where("edge").groupBy("origin", "key").agg(F.min("first_id").alias("head_id"))
-    joined = scanned.join(F.broadcast(heads), ["origin", "key"], "left")
+    joined = scanned.where("not edge").join(F.broadcast(heads), ["origin", "key"], "left")
     return joined.select("origin", "key", "id", F.coalesce("head_id", "first_id").alias("first_id"))
 
 
