@@ -19,30 +19,41 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colloquy.llm.tokens import token_counts
+from colloquy.operators.prefix import running_before
 from colloquy.session import cut, read_table
 
 #: A block has 1 / BLOCKS of the mix, but at most MOST_BLOCK_TOKENS.
 BLOCKS, MOST_BLOCK_TOKENS = 4_096, 2_048
-#: A shard has about this many tokens; a source has at most MOST_SHARDS shards, so plans stay small.
+#: A shard has about this many tokens; a source has at most MOST_SHARDS shards, so plans stay small. Larger shards are
+#: ordered in cells of about SHARD_TOKENS each.
 SHARD_TOKENS, MOST_SHARDS = 8_000_000, 1_000
 
 
 def sainte_lague(weights: list[float], seats: int, caps: list[int]) -> list[int]:
-    """Seats per weight by highest quotients, none above its cap; ties go to the first. Weights of 0 get none."""
-    exact = [Fraction(w) for w in weights]
-    open_ = [k for k, w in enumerate(exact) if w > 0 and caps[k] > 0]
-    total = sum(exact[k] for k in open_)
-    # the result is never far below the quota, so counting starts just short of it
-    out = [0] * len(weights)
-    for k in open_:
-        out[k] = max(0, min(caps[k], int(seats * exact[k] / total) - len(open_) - 1))
-    queue = [(-exact[k] / (2 * out[k] + 1), k) for k in open_ if out[k] < caps[k]]
+    """Seats per weight by highest quotients weight / (2 * seats so far + 1), none above its cap; ties go to the first.
+    Weights of 0 get none. Work doesn't grow with the seats: a bisection finds a quotient that all but a few seats reach,
+    and only those few are dealt one by one."""
+    exact = [Fraction(w) if w > 0 and c > 0 else Fraction(0) for w, c in zip(weights, caps, strict=True)]
+    seats = min(seats, sum(c for w, c in zip(exact, caps, strict=True) if w))
+    if seats <= 0:
+        return [0] * len(weights)
+
+    def dealt(level: Fraction) -> list[int]:
+        """Seats whose quotient is at least ``level``."""
+        return [min(c, int((w / level + 1) / 2)) for w, c in zip(exact, caps, strict=True)]
+
+    low, high = min(w for w in exact if w) / (2 * seats + 1), 2 * max(exact)
+    while sum(dealt(low)) < seats:  # caps may leave the seats to a small weight
+        low /= 2
+    while high - low > high / 2**60 and sum(dealt(high)) + len(exact) < seats:
+        middle = Fraction(float((low + high) / 2))
+        low, high = (middle, high) if sum(dealt(middle)) > seats else (low, middle)
+    out = dealt(high)
+    queue = [(-w / (2 * n + 1), k) for k, (w, n) in enumerate(zip(exact, out, strict=True)) if w and n < caps[k]]
     heapq.heapify(queue)
-    left = seats - sum(out)
-    while left > 0 and queue:
+    for _ in range(seats - sum(out)):
         _, k = heapq.heappop(queue)
         out[k] += 1
-        left -= 1
         if out[k] < caps[k]:
             heapq.heappush(queue, (-exact[k] / (2 * out[k] + 1), k))
     return out
@@ -79,19 +90,25 @@ def mix(lengths: DataFrame, targets: DataFrame, total_tokens: int | None = None,
     per_source = spark.createDataFrame([(x, shards[x]) for x in names], "source string, shards bigint")
     placed = docs.join(F.broadcast(per_source), "source").withColumn("__h", F.xxhash64("doc_id", F.lit(seed))).withColumn("shard", F.pmod(F.col("__h"), "shards"))
     placed = cut(placed.drop("shards"))
-    rows = placed.groupBy("source", "shard").agg(F.sum("n_tokens").alias("n")).orderBy("source", "shard").collect()  # at most MOST_SHARDS a source
+    rows = placed.groupBy("source", "shard").agg(F.sum("n_tokens").alias("n")).collect()  # at most MOST_SHARDS a source
+    by_source: dict[str, list] = {x: [] for x in names}
+    for r in sorted(rows, key=lambda r: (r["source"], r["shard"])):
+        by_source[r["source"]].append(r)
     table = []
     for x, quota, most in zip(names, blocks, repeats, strict=True):
-        own = [r for r in rows if r["source"] == x]
+        own = by_source[x]
         each = sainte_lague([float(r["n"]) for r in own], quota, [-(-r["n"] * most // block_tokens) for r in own])
         for r, q in zip(own, each, strict=True):
             wanted = min(q * block_tokens, r["n"] * most)
             passes = wanted // r["n"]
             table.append((x, r["shard"], int(passes), round((wanted - passes * r["n"]) / block_tokens), int(most)))
     quotas = spark.createDataFrame(table, "source string, shard bigint, passes bigint, more_blocks bigint, most bigint")
-    order = W.partitionBy("source", "shard").orderBy("__h", "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow)
-    block = F.floor((F.sum("n_tokens").over(order) - F.col("n_tokens") / 2) / block_tokens)
-    dealt = placed.withColumn("__block", block).join(F.broadcast(quotas), ["source", "shard"])
+    # the leading bits of the hash: cells of about SHARD_TOKENS, in the order of the hash
+    bits = max(0, (max((r["n"] for r in rows), default=0) // SHARD_TOKENS).bit_length())
+    cell = F.shiftright("__h", 64 - bits) if bits else F.lit(0).cast("bigint")
+    ordered = running_before(placed.withColumn("__cell", cell), ["source", "shard"], "__cell", [F.col("__h"), F.col("doc_id")], F.col("n_tokens"), "__before")
+    block = F.floor((F.col("__before") + F.col("n_tokens") / 2) / block_tokens)
+    dealt = ordered.withColumn("__block", block).join(F.broadcast(quotas), ["source", "shard"])
     count = F.least(F.col("passes") + F.when(F.col("__block") < F.col("more_blocks"), 1).otherwise(0), "most")
     dealt = cut(dealt.select("doc_id", "source", "n_tokens", count.cast("bigint").alias("repeats"), "most"))
     return _settled(dealt, dict(zip(names, (b * block_tokens for b in blocks), strict=True))).where("repeats > 0")
@@ -140,5 +157,30 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares_of(mix(lengths, targets), targets, lengths)
 
 
-SQL: dict[str, str] = {}
-QUERIES = {"p8_mixed": p8_mixed, "p8_shares": p8_shares}
+def _all_tokens(lengths: DataFrame) -> int:
+    return lengths.agg(F.sum("n_tokens")).first()[0] or 0
+
+
+def p8_corpus(spark: SparkSession, d: str) -> DataFrame:
+    """A mix as large as the corpus: where repeats don't suffice for a source's share, others fill up."""
+    lengths, targets = _lengths(spark, d), read_table(spark, d, "mix_targets")
+    return shares_of(mix(lengths, targets, total_tokens=_all_tokens(lengths)), targets, lengths)
+
+
+def p8_held(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the mix as large as it can be at its targets (``whole`` false) and of that of the corpus's size: no
+    document too often; every source that has tokens at its share, or, in the second, used up or above it."""
+    lengths, targets = _lengths(spark, d), read_table(spark, d, "mix_targets")
+    own, whole = mix(lengths, targets), mix(lengths, targets, total_tokens=_all_tokens(lengths))
+    has = F.col("available_tokens") * F.col("max_repeats") > 0
+    there = F.sum(F.when(has, F.col("target_share")).otherwise(0.0)).over(W.partitionBy(F.lit(0)))  # over the few targets
+    off = F.col("actual_share") - F.col("target_share") / F.nullif(there, F.lit(0.0))
+    often = F.col("most_repeats") <= F.col("max_repeats")
+    small = shares_of(own, targets, lengths).select("source", F.lit(False).alias("whole"), often.alias("within_repeats"), (~has | F.coalesce(F.abs(off) <= 0.02, F.lit(False))).alias("share_held"))
+    used_up = F.col("tokens") >= F.col("available_tokens") * F.col("max_repeats") * 0.98
+    large = shares_of(whole, targets, lengths).select("source", F.lit(True).alias("whole"), often.alias("within_repeats"), (~has | used_up | F.coalesce(off >= -0.02, F.lit(False))).alias("share_held"))
+    return small.unionByName(large)
+
+
+SQL = {"p8_held": "SELECT source, w AS whole, true AS within_repeats, true AS share_held FROM mix_targets, (SELECT false AS w UNION ALL SELECT true)"}
+QUERIES = {"p8_mixed": p8_mixed, "p8_shares": p8_shares, "p8_corpus": p8_corpus, "p8_held": p8_held}

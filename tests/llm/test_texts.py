@@ -1,14 +1,16 @@
 from __future__ import annotations
 
 import re
+import time
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from colloquy.llm import repeats
+from colloquy.llm import mixture, repeats
 from colloquy.llm import residue as R
 from colloquy.llm import residue_seeds as seeds
 from colloquy.llm.containers import best_configurations, fill_containers, pack
@@ -70,6 +72,36 @@ def test_sainte_lague():
     assert largest_mix([100, 1_000, 0], [0.5, 0.4, 0.1], [2, 1, 5]) == 360
 
 
+def test_sainte_lague_matches_dealing_one_by_one():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        k = int(rng.integers(1, 7))
+        weights = (rng.integers(0, 9, k) / 8).tolist() if rng.random() < 0.5 else rng.random(k).tolist()
+        caps, seats = rng.integers(0, 30, k).tolist(), int(rng.integers(0, 90))
+        want = [0] * k
+        for _ in range(seats):
+            left = [(-Fraction(w) / (2 * n + 1), i) for i, (w, n) in enumerate(zip(weights, want, strict=True)) if w > 0 and n < caps[i]]
+            if left:
+                want[min(left)[1]] += 1
+        assert sainte_lague(weights, seats, caps) == want
+    began = time.perf_counter()
+    big = sainte_lague([0.1, 0.2, 0.7], 5 * 10**9, [10**7, 10**10, 10**10])
+    assert big[0] == 10**7 and sum(big) == 5 * 10**9 and time.perf_counter() - began < 1
+
+
+@pytest.mark.parametrize("shard_tokens", [8_000_000, 300])
+def test_mix_in_cells(spark, monkeypatch, shard_tokens):
+    """Shards of many cells, one source with most rows: the same blocks as in one window."""
+    monkeypatch.setattr(mixture, "SHARD_TOKENS", shard_tokens)
+    monkeypatch.setattr(mixture, "MOST_SHARDS", 1)
+    lengths = spark.createDataFrame([(k, "ab"[k % 5 == 0], 50 + k % 40) for k in range(2_000)], "doc_id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("a", 0.3, 1), ("b", 0.7, 2)], "source string, target_share double, max_repeats int")
+    got = {r.doc_id: r.repeats for r in mix(lengths, targets, block_tokens=500).collect()}
+    assert len(got) > 600
+    test_mix_in_cells.seen = getattr(test_mix_in_cells, "seen", got)
+    assert got == test_mix_in_cells.seen
+
+
 def test_mix(spark):
     docs = [(k, "abc"[k % 3] if k % 7 else "small", 50 + k % 40) for k in range(3_000)] + [(9_001, None, 500), (9_002, "a", 0), (9_003, "unlisted", 10**6)]
     lengths = spark.createDataFrame([(*r, 1, 1) for r in docs], "doc_id bigint, source string, n_tokens bigint, most int, shard int")
