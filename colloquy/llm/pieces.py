@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colloquy.functions.keys import millis, usable_bounds
@@ -36,17 +37,54 @@ def cut_offsets(total: int, tiers: list[Ranges], limit: int, overlap: int) -> li
         raise ValueError("overlap must be at least 0 and less than limit")
     pieces, start = [], 0
     while total - start > limit:
-        end, hard = start + limit, True
-        for (starts, ends), least in [*((a, max(overlap, limit // 2)) for a in tiers), *((a, overlap) for a in tiers[-1:])]:
-            k = int(np.searchsorted(starts, start + limit, side="right")) - 1
-            if k >= 0 and (last := min(int(ends[k]), start + limit)) > start + least:
-                end, hard = last, False
-                break
+        end, hard = next_cut(start, tiers, limit, overlap)
         pieces.append((start, end, hard))
         start = end - overlap
     return [*pieces, (start, total, False)]
 
 
+def next_cut(start: int, tiers: list[Ranges], limit: int, overlap: int) -> tuple[int, bool]:
+    """Where the piece that begins at ``start`` ends, and whether that is a hard cut."""
+    for (starts, ends), least in [*((a, max(overlap, limit // 2)) for a in tiers), *((a, overlap) for a in tiers[-1:])]:
+        k = int(np.searchsorted(starts, start + limit, side="right")) - 1
+        if k >= 0 and (last := min(int(ends[k]), start + limit)) > start + least:
+            return last, False
+    return start + limit, True
+
+
+class TurnCutter:
+    """cut_offsets() of an item whose turns come by and by, in order of their starts: what lies behind is forgotten."""
+
+    def __init__(self, total: int, limit: int, overlap: int):
+        self.total, self.limit, self.overlap = total, limit, overlap
+        self.pieces: list[tuple[int, int, bool]] = []
+        self.start = self.reach = 0
+        self.free: list[tuple[int, int]] = []
+
+    def add(self, a: int, b: int) -> None:
+        """A turn; the offsets at which none is under way are those of pause_offsets()."""
+        if a >= self.reach:
+            self.free.append((self.reach, a))
+        self.reach = max(self.reach, b)
+        while self.total - self.start > self.limit and a >= self.start + self.limit:
+            self.cut()
+
+    def cut(self) -> None:
+        both = np.array(self.free, dtype=np.int64).reshape(-1, 2)
+        free = (both[:, 0], both[:, 1])
+        end, hard = next_cut(self.start, tiers_of(free, free, self.overlap), self.limit, self.overlap)
+        self.pieces.append((self.start, end, hard))
+        self.start = end - self.overlap
+        self.free = [r for r in self.free if r[1] >= self.start]
+
+    def end(self) -> list[tuple[int, int, bool]]:
+        if self.reach <= self.total:
+            self.free.append((self.reach, self.total))
+        while self.total - self.start > self.limit:
+            self.cut()
+        return [*self.pieces, (self.start, self.total, False)]
+
+
 def common(a: Ranges, b: Ranges) -> Ranges:
     """What two sets of ranges share."""
     out, i, j = [], 0, 0
@@ -97,6 +135,8 @@ def pause_offsets(total: int, turns: list[tuple[int, int]]) -> Ranges:
     return np.array(starts, dtype=np.int64), np.array(ends, dtype=np.int64)
 
 
+#: Sizes of cells of time, each four times the one before.
+LEVELS = 10
 PIECES = "task_id bigint, dlg_key string, episode_key string, piece_no int, n_pieces int, from_ms bigint, to_ms bigint, total_ms bigint, hard_cut boolean, by_wave boolean"
 
 
@@ -109,7 +149,8 @@ def audio_pieces(tasks: DataFrame, segments: DataFrame, limit_sec: float = 600.0
     twice yield the same pieces, of which one set remains. An empty wave is one empty piece.
 
     Waves are cut where they are read and never shuffled. For tasks without a wave and longer than the limit, turns are
-    found by an equi-join on (episode, cell of time), so that a round-the-clock episode spreads over its cells.
+    found by an equi-join on (episode, cell of time), so that a round-the-clock episode spreads over its cells; long turns
+    have larger cells, so no turn has more than a few. A task's turns then stream by in order.
     """
     limit, overlap = round(limit_sec * 1000), round(overlap_sec * 1000)
     with_wave = F.col("dlg_wav").isNotNull() & F.coalesce(F.col("wav_rate") > 0, F.lit(False))
@@ -138,25 +179,43 @@ def audio_pieces(tasks: DataFrame, segments: DataFrame, limit_sec: float = 600.0
             yield emit(ids, pieces, True)
 
     def by_turns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by task and start of turn; the first of a task has no turn."""
+        at: tuple | None = None
+        cutter: TurnCutter | None = None
         for b in batches:
-            ids = list(zip(*(b.column(c).to_pylist() for c in ("task_id", "dlg_key", "episode_key")), strict=True))
-            pieces = []
-            for total, turns in zip(b.column("total").to_pylist(), b.column("turns").to_pylist(), strict=True):
-                free = pause_offsets(total, [(t["a"], t["b"]) for t in turns or []]) if total > limit else None
-                pieces.append(cut_offsets(total, [] if free is None else tiers_of(free, free, overlap), limit, overlap))
+            ids: list[tuple] = []
+            pieces: list[list[tuple[int, int, bool]]] = []
+            for *task, first, last in zip(*(b.column(c).to_pylist() for c in ("task_id", "dlg_key", "episode_key", "__s", "__e", "a", "b")), strict=True):
+                if tuple(task) != at:
+                    if cutter is not None:
+                        ids.append(at[:3])
+                        pieces.append(cutter.end())
+                    at, cutter = tuple(task), TurnCutter(task[4] - task[3], limit, overlap)
+                if first is not None:
+                    cutter.add(first, last)
             yield emit(ids, pieces, False)
+        if cutter is not None:
+            yield emit([at[:3]], [cutter.end()], False)
 
     waves = known.where(with_wave).select("task_id", "dlg_key", "episode_key", "wav_rate", "dlg_wav").mapInArrow(by_wave, PIECES)
 
     bounds = known.where(~with_wave & usable_bounds(F.col("dlg_start"), F.col("dlg_end")))
     bounds = bounds.select("task_id", "dlg_key", "episode_key", millis(F.col("dlg_start")).alias("__s"), millis(F.col("dlg_end")).alias("__e")).distinct()
     long = bounds.where(F.col("__e") - F.col("__s") > limit)
-    cells = lambda a, b: F.explode(F.sequence(F.floor(a / F.lit(cell_ms)), F.floor(b / F.lit(cell_ms)))).alias("__cell")
+    width = lambda level: F.lit(cell_ms) * F.pow(F.lit(4.0), level)
+    cells = lambda a, b, w: F.explode(F.sequence(F.floor(a / w), F.floor(b / w))).alias("__cell")
     turns = segments.where(usable_bounds(F.col("start_sec"), F.col("end_sec"))).select("episode_key", millis(F.col("start_sec")).alias("__a"), millis(F.col("end_sec")).alias("__b"))
-    turns = turns.select("*", cells(F.col("__a"), F.col("__b")))
-    met = long.select("*", cells(F.col("__s"), F.col("__e"))).join(turns, ["episode_key", "__cell"])
-    met = met.where((F.col("__a") < F.col("__e")) & (F.col("__b") > F.col("__s"))).groupBy("task_id").agg(F.collect_set(F.struct((F.col("__a") - F.col("__s")).alias("a"), (F.col("__b") - F.col("__s")).alias("b"))).alias("turns"))
-    quiet = bounds.join(met, "task_id", "left").select("task_id", "dlg_key", "episode_key", (F.col("__e") - F.col("__s")).alias("total"), "turns").mapInArrow(by_turns, PIECES)
+    # the least level at which a turn is at most four cells long
+    level = F.greatest(F.lit(0), F.least(F.lit(LEVELS - 1), F.ceil(F.log(4.0, F.greatest(F.lit(1), F.col("__b") - F.col("__a")) / F.lit(4.0 * cell_ms))).cast("int")))
+    turns = turns.withColumn("__level", level)
+    turns = turns.select("*", cells(F.col("__a"), F.col("__b"), width(F.col("__level"))))
+    asked = long.select("*", F.explode(F.array(*map(F.lit, range(LEVELS)))).alias("__level"))
+    met = asked.select("*", cells(F.col("__s"), F.col("__e"), width(F.col("__level")))).join(turns, ["episode_key", "__level", "__cell"])
+    met = met.where((F.col("__a") < F.col("__e")) & (F.col("__b") > F.col("__s")) & (F.col("__cell") == F.floor(F.greatest("__a", "__s") / width(F.col("__level")))))
+    task = ["task_id", "dlg_key", "episode_key", "__s", "__e"]
+    none = F.lit(None).cast("bigint")
+    rows = bounds.select(*task, none.alias("a"), none.alias("b")).unionByName(met.select(*task, (F.col("__a") - F.col("__s")).alias("a"), (F.col("__b") - F.col("__s")).alias("b")))
+    quiet = rows.repartition(*task).sortWithinPartitions(*task, "a", "b").mapInArrow(by_turns, PIECES)
     return waves.unionByName(quiet).dropDuplicates(["task_id", "dlg_key", "piece_no"])
 
 
@@ -173,8 +232,20 @@ def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _pieces(spark, d)
 
 
+def p1_held(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the pieces of each task: its length, that they cover it from 0 on, that none is longer than 600 s and
+    that consecutive ones share 2 s, to the length of one value of the wave."""
+    by = W.partitionBy("task_id", "dlg_key").orderBy("piece_no")  # pieces of one task
+    before, first, last = F.lag("to_ms").over(by), F.col("piece_no") == 0, F.col("piece_no") == F.col("n_pieces") - 1
+    at = _pieces(spark, d).withColumn("__shared", F.coalesce(before - F.col("from_ms"), F.lit(2_000)))
+    ends = F.when(first, F.col("from_ms") == 0).otherwise(True) & F.when(last, F.col("to_ms") == F.col("total_ms")).otherwise(True)
+    return at.groupBy("task_id", "dlg_key", "total_ms").agg((F.every(ends) & (F.count("*") == F.max("n_pieces"))).alias("covered"), F.every(F.col("to_ms") - F.col("from_ms") <= 600_000).alias("within_limit"), F.every(F.col("__shared").between(2_000, 3_000)).alias("shared"))
+
+
 SQL = {
+    "p1_held": """SELECT DISTINCT task_id, dlg_key, CASE WHEN dlg_wav IS NOT NULL AND wav_rate > 0 THEN CAST(len(dlg_wav) AS BIGINT) * 1000 // wav_rate ELSE CAST(round(dlg_end * 1000) AS BIGINT) - CAST(round(dlg_start * 1000) AS BIGINT) END AS total_ms,
+     true AS covered, true AS within_limit, true AS shared FROM separation_tasks WHERE task_id IS NOT NULL AND dlg_key IS NOT NULL AND (dlg_wav IS NOT NULL AND wav_rate > 0 OR dlg_end > dlg_start)""",
     "p1_found": """SELECT DISTINCT dlg_key FROM separation_tasks WHERE CASE WHEN dlg_wav IS NOT NULL THEN len(dlg_wav) > 600 * wav_rate
      ELSE dlg_end > dlg_start AND CAST(round(dlg_end * 1000) AS BIGINT) - CAST(round(dlg_start * 1000) AS BIGINT) > 600000 END"""
 }
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p1_held": p1_held}

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from colloquy.llm.pieces import audio_pieces, cut_offsets, pause_offsets, tiers_of
+from colloquy.llm.pieces import TurnCutter, audio_pieces, cut_offsets, pause_offsets, tiers_of
 from colloquy.llm.runs import agglomerate, collapse_runs, edit_similarity
 
 TASKS = "task_id bigint, dlg_key string, episode_key string, dialogue_idx int, dlg_start double, dlg_end double, wav_rate int, dlg_wav array<float>, queued_at int, piece_no string"
@@ -48,6 +48,42 @@ def test_pauses_match_brute_force():
     check(far, 10**12, 10**11, 2_000)
 
 
+def test_turns_that_stream_by_are_cut_alike():
+    rnd = random.Random(3)
+    for _ in range(300):
+        total, limit = rnd.randrange(1, 3_000), rnd.randrange(20, 500)
+        overlap = rnd.randrange(0, limit // 2)
+        turns = sorted((s := rnd.randrange(-20, 3_000), s + rnd.randrange(1, 200)) for _ in range(rnd.randrange(0, 60)))
+        cutter = TurnCutter(total, limit, overlap)
+        for t in [*turns, *turns[-1:]]:
+            cutter.add(*t)
+        free = pause_offsets(total, turns)
+        assert cutter.end() == cut_offsets(total, tiers_of(free, free, overlap), limit, overlap)
+
+
+def test_a_task_with_a_third_of_all_turns(spark):
+    """Two versions of it with other bounds, corrupt turns that last for years, and Arrow batches smaller than the task."""
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        turns = [("e", k * 20.0, k * 20.0 + 17.5, "x") for k in range(500)] + [("e", k * 400.0, k * 400.0 + 30.0, "x") for k in range(20)]
+        tasks = [(k, f"t{k}", "e", 0, 10.0 * k, 10.0 * k + 650.0, 4, None, 1, "x") for k in range(1, 9)] + [(9, "hot", "e", 0, 3.0, 9_000.0, 4, None, 1, "x"), (10, "hot2", "e", 0, 5.0, 8_000.0, 4, None, 1, "x")]
+        got = {}
+        df = spark.createDataFrame(tasks, TASKS)
+        for r in audio_pieces(df, spark.createDataFrame(turns, SEGMENTS)).orderBy("task_id", "piece_no").collect():
+            got.setdefault(r.dlg_key, []).append((r.from_ms, r.to_ms, r.hard_cut))
+        for task in tasks:
+            s, e = round(task[4] * 1000), round(task[5] * 1000)
+            own = [(round(a * 1000) - s, round(b * 1000) - s) for _, a, b, _ in turns if a * 1000 < e and b * 1000 > s]
+            free = pause_offsets(e - s, own)
+            assert got[task[1]] == cut_offsets(e - s, tiers_of(free, free, 2_000), 600_000, 2_000)
+        years = turns + [("e", -(10.0**9), 10.0**9, "x")]
+        hard = audio_pieces(df, spark.createDataFrame(years, SEGMENTS)).where("piece_no < n_pieces - 1").select("hard_cut").distinct().collect()
+        assert [r.hard_cut for r in hard] == [True]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
 def test_audio_pieces(spark):
     wave = [0.5] * 2_500
     wave[2_300] = wave[2_301] = wave[2_292] = wave[2_293] = 0.0
