@@ -14,7 +14,7 @@ from colloquy.models import run_stage
 from colloquy.operators import curate, sequence
 from colloquy.plans import curation, dialogues, metrics
 from colloquy.session import build_session, read_table
-from colloquy.sources.labels import speaker_labels, write_labels, write_reports
+from colloquy.sources.labels import speaker_labels, write_labels, write_reports, write_text
 
 
 def collect(spark: SparkSession, c: C.Config) -> dict[str, DataFrame]:
@@ -80,8 +80,7 @@ def main(args: list[str] | None = None) -> int:
     spark = build_session("colloquy", None, **c.spark)
     for step in PHASES[given.phase]:
         write_reports(c.output, **step(spark, c))
-    with open(f"{c.output}/resolved_config.json", "w", encoding="utf-8") if "://" not in c.output else sys.stdout as f:
-        f.write(C.resolved(c))
+    write_text(spark, f"{c.output}/resolved_config.json", C.resolved(c))
     return 0
 
 

@@ -184,3 +184,46 @@ def dialogue_meta(device: str, start: str, end: str, index: str, *rest: str) ->
     """The metadata of a dialogue as JSON; null fields are left out."""
     span = (F.col(end) - F.col(start)).alias("dialogue_duration_sec")
     return F.to_json(F.struct(*rest, F.col(index).alias("dialogue_idx"), F.col(start).alias("dialogue_start"), F.col(end).alias("dialogue_end"), span, F.col(device).alias("device"), gpu_index(F.col(device)).alias("gpu_id")))
+
+
+def metadata_language(*candidates: Column) -> Column:
+    """The first that isn't null or empty, in lower case; 'vi' where all are."""
+    return F.lower(F.coalesce(*[F.nullif(c, F.lit("")) for c in candidates], F.lit("vi")))
+
+
+def counted_duration(dialogue_sec: Column, duration_sec: Column, is_dialogue: Column | None = None) -> Column:
+    """The seconds a sample counts for: of a dialogue its own, of any other the recording's; without ``is_dialogue`` the
+    first that is neither null nor 0. 0 where there is none."""
+    if is_dialogue is not None:
+        return F.coalesce(F.when(is_dialogue, dialogue_sec).otherwise(duration_sec), F.lit(0.0))
+    return F.coalesce(F.nullif(dialogue_sec, F.lit(0.0)), F.nullif(duration_sec, F.lit(0.0)), F.lit(0.0))
+
+
+def short_key(key: Column, signs: int = 8) -> Column:
+    return F.substring(key, 1, signs)
+
+
+def hours_text(ms: Column) -> Column:
+    """Whole milliseconds as hours, minutes and seconds, h:mm:ss, cut off."""
+    sec = F.floor(ms / 1000)
+    return F.format_string("%d:%02d:%02d", F.floor(sec / 3600), F.floor(sec % 3600 / 60), sec % 60)
+
+
+#: Names under which models give a turn's bounds and speaker, best first.
+START_NAMES, END_NAMES, SPEAKER_NAMES = ("start", "begin", "start_time", "start_sec"), ("end", "stop", "end_time", "end_sec"), ("speaker", "label", "speaker_id", "spk")
+
+
+def parse_raw_turn(raw: Column) -> Column:
+    """A turn as a model gives it, in JSON, as struct(speaker, start, end): an object with names as above, a list of start,
+    end and speaker, or text as for parse_turn(). Null where there are no two bounds, as in what is none of these."""
+    v = F.try_parse_json(raw)
+    kind = F.schema_of_variant(v)
+    first = lambda names, t: F.coalesce(*[F.try_variant_get(v, f"$.{n}", t) for n in names])
+    named = F.struct(F.coalesce(first(SPEAKER_NAMES, "string"), F.lit("SPEAKER_00")).alias("speaker"), first(START_NAMES, "double").alias("start"), first(END_NAMES, "double").alias("end"))
+    at = lambda k, t: F.try_variant_get(v, f"$[{k}]", t)
+    listed = F.struct(F.coalesce(at(2, "string"), F.lit("SPEAKER_00")).alias("speaker"), at(0, "double").alias("start"), at(1, "double").alias("end"))
+    given = F.when(kind.startswith("OBJECT"), named).when(kind.startswith("ARRAY"), listed)
+    # what begins with a number is read as one, whatever follows it
+    text = parse_turn(F.coalesce(F.when(kind == "STRING", F.try_variant_get(v, "$", "string")), raw))
+    turn = F.coalesce(given, text)
+    return F.when(turn["start"].isNotNull() & turn["end"].isNotNull(), turn)

@@ -23,6 +23,47 @@ def decode_wav(content: bytes) -> tuple[np.ndarray, int]:
     return (np.frombuffer(data, dtype="<i2" if width == 2 else "<i4").reshape(-1, channels).T / scale).astype(np.float32), rate
 
 
+def encode_wav(channels: np.ndarray, rate: int) -> bytes:
+    """16-bit PCM of (channels x samples), or one channel, from -1 to 1; what lies beyond is cut off."""
+    both = np.atleast_2d(channels)
+    out = io.BytesIO()
+    with wave_file.open(out, "wb") as w:
+        w.setnchannels(len(both))
+        w.setsampwidth(2)
+        w.setframerate(rate)
+        w.writeframes(np.clip(np.round(np.nan_to_num(both.T) * 32_768), -32_768, 32_767).astype("<i2").tobytes())
+    return out.getvalue()
+
+
+def windows(samples: int, rate: int, seconds: float, least_seconds: float) -> list[tuple[int, int]]:
+    """Consecutive windows of ``seconds``, (start, end) in samples; one that is shorter, as the last may be, counts only if
+    it has ``least_seconds``."""
+    size, least = max(1, int(seconds * rate)), int(least_seconds * rate)
+    return [(a, min(a + size, samples)) for a in range(0, samples, size) if min(a + size, samples) - a >= min(size, least)]
+
+
+def windowed_mean(channel: np.ndarray, rate: int, score, seconds: float = 9.0, least_seconds: float = 1.0) -> dict[str, float] | None:
+    """The mean of each metric that ``score`` gives of the windows; None where there is no window. A metric that some
+    windows lack, or that isn't finite there, is the mean of the others."""
+    found: dict[str, list[float]] = {}
+    for a, z in windows(len(channel), rate, seconds, least_seconds):
+        for k, v in score(channel[a:z], rate).items():
+            if v is not None and np.isfinite(v):
+                found.setdefault(k, []).append(float(v))
+    return {k: float(np.mean(v)) for k, v in found.items()} or None
+
+
+def track_consistency(channel: np.ndarray, rate: int, embed, seconds: float = 2.0, least_seconds: float = 1.0) -> float | None:
+    """The mean cosine between the embeddings of all pairs of windows, from the length of their summed unit vectors. With
+    fewer than two windows it is 1 if the track has ``least_seconds``, else None."""
+    parts = [np.asarray(embed(channel[a:z], rate), dtype=float) for a, z in windows(len(channel), rate, seconds, least_seconds)]
+    if len(parts) < 2:
+        return 1.0 if len(channel) >= least_seconds * rate else None
+    units = np.stack([p / (np.linalg.norm(p) + 1e-12) for p in parts])
+    n = len(units)
+    return float((np.linalg.norm(units.sum(axis=0)) ** 2 - (units**2).sum()) / (n * (n - 1)))
+
+
 def mono(channels: np.ndarray) -> np.ndarray:
     return channels.mean(axis=0, keepdims=True)
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colloquy.functions import exprs as E
-from colloquy.operators.dedup import with_copy_number
+from colloquy.operators.dedup import keep_first, with_copy_number
 
 
 def classified(samples: DataFrame) -> DataFrame:
@@ -40,9 +40,27 @@ def manifest(samples: DataFrame) -> DataFrame:
 
 
 def write_manifest(rows: DataFrame, folder: str) -> None:
-    """Gzipped JSON lines, one folder for each base language."""
+    """Gzipped JSON lines, one folder for each base language, files of the usual size: a language with most rows is split."""
     base = E.base_lang(F.col("language"))
-    rows.withColumn("base_lang", base).repartition("base_lang", F.pmod(F.xxhash64("audio_url"), F.lit(16))).write.partitionBy("base_lang").option("compression", "gzip").mode("overwrite").json(folder)
+    rows.withColumn("base_lang", base).hint("rebalance", "base_lang").write.partitionBy("base_lang").option("compression", "gzip").mode("overwrite").json(folder)
+
+
+def write_manifest_part(rows: DataFrame, folder: str, part: int) -> None:
+    """A part of the manifest, such as that of one run, as gzipped JSON lines; written again, it replaces itself."""
+    rows.write.option("compression", "gzip").mode("overwrite").json(f"{folder}/part={part:05d}")
+
+
+def read_manifest_parts(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The rows of all parts with the number of their ``part``. Raises where there is none."""
+    return spark.read.schema(f"{schema}, part int").json(folder)
+
+
+def reduce_manifest(parts: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of several parts, the first of equal ``keys`` by part, then ``order``, and one row with how many there were
+    (``rows``), remain (``kept``) and were ``dropped``. Equal are keys themselves, not their hashes."""
+    kept = keep_first(parts, keys, [F.col("part"), *map(F.col, order)])
+    counts = parts.agg(F.count("*").alias("rows")).crossJoin(F.broadcast(kept.agg(F.count("*").alias("kept"))))  # one row each
+    return kept, counts.withColumn("dropped", F.col("rows") - F.col("kept"))
 
 
 def language_counts(rows: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from colloquy.operators.prefix import hot_from, join_hot
+
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given total order; null keys are keys like any other. Planned with a group limit
@@ -15,15 +17,12 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 
 def with_copy_number(df: DataFrame, keys: list[str], order: list[Column], name: str = "copy_no") -> DataFrame:
-    """Adds ``is_copy``: an earlier row has the same keys. By the keys' first row, found by a partial aggregate; a key with
-    a third of all rows costs no window of its own."""
-    first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__first"))
-    same = F.lit(True)
-    left = df.alias("l")
-    for k in keys:
-        same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-    joined = left.join(first.alias("r"), same).select("l.*", "__first")
-    return joined.withColumn(name, F.struct(*order) != F.col("__first")).drop("__first")
+    """Adds ``name``: an earlier row has the same keys. By the keys' first row, found by a partial aggregate and joined with
+    hot keys apart, so a key with a third of all rows weighs no partition down. Null keys are keys like any other."""
+    keyed = df.withColumn("__key", F.struct(*keys)).withColumn("__order", F.struct(*order))
+    first = keyed.groupBy("__key").agg(F.min("__order").alias("__first"), F.count("*").alias("__n"))
+    rows = df.count()
+    return join_hot(keyed, first, "__key", "__n", hot_from(rows)).withColumn(name, F.col("__order") != F.col("__first")).drop("__key", "__order", "__first", "__n")
 
 
 def pending(rows: DataFrame, ledger: DataFrame, key: str, done: tuple[str, ...] | None = None) -> DataFrame:

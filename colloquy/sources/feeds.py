@@ -15,27 +15,34 @@ URL_COLUMNS = ["feedurl", "feed_url", "url", "originalurl", "original_url"]
 LANG_COLUMNS = ["language", "lang"]
 
 
-def find_feed_table(tables: dict[str, list[str]]) -> tuple[str, str, str]:
-    """(table, url column, language column) of the most likely feed table: one needs both columns; names that hold 'feed'
-    or 'podcast' count for it; the first of equals wins. Raises ValueError if there is none."""
-    best, most = None, -1
-    for name, columns in tables.items():
-        known = {c.lower(): c for c in reversed(columns)}
-        url, lang = (next((known[c] for c in wanted if c in known), None) for wanted in (URL_COLUMNS, LANG_COLUMNS))
-        if url is None or lang is None:
-            continue
-        score = 5 + 3 * ("feed" in name.lower()) + ("podcast" in name.lower())
-        if score > most:
-            best, most = (name, url, lang), score
-    if best is None:
+#: What makes a table a likely one: a part of its name, and what that is worth.
+NAME_HINTS = {"feed": 3, "podcast": 1}
+
+
+def feed_columns(columns: list[str]) -> list[str] | None:
+    """The url and the language column, the best of each by name in any case; None unless there are both."""
+    by_name: dict[str, str] = {}
+    for c in columns:
+        by_name.setdefault(c.lower(), c)
+    best = [[by_name[w] for w in wanted if w in by_name][:1] for wanted in (URL_COLUMNS, LANG_COLUMNS)]
+    return [c for found in best for c in found] if all(best) else None
+
+
+def likeliest_feeds(tables: dict[str, list[str]]) -> tuple[str, str, str]:
+    """(table, url column, language column): of the tables with both columns the one whose name has the most hints; the
+    first of equals. Raises ValueError if there is none."""
+    fitting = {name: pair for name, columns in tables.items() if (pair := feed_columns(columns))}
+    if not fitting:
         raise ValueError("no table has a url and a language column")
-    return best
+    worth = lambda name: sum(n for hint, n in NAME_HINTS.items() if hint in name.lower())
+    chosen = max(fitting, key=worth)  # max() keeps the first of equals
+    return (chosen, *fitting[chosen])
 
 
 def read_feeds(tables: dict[str, DataFrame], languages: list[str]) -> DataFrame:
     """``url``, ``lang`` of the feed table among ``tables``: trimmed urls and normalized languages, of rows that have both
     and whose language is one of ``languages`` or a variant."""
-    name, url, lang = find_feed_table({k: df.columns for k, df in tables.items()})
+    name, url, lang = likeliest_feeds({k: df.columns for k, df in tables.items()})
     rows = tables[name].select(F.col(url).cast("string").alias("raw"), E.normalize_lang(F.col(lang).cast("string")).alias("lang"))
     return rows.where((F.coalesce("raw", F.lit("")) != "") & (F.col("lang") != "") & E.lang_matches(F.col("lang"), languages)).select(E.strip(F.col("raw")).alias("url"), "lang")
 
@@ -80,3 +87,20 @@ def video_entries(entries: DataFrame, source: str, cell: str, order: list[str],
     if limit is not None:
         rows = rows.withColumn("__pos", F.row_number().over(W.partitionBy(source).orderBy(cell, *order))).where(F.col("__pos") <= max(1, limit)).drop("__pos")
     return rows
+
+
+def source_entries(sources: DataFrame, entries: DataFrame, limit: int | None, target_sec: float | None) -> DataFrame:
+    """Items of sources by their type: source_id, kind, url, duration, pos. ``sources``: source_id, kind; ``entries``:
+    source_id, url, duration, pos, from wherever they were fetched. Of 'youtube' video_entries(), of 'rss' entries that are
+    audio, at most ``limit`` of a source; any other kind raises where it is read."""
+    rows = entries.join(sources.select("source_id", F.lower("kind").alias("kind")), "source_id")
+    cell = F.floor(F.col("pos") / 10_000)
+    videos = video_entries(rows.where("kind = 'youtube'").withColumn("__cell", cell), "source_id", "__cell", ["pos"], limit, target_sec).drop("__cell")
+    heard = rows.where("kind = 'rss'")
+    if limit is not None:
+        heard = heard.withColumn("__pos", F.row_number().over(W.partitionBy("source_id").orderBy("pos"))).where(F.col("__pos") <= limit).drop("__pos")
+    heard = heard.where(E.is_audio_url(F.col("url")))
+    other = rows.where(F.coalesce(~F.col("kind").isin("youtube", "rss"), F.lit(True)))
+    wrong = other.withColumn("kind", F.raise_error(F.concat(F.lit("unsupported source_type "), F.coalesce("kind", F.lit("null")))).cast("string"))
+    columns = ["source_id", "kind", "url", F.col("duration").cast("double").alias("duration"), "pos"]
+    return videos.select(*columns).unionByName(heard.select(*columns)).unionByName(wrong.select(*columns))

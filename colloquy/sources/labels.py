@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.functions import exprs as E
@@ -30,15 +30,38 @@ def speaker_labels(turns: DataFrame) -> DataFrame:
 
 
 def write_labels(lines: DataFrame, folder: str) -> None:
-    """Text files, one folder for each episode and track, lines in order of time."""
-    placed = lines.repartition("episode_key", "track").sortWithinPartitions("episode_key", "track", "start_ms", "line")
-    placed.select("episode_key", "track", "line").write.partitionBy("episode_key", "track").mode("overwrite").text(folder)
+    """Parquet sorted by episode, track and time within files of the usual size, so that an episode's lines are found by the
+    files' statistics; as many files as the rows need, not one for each episode. label_text() has an episode's own files."""
+    lines.select("episode_key", "track", "start_ms", "line").repartitionByRange("episode_key", "track", "start_ms").sortWithinPartitions("episode_key", "track", "start_ms", "line").write.mode("overwrite").parquet(folder)
+
+
+def label_text(spark: SparkSession, folder: str, episode_key: str) -> dict[str, str]:
+    """By track the label file of one episode, whose lines are few: a line each, a line end after the last."""
+    rows = spark.read.parquet(folder).where(F.col("episode_key") == episode_key).orderBy("track", "start_ms", "line").collect()
+    out: dict[str, str] = {}
+    for r in rows:
+        out[r["track"]] = out.get(r["track"], "") + r["line"] + "\n"
+    return out
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, wherever the path leads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
 
 
 def markdown_table(rows: DataFrame, columns: list[str], limit: int = 1_000) -> str:
-    """A table of a small report: null is empty, a float has four decimals."""
+    """A table of a small report: null is empty, a float has four decimals. More than ``limit`` rows raise ValueError: a
+    report that is read by eye isn't that long, and none is to be cut unseen."""
     shown = lambda v: "" if v is None else f"{v:.4f}" if isinstance(v, float) else str(v)
-    body = ["| " + " | ".join(shown(r[c]) for c in columns) + " |" for r in rows.select(*columns).limit(limit).collect()]
+    found = rows.select(*columns).limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} rows")
+    body = ["| " + " | ".join(shown(r[c]) for c in columns) + " |" for r in found]
     return "\n".join(["| " + " | ".join(columns) + " |", "|" + "---|" * len(columns), *body]) + "\n"
 
 

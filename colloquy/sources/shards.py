@@ -39,9 +39,16 @@ EXTENSIONS = {"meta": "meta.json", "audio": "audio.mp3", "diarization": "diariza
 FAULTS = (EOFError, OSError, tarfile.TarError, ValueError)
 
 
+def place_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system a path is on, and its path there; ``file:`` with any number of slashes is this machine's."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 def list_shards(folder: str) -> list[str]:
     """All archives below the folder, or the one named, in order of path; that order says which of two copies is first."""
-    system, path = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+    system, path = place_of(folder)
     info = system.get_file_info(path)
     if info.type == fs.FileType.File:
         return [folder]
@@ -51,7 +58,7 @@ def list_shards(folder: str) -> list[str]:
 
 
 def _open(path: str):
-    system, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    system, inner = place_of(path)
     return system.open_input_stream(inner, compression=None)
 
 
@@ -141,7 +148,7 @@ class ShardWriter(DataSourceWriter):
         self.max_bytes = int(options.get("max_bytes", 3 * 1024**3))
 
     def _system(self) -> tuple[fs.FileSystem, str]:
-        system, path = fs.FileSystem.from_uri(self.folder) if "://" in self.folder else (fs.LocalFileSystem(), self.folder)
+        system, path = place_of(self.folder)
         system.create_dir(path, recursive=True)
         return system, path
 
@@ -233,8 +240,9 @@ def repair_shards(spark: SparkSession, folder: str, target: str) -> DataFrame:
 
 
 def _repair(path: str, folder: str, target: str) -> tuple[str, int, bool]:
-    out = target.rstrip("/") + "/" + path[len(folder.rstrip("/")) + 1 :]
-    system, inner = fs.FileSystem.from_uri(out) if "://" in out else (fs.LocalFileSystem(), out)
+    # paths of a listing and the folder may name the same place in two ways
+    out = target.rstrip("/") + "/" + place_of(path)[1][len(place_of(folder)[1].rstrip("/")) + 1 :]
+    system, inner = place_of(out)
     system.create_dir(inner.rpartition("/")[0], recursive=True)
     n, broken = 0, False
     with system.open_output_stream(inner, compression=None) as raw, gzip.GzipFile(fileobj=raw, mode="wb", compresslevel=6) as gz, tarfile.open(fileobj=gz, mode="w|") as tar:

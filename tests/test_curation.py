@@ -9,7 +9,7 @@ from colloquy.operators import curate, dedup
 from colloquy.operators.prefix import join_hot, running_before, with_previous
 from colloquy.sources import feeds
 from colloquy.sources.allowlist import read_allowlist
-from colloquy.sources.labels import markdown_table, speaker_labels, write_labels
+from colloquy.sources.labels import label_text, markdown_table, speaker_labels, write_labels
 
 
 def test_ledgers(spark):
@@ -40,10 +40,10 @@ def test_manifest_sink(spark, tmp_path):
 
 
 def test_feed_table_inference():
-    assert feeds.find_feed_table({"t": ["id"], "feeds": ["id", "feedUrl", "Language"]}) == ("feeds", "feedUrl", "Language")
-    assert feeds.find_feed_table({"feeds": ["url", "lang"], "podcast_feeds": ["url", "lang"]})[0] == "podcast_feeds"
+    assert feeds.likeliest_feeds({"t": ["id"], "feeds": ["id", "feedUrl", "Language"]}) == ("feeds", "feedUrl", "Language")
+    assert feeds.likeliest_feeds({"feeds": ["url", "lang"], "podcast_feeds": ["url", "lang"]})[0] == "podcast_feeds"
     with pytest.raises(ValueError):
-        feeds.find_feed_table({"t": ["url"]})
+        feeds.likeliest_feeds({"t": ["url"]})
 
 
 def test_prioritized(spark):
@@ -80,7 +80,10 @@ def test_labels(spark, tmp_path):
     assert [r.line for r in lines.where("track = 'vad'").orderBy("start_ms").collect()] == ["0.000\t1.250\tspeech", "1.500\t3.000\tspeech"]
     assert lines.where("track = 'SPEAKER_00'").count() == 2 and lines.where("track = 'speakers'").count() == 3
     write_labels(lines, str(tmp_path / "l"))
-    assert (tmp_path / "l" / "episode_key=e" / "track=vad").exists()
+    files = label_text(spark, str(tmp_path / "l"), "e")
+    assert files["vad"] == "0.000\t1.250\tspeech\n1.500\t3.000\tspeech\n" and set(files) == {"vad", "speakers", "SPEAKER_00", "SPEAKER_01"}
+    with pytest.raises(ValueError, match="more than 2"):
+        markdown_table(spark.range(3), ["id"], 2)
     assert markdown_table(spark.createDataFrame([(1, None, 0.5)], "a int, b string, c double"), ["a", "b", "c"]).splitlines()[-1] == "| 1 |  | 0.5000 |"
 
 
