@@ -61,9 +61,10 @@ def hidden_copies(records: DataFrame, partitions: int | None = None) -> DataFram
     """``records``: origin, key, id. Result: each id once with the smallest id of its (origin, key) as ``first_id``.
 
     Null keys are left out: they are the same as none. An id that repeats within its key counts once. Empty in, empty
-    out. The partitions' edges are compared through a broadcast table of at most two rows a partition.
+    out. The partitions' edges are compared through a broadcast table of at most two rows a partition. The keys are made once and
+    written to the shared folder, as the range partitioning reads them twice.
     """
-    pick = records.select(F.col("origin").cast("string").alias("origin"), F.col("key").cast("string").alias("key"), F.col("id").cast("bigint").alias("id")).dropna()
+    pick = cut(records.select(F.col("origin").cast("string").alias("origin"), F.col("key").cast("string").alias("key"), F.col("id").cast("bigint").alias("id")).dropna())
     by = ["origin", "key", "id"]
     ranged = pick.repartitionByRange(partitions, *by) if partitions else pick.repartitionByRange(*by)
     scanned = cut(ranged.sortWithinPartitions(*by).mapInArrow(_scan, SCANNED))
