@@ -27,10 +27,32 @@ class Config:
     scorer: str = "energy_score"
     shard_bytes: int = 3 * 1024**3
     writers: int = 8
-    tokenizers: str = "/opt/tokenizers"
+    nodes: int = 1
+    node: int = 0
     spark: dict[str, str] = field(default_factory=dict)
 
 
+#: Other names under which settings are known.
+NAMES = {
+    "source.languages": "languages", "source.target_hours": "target_hours", "source.episode_limit_per_feed": "episode_limit", "audio.output_dir": "output", "audio.min_original_sample_rate": "min_sample_rate", "audio.min_original_bitrate": "min_bit_rate",
+    "runtime.node_index": "node", "runtime.num_nodes": "nodes", "diarization.backend": "diarization", "diarization.dialogue_gap_seconds": "gap_seconds", "diarization.dialogue_min_duration_seconds": "min_dialogue_seconds",
+    "diarization.dialogue_max_duration_seconds": "max_dialogue_seconds", "diarization.dialogue_max_single_speaker_ratio": "max_speaker_share", "separation.backend": "separation",
+}
+OTHERS = NAMES | {k.rpartition(".")[2]: v for k, v in NAMES.items() if k.rpartition(".")[2] != "backend"}
+
+
+def coerced(name: str, value: Any) -> Any:
+    """The value as the setting's kind: numbers and lists may come as text. Raises ValueError where it can't be."""
+    usual = getattr(Config(), name)
+    if name in ("episode_limit", "target_hours"):
+        return None if value is None else (int if name == "episode_limit" else float)(value)
+    if isinstance(usual, list):
+        return [str(x).strip() for x in (value.split(",") if isinstance(value, str) else value or [])]
+    if value is None or isinstance(value, bool):
+        raise ValueError(f"{name} can't be {value!r}")
+    return type(usual)(value) if isinstance(usual, (int, float, str)) else value
+
+
 def _flat(tree: dict[str, Any], prefix: str = "") -> dict[str, Any]:
     """Nested objects as dotted names; settings of Spark stay together."""
     out: dict[str, Any] = {}
@@ -60,8 +82,8 @@ def apply(config: Config, values: dict[str, Any]) -> Config:
             spark |= value or {}
         elif name.startswith("spark."):
             spark[name] = str(value)
-        elif (last := name.rpartition(".")[2]) in known:
-            changes[last] = value
+        elif (own := OTHERS.get(name) or name.rpartition(".")[2]) in known:
+            changes[own] = coerced(own, value)
         else:
             raise ValueError(f"unknown setting {name!r}")
     return replace(config, **changes, spark=spark)

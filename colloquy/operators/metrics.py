@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -75,6 +75,36 @@ def cosine(a: str, b: str) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
 
 
+def linked_labels(vectors: Iterable, least: float = 0.7) -> list[str]:
+    """A label for each local speaker in turn, as in link_speakers()."""
+    sums: list[np.ndarray] = []
+    sizes: list[int] = []
+    known: list[str] = []
+    labels: list[str] = []
+    named = 0  # labels given, those of unknown speakers among them
+    for vector in vectors:
+        if vector is None or len(vector) == 0:
+            labels.append(f"SPEAKER_UNK_{named:02d}")
+            named += 1
+            continue
+        v = np.asarray(vector, dtype=float)
+        best = -1
+        if known:
+            centroids = np.stack(sums) / np.array(sizes)[:, None]
+            similar = centroids @ v / (np.linalg.norm(centroids, axis=1) * np.linalg.norm(v) + 1e-8)
+            best = int(np.argmax(similar)) if similar.max() > least else -1
+        if best < 0:
+            known.append(f"SPEAKER_{named:02d}")
+            named += 1
+            sums.append(v)
+            sizes.append(1)
+        else:
+            sums[best] = sums[best] + v
+            sizes[best] += 1
+        labels.append(known[best])
+    return labels
+
+
 def link_speakers(embeddings: DataFrame, least: float = 0.7) -> DataFrame:
     """``embeddings``: episode, chunk, speaker, embedding (null: none could be made). Adds ``label``.
 
@@ -86,27 +116,6 @@ def link_speakers(embeddings: DataFrame, least: float = 0.7) -> DataFrame:
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["chunk", "speaker"], kind="stable")
-        names: list[str] = []
-        sums = np.zeros((0, 0))
-        counts, labels = np.zeros(0), []
-        for vector in pdf["embedding"]:
-            if vector is None or len(vector) == 0:
-                labels.append(f"SPEAKER_UNK_{len(names) + sum(x.startswith('SPEAKER_UNK_') for x in set(labels)):02d}")
-                continue
-            v = np.asarray(vector, dtype=float)
-            best = -1
-            if len(names):
-                centroids = sums / counts[:, None]
-                similar = centroids @ v / (np.linalg.norm(centroids, axis=1) * np.linalg.norm(v) + 1e-8)
-                best = int(np.argmax(similar)) if similar.max() > least else -1
-            if best < 0:
-                unknown = sum(x.startswith("SPEAKER_UNK_") for x in set(labels))
-                names.append(f"SPEAKER_{len(names) + unknown:02d}")
-                sums, counts, best = (v[None] if not len(sums) else np.vstack([sums, v])), np.append(counts, 1), len(names) - 1
-            else:
-                sums[best] += v
-                counts[best] += 1
-            labels.append(names[best])
-        return pdf.assign(label=labels)[["episode", "chunk", "speaker", "label"]]
+        return pdf.assign(label=linked_labels(pdf["embedding"], least))[["episode", "chunk", "speaker", "label"]]
 
     return embeddings.select("episode", "chunk", "speaker", "embedding").groupBy("episode").applyInPandas(one, "episode bigint, chunk bigint, speaker string, label string")

@@ -90,12 +90,12 @@ def turn_exchanges(spark: SparkSession, d: str, t: DataFrame | None = None) -> D
 
 
 def overlap_duration(spark: SparkSession, d: str, t: DataFrame | None = None) -> DataFrame:
-    t = t or tracks(spark, d)
+    t = t or cut(tracks(spark, d))
     return overlap_total(t.where("speaker = 0"), t.where("speaker = 1"), "episode_key")
 
 
 def backchannels(spark: SparkSession, d: str, t: DataFrame | None = None) -> DataFrame:
-    t = t or tracks(spark, d)
+    t = t or cut(tracks(spark, d))
     a, b = t.where("speaker = 0"), t.where("speaker = 1")
     return short_overlapping(a, b, "episode_key").withColumn("speaker", F.lit(0)).unionByName(short_overlapping(b, a, "episode_key").withColumn("speaker", F.lit(1)))
 

@@ -11,9 +11,13 @@ from colloquy.plans.dialogues import SQL as DIALOGUES
 from colloquy.streaming import turns as T
 
 
+#: Within how long a row may come again; state holds the ids of that time.
+REDELIVERED = "30 days"
+
+
 def streaming_once(spark: SparkSession, d: str) -> DataFrame:
     rows = T.read_stream(spark, f"{d}/segments.parquet").select("seg_id", "episode_key", "emitted_at")
-    return T.run_available(T.once(rows, ["seg_id"], "emitted_at", "3650 days")).select("seg_id", "episode_key")
+    return T.run_available(T.once(rows, ["seg_id"], "emitted_at", REDELIVERED)).select("seg_id", "episode_key")
 
 
 def streaming_progress(spark: SparkSession, d: str) -> DataFrame:
@@ -24,7 +28,7 @@ def streaming_progress(spark: SparkSession, d: str) -> DataFrame:
 def _turns(spark: SparkSession, d: str) -> DataFrame:
     rows = T.read_stream(spark, f"{d}/segments.parquet").where(usable_bounds(F.col("start_sec"), F.col("end_sec")))
     rows = rows.select("episode_key", F.col("seg_id").alias("turn_id"), speaker_number(F.col("speaker")).cast("string").alias("speaker"), millis(F.col("start_sec")).alias("start_ms"), millis(F.col("end_sec")).alias("end_ms"), "emitted_at").where("speaker is not null")
-    return T.once(rows, ["turn_id"], "emitted_at", "3650 days")
+    return T.once(rows, ["turn_id"], "emitted_at", REDELIVERED)
 
 
 def streaming_runs(spark: SparkSession, d: str) -> DataFrame:

@@ -84,11 +84,15 @@ RUN = "episode_key string, group_no bigint, run_no bigint, n_turns bigint, speak
 STATE = "group_no bigint, run_no bigint, n_turns bigint, speaker_a string, speaker_b string, start_ms bigint, end_ms bigint"
 
 
-def dialogue_runs(turns: DataFrame, gap_ms: int) -> DataFrame:
+def dialogue_runs(turns: DataFrame, gap_ms: int, idle: tuple[str, int] | None = None) -> DataFrame:
     """Runs of two speakers as they close, for append mode. ``turns``: episode_key, turn_id, speaker, start_ms, end_ms;
     they arrive in order of time across batches and are sorted within one. State is one open run an episode. The last run
-    of an episode closes with a turn whose speaker is null, the mark of its end, which also ends its state. There is no
-    timeout: one by processing time would keep a stream of what is available now from ending."""
+    of an episode closes with a turn whose speaker is null, the mark of its end, which also ends its state.
+
+    ``idle``: the column of the turns' watermark, and for how many ms after its last turn an episode may go on; when the
+    watermark is past that, its run closes and its state ends, mark or not, so that state is bounded by the episodes under
+    way. None: an episode without a mark stays open. A timeout by processing time would keep a stream of what is available
+    now from ending."""
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         now = list(state.get) if state.exists else None
@@ -99,13 +103,18 @@ def dialogue_runs(turns: DataFrame, gap_ms: int) -> DataFrame:
                 a, b = sorted((now[3], now[4]))
                 out.append((key[0], now[0], now[1], now[2], a, b, now[5], now[6]))
 
-        for row in pd.concat(list(frames)).sort_values(["start_ms", "turn_id"], kind="stable").itertuples():
-            speaker = row.speaker
-            if speaker is None:
+        if state.hasTimedOut:
+            close()
+            state.remove()
+            yield pd.DataFrame(out, columns=[x.split()[0] for x in RUN.split(", ")])
+            return
+        own = pd.concat(list(frames)).sort_values(["start_ms", "turn_id"], kind="stable")
+        marks = own["speaker"].isna()
+        for speaker, mark, start, end in zip(own["speaker"].tolist(), marks.tolist(), own["start_ms"].fillna(0).astype("int64").tolist(), own["end_ms"].fillna(0).astype("int64").tolist(), strict=True):
+            if mark:
                 close()
                 now = None
                 continue
-            start, end = int(row.start_ms), int(row.end_ms)
             if now is None:
                 now = [0, 0, 1, speaker, None, start, end]
             elif start - now[6] >= gap_ms:
@@ -119,12 +128,14 @@ def dialogue_runs(turns: DataFrame, gap_ms: int) -> DataFrame:
                 now = [now[0], now[1] + 1, 1, speaker, None, start, end]
         if now is not None:
             state.update(tuple(now))
+            if idle is not None:
+                state.setTimeoutTimestamp(max(int(own[idle[0]].max().timestamp() * 1000), state.getCurrentWatermarkMs()) + idle[1])
         elif state.exists:
             state.remove()
         yield pd.DataFrame(out, columns=[x.split()[0] for x in RUN.split(", ")])
 
-    rows = turns.select("episode_key", "turn_id", F.col("speaker").cast("string").alias("speaker"), "start_ms", "end_ms")
-    return rows.groupBy("episode_key").applyInPandasWithState(step, RUN, STATE, "append", GroupStateTimeout.NoTimeout)
+    rows = turns.select("episode_key", "turn_id", F.col("speaker").cast("string").alias("speaker"), "start_ms", "end_ms", *([idle[0]] if idle else []))
+    return rows.groupBy("episode_key").applyInPandasWithState(step, RUN, STATE, "append", GroupStateTimeout.EventTimeTimeout if idle else GroupStateTimeout.NoTimeout)
 
 
 #: Values of an integer order in a cell of until_target().

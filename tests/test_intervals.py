@@ -59,3 +59,22 @@ def test_overlap_join_finds_each_pair_once(spark):
     total = {r.k: r.overlap_ms for r in overlap_total(left, right, "k").collect()}
     assert total == {k: sum(e - s for x, s, e in want if x == k) for k in {x[0] for x in want}}
     assert short_overlapping(left, right, "k", 300, 300).where(F.col("end_ms") - F.col("start_ms") != 300).count() == 0
+
+
+def test_overlaps_of_intervals_of_any_length(spark):
+    """Some last a thousand cells and more, one key has most rows; against all pairs."""
+    rnd = random.Random(5)
+
+    def some(n):
+        out = []
+        for _ in range(n):
+            s = rnd.randrange(-5_000, 200_000)
+            out.append((rnd.choice("aaab"), s, s + rnd.choice([0, -1, 1, 40, 700, 9_000, 190_000, 3_000_000])))
+        return out
+
+    left, right = some(150), some(150) + [(None, 1, 5), ("a", None, 5)]
+    make = lambda rows: spark.createDataFrame(rows, "k string, start_ms bigint, end_ms bigint")
+    got = sorted(tuple(r) for r in overlap_join(make(left), make(right), "k", 10).collect())
+    want = sorted((k, s, e, a, b, max(s, a), min(e, b)) for k, s, e in left for q, a, b in right if q == k and None not in (a, b) and e > s and b > a and min(e, b) > max(s, a))
+    assert got == want and any(r[2] - r[1] > 100_000 for r in got)
+    assert overlap_join(make(left).limit(0), make(right), "k", 10).count() == 0

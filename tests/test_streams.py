@@ -56,3 +56,22 @@ def test_last_runs_are_emitted(spark, data):
     got = sorted(map(tuple, streams.streaming_runs_to_end(spark, data).collect()))
     want = sorted(map(tuple, dialogues.two_speaker_runs(spark, data).select("episode_key", "group_no", "run_no", "n_turns", "speaker_a", "speaker_b", "start_ms", "end_ms").collect()))
     assert got == want and len(got) > streams.streaming_runs(spark, data).count()
+
+
+def test_idle_episodes_close_and_leave_no_state(spark, tmp_path):
+    """Episodes without a mark of the end close once the watermark has passed their last turn by an hour."""
+    from pyspark.sql import functions as F
+
+    os.mkdir(tmp_path / "rows")
+    ddl = "episode_key string, turn_id bigint, speaker string, start_ms bigint, end_ms bigint, at timestamp"
+    for part in range(4):
+        hour = f"2026-01-01 0{part * 2}:00:00"
+        rows = [(f"e{part}", k, "ab"[k % 2], k * 1_000, k * 1_000 + 900) for k in range(4)]
+        df = spark.createDataFrame(rows, ddl.rpartition(",")[0]).withColumn("at", F.lit(hour).cast("timestamp")).coalesce(1)
+        df.write.parquet(str(tmp_path / f"part{part}"))
+        file = next((tmp_path / f"part{part}").glob("*.parquet"))
+        os.rename(file, tmp_path / f"rows/{part}.parquet")
+        os.utime(tmp_path / f"rows/{part}.parquet", (1_700_000_000 + part, 1_700_000_000 + part))
+    stream = T.read_stream(spark, str(tmp_path / "rows"), files_per_trigger=1).withWatermark("at", "1 minute")
+    closed = T.run_available(T.dialogue_runs(stream, 5_000, ("at", 3_600_000)))
+    assert sorted((r.episode_key, r.n_turns, r.end_ms) for r in closed.collect()) == [(f"e{k}", 4, 3_900) for k in range(3)]
