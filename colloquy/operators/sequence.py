@@ -2,7 +2,7 @@
 
 Turns have an entity (``episode_key``), an id that breaks ties, a speaker and integer ``start``/``end``. Order is always
 (start, id). What can be told from neighbours is computed cell by cell of time, so one endless episode is spread over
-tasks; what needs a state (which two speakers a run has) is a scan in constant memory over each silence-bounded group.
+tasks; what needs a state (which two speakers a run has) is a scan in constant memory over silence-bounded groups, in parts.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ TURN = ["episode_key", "turn_id", "speaker", "start_ms", "end_ms"]
 
 
 def gap_groups(turns: DataFrame, gap_ms: int) -> DataFrame:
-    """The distinct turns with ``group_no`` (from 0): a new group begins where a turn starts ``gap_ms`` or more after the
-    end of the turn before it, whatever the ends of earlier ones. Turns without an episode, id or bounds are left out.
+    """The distinct turns with ``group_no`` (from 0) and ``opens``, the group's first turn: a new group begins where a turn
+    starts ``gap_ms`` or more after the end of the turn before it, whatever the ends of earlier ones. Turns without an
+    episode, id or bounds are left out.
 
     One shuffle by (episode, cell of time). Within a cell neighbours are compared directly; each cell's first start, last
     end and number of breaks then tell whether its first turn begins a group and how many came before it.
@@ -32,15 +33,18 @@ def gap_groups(turns: DataFrame, gap_ms: int) -> DataFrame:
     rows = turns.where("start_ms is not null and end_ms is not null and turn_id is not null").withColumn("__cell", F.floor(F.col("start_ms") / HOUR_MS))
     rows = rows.where("episode_key is not null and __cell is not null").repartition(*at).distinct()
     within = W.partitionBy(*at).orderBy(*order)
-    rows = rows.withColumn("__new", F.coalesce((F.col("start_ms") - F.lag("end_ms").over(within) >= gap_ms).cast("int"), F.lit(0)))
+    ended = F.lag("end_ms").over(within)
+    rows = rows.withColumn("__new", F.coalesce((F.col("start_ms") - ended >= gap_ms).cast("int"), F.lit(0))).withColumn("__heads", ended.isNull())
     # the last row with all its columns: so that both uses of the shuffle read the same columns, and it runs once
     last = F.max(F.struct(*order, *[c for c in turns.columns if c not in (*at, *order)]))
     cells = rows.groupBy(*at).agg(F.sum("__new").alias("__n"), F.min("start_ms").alias("__from"), last.alias("__last"))
     over = W.partitionBy("episode_key").orderBy("__cell")
-    cells = cells.withColumn("__first", F.coalesce((F.col("__from") - F.lag(F.col("__last.end_ms")).over(over) >= gap_ms).cast("int"), F.lit(0)))
+    earlier = F.lag(F.col("__last.end_ms")).over(over)
+    cells = cells.withColumn("__first", F.coalesce((F.col("__from") - earlier >= gap_ms).cast("int"), F.lit(0))).withColumn("__apart", F.coalesce(F.col("__from") - earlier >= gap_ms, F.lit(True)))
     before = F.coalesce(F.sum(F.col("__n") + F.col("__first")).over(over.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    cells = cells.select(*at, (before + F.col("__first")).alias("__base"))
-    return rows.withColumn("__in", F.sum("__new").over(within.rowsBetween(W.unboundedPreceding, 0))).join(cells, at).withColumn("group_no", F.col("__base") + F.col("__in")).drop("__new", "__in", "__base", "__cell")
+    cells = cells.select(*at, (before + F.col("__first")).alias("__base"), "__apart")
+    numbered = rows.withColumn("__in", F.sum("__new").over(within.rowsBetween(W.unboundedPreceding, 0))).join(cells, at).withColumn("group_no", F.col("__base") + F.col("__in"))
+    return numbered.withColumn("opens", (F.col("__new") == 1) | F.col("__heads") & F.col("__apart")).drop("__new", "__in", "__base", "__cell", "__heads", "__apart")
 
 
 def groups_of(grouped: DataFrame) -> DataFrame:
@@ -49,38 +53,127 @@ def groups_of(grouped: DataFrame) -> DataFrame:
     return grouped.groupBy("episode_key", "group_no").agg(F.count("*").alias("n_turns"), F.count_distinct("speaker").alias("n_speakers"), F.min("start_ms").alias("start_ms"), F.max_by("end_ms", order).alias("end_ms"))
 
 
-def two_speaker_scan(grouped: DataFrame, max_ms: int) -> DataFrame:
-    """Adds ``run_no``, ``chunk_no`` and ``chunk_from`` to turns with group_no.
+class Dialogue:
+    """The state of two_speaker_scan() in a group: the run under way, its chunk, where that began, and who speaks."""
+
+    __slots__ = ("begun", "chunk", "max_ms", "run", "speakers")
+
+    def __init__(self, max_ms: int) -> None:
+        self.max_ms = max_ms
+
+    def start(self, run: int, speaker: str, start: int) -> None:
+        self.run, self.chunk, self.begun, self.speakers = run, 0, start, {speaker}
+
+    def take(self, speaker: str, start: int, end: int, first: bool = False) -> tuple[int, int, int]:
+        """run_no, chunk_no and chunk_from of the next turn; ``first``: start() was called for it."""
+        if not first:
+            if speaker in self.speakers or len(self.speakers) < 2:
+                self.speakers.add(speaker)
+            else:
+                self.start(self.run + 1, speaker, start)
+        at = self.run, self.chunk, self.begun
+        if end - self.begun >= self.max_ms:
+            self.chunk, self.begun = self.chunk + 1, end
+        return at
 
-    Within a group a run goes on while its turns have at most two speakers; a third closes it and begins the next with
-    that turn only. Within a run a chunk closes with the turn whose end lies ``max_ms`` or more after the chunk's start,
-    and the next one starts at that end. Speakers aren't null. One pass, constant memory.
-    """
-    kinds = [("episode_key", pa.string()), ("group_no", pa.int64()), ("turn_id", pa.int64()), ("speaker", pa.string()), ("start_ms", pa.int64()), ("end_ms", pa.int64()), ("run_no", pa.int64()), ("chunk_no", pa.int64()), ("chunk_from", pa.int64())]
-    names = [k for k, _ in kinds]
+
+#: What becomes of a turn: its numbers are final; they follow from those of its part; they need all turns before it. Last
+#: comes what its part leaves behind.
+FINAL, RELATIVE, WAITING, LEFT = range(4)
+SCAN = {
+    "episode_key": pa.string(), "group_no": pa.int64(), "turn_id": pa.int64(), "speaker": pa.string(), "start_ms": pa.int64(), "end_ms": pa.int64(), "run_no": pa.int64(), "chunk_no": pa.int64(), "chunk_from": pa.int64(),
+    "part": pa.int64(), "way": pa.int32(), "other": pa.string(),
+}
+SCANNED = ", ".join(f"{k} {({pa.string(): 'string', pa.int64(): 'bigint', pa.int32(): 'int'})[t]}" for k, t in SCAN.items())
+
+
+def _scan_parts(max_ms: int):
+    """mapInArrow over rows sorted by (episode, group, part, start, id): parts of groups, each from its own turns alone.
+
+    A part that opens its group is final. In any other, a run certainly begins at a speaker who follows the pattern x y x
+    and isn't y: whoever spoke before, x and y were of one run. From there on numbers count from that run's; turns before
+    wait."""
+    schema = pa.schema(list(SCAN.items()))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at: tuple | None = None
-        run = chunk = begun = 0
-        speakers: set = set()
-        for b in batches:
-            out: tuple[list, list, list] = ([], [], [])
-            for episode, group, speaker, start, end in zip(*(b.column(c).to_pylist() for c in ("episode_key", "group_no", "speaker", "start_ms", "end_ms")), strict=True):
-                if (episode, group) != at:
-                    at, run, chunk, begun, speakers = (episode, group), 0, 0, start, {speaker}
-                elif speaker in speakers or len(speakers) < 2:
-                    speakers.add(speaker)
-                else:
-                    run, chunk, begun, speakers = run + 1, 0, start, {speaker}
-                for column, value in zip(out, (run, chunk, begun), strict=True):
-                    column.append(value)
-                if end - begun >= max_ms:
-                    chunk, begun = chunk + 1, end
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names[:6]), *(pa.array(c, pa.int64()) for c in out)], names)
-
-    rows = grouped.select("episode_key", F.col("group_no").cast("bigint").alias("group_no"), F.col("turn_id").cast("bigint").alias("turn_id"), F.col("speaker").cast("string").alias("speaker"), "start_ms", "end_ms")
-    placed = rows.repartition("episode_key", "group_no").sortWithinPartitions("episode_key", "group_no", "start_ms", "turn_id")
-    return placed.mapInArrow(scan, "episode_key string, group_no bigint, turn_id bigint, speaker string, start_ms bigint, end_ms bigint, run_no bigint, chunk_no bigint, chunk_from bigint")
+        state, way, recent = Dialogue(max_ms), WAITING, (None, None, None)
+
+        def left() -> tuple:
+            """What a part leaves: the state, relative to its first certain run; null numbers if it has none."""
+            if way == WAITING:
+                return (*at[:2], None, None, None, None, None, None, None, at[2], LEFT, None)
+            a, b = (sorted(state.speakers) + [None])[:2]
+            return (*at[:2], int(way == FINAL), a, None, None, state.run, state.chunk, state.begun, at[2], LEFT, b)
+
+        for batch in batches:
+            out = []
+            for episode, group, turn, speaker, start, end, part, opens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                first = False
+                if (episode, group, part) != at:
+                    if at is not None:
+                        out.append(left())
+                    at, way, recent = (episode, group, part), FINAL if opens else WAITING, (None, None, None)
+                    if opens:
+                        state.start(0, speaker, start)
+                        first = True
+                if way == WAITING and speaker != recent[0]:
+                    x, y, z = recent  # the three blocks of one speaker's turns before, the latest first
+                    if z is not None and x == z and speaker != y:
+                        way, first = RELATIVE, True
+                        state.start(0, speaker, start)
+                    recent = (speaker, x, y)
+                numbers = (None, None, None) if way == WAITING else state.take(speaker, start, end, first)
+                out.append((episode, group, turn, speaker, start, end, *numbers, part, way, None))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), SCAN.values(), strict=True)], schema=schema) if out else pa.RecordBatch.from_pylist([], schema)
+        if at is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(left(), SCAN.values(), strict=True)], schema=schema)
+
+    return scan
+
+
+def _scan_waiting(max_ms: int):
+    """mapInArrow over what waits and what parts leave, sorted by (episode, group, part, way, start, id): the numbers of
+    turns that waited, and, as LEFT, in run_no, the number of each part's first certain run."""
+    schema = pa.schema(list(SCAN.items()))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = Dialogue(max_ms)
+        for batch in batches:
+            out = []
+            for episode, group, turn, speaker, start, end, run, chunk, begun, part, way, other in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if way == WAITING:
+                    out.append((episode, group, turn, speaker, start, end, *state.take(speaker, start, end), part, FINAL, None))
+                elif run is not None:
+                    base = 0 if turn else state.run + 1
+                    state.run, state.chunk, state.begun, state.speakers = base + run, chunk, begun, {x for x in (speaker, other) if x is not None}
+                    out.append((episode, group, None, None, None, None, base, None, None, part, LEFT, None))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), SCAN.values(), strict=True)], schema=schema) if out else pa.RecordBatch.from_pylist([], schema)
+
+    return scan
+
+
+def two_speaker_scan(grouped: DataFrame, max_ms: int, part_ms: int = HOUR_MS) -> DataFrame:
+    """Adds ``run_no``, ``chunk_no`` and ``chunk_from`` to turns of gap_groups().
+
+    Within a group a run goes on while its turns have at most two speakers; a third closes it and begins the next with
+    that turn only. Within a run a chunk closes with the turn whose end lies ``max_ms`` or more after the chunk's start,
+    and the next one starts at that end. Speakers aren't null.
+
+    Groups are scanned in parts of ``part_ms``, so a stream without a silence is spread over its hours. Only turns whose
+    numbers depend on earlier parts wait for a second scan by group, in constant memory, which for the others adds a number
+    a part: those before the first run that is certain to begin there. That is all of a part only if two speakers go on
+    between themselves for its whole length.
+    """
+    rows = grouped.select("episode_key", F.col("group_no").cast("bigint").alias("group_no"), F.col("turn_id").cast("bigint").alias("turn_id"), F.col("speaker").cast("string").alias("speaker"), "start_ms", "end_ms", F.floor(F.col("start_ms") / part_ms).cast("bigint").alias("part"), "opens")
+    # cut: the rows are used by what becomes of them
+    scanned = cut(rows.repartition("episode_key", "group_no", "part").sortWithinPartitions("episode_key", "group_no", "part", "start_ms", "turn_id").mapInArrow(_scan_parts(max_ms), SCANNED))
+    group, names = ["episode_key", "group_no"], list(SCAN)[:9]
+    waiting = scanned.where(F.col("way") >= WAITING).repartition(*group).sortWithinPartitions(*group, "part", "way", "start_ms", "turn_id").mapInArrow(_scan_waiting(max_ms), SCANNED)
+    waited = waiting.where(F.col("way") == FINAL)
+    bases = waiting.where(F.col("way") == LEFT).select(*group, "part", F.col("run_no").alias("__base"))
+    later = scanned.where(F.col("way") == RELATIVE).join(bases, [*group, "part"]).withColumn("run_no", F.col("run_no") + F.col("__base"))
+    return scanned.where(F.col("way") == FINAL).select(*names).unionByName(later.select(*names)).unionByName(waited.select(*names))
 
 
 def runs_of(scanned: DataFrame) -> DataFrame:

@@ -115,3 +115,45 @@ def test_exchanges(spark):
     t = turns(spark, "A 0-2, B 1-3, B 4-5, A 6-7")
     got = [(r.speaker, r.overlaps) for r in S.exchanges(t).orderBy("start_ms").collect()]
     assert got == [("B", True), ("A", False)]
+
+
+def scan(rows, gap, most):
+    """Brute force: (group, run, chunk, chunk_from) of each turn of an episode, in order."""
+    out, group, state, prev = [], -1, None, None
+    for _, turn, who, start, end in sorted(set(rows), key=lambda r: (r[3], r[1])):
+        if prev is None or start - prev >= gap:
+            group, state = group + 1, [0, 0, start, {who}]
+        elif who in state[3] or len(state[3]) < 2:
+            state[3].add(who)
+        else:
+            state = [state[0] + 1, 0, start, {who}]
+        out.append((turn, group, state[0], state[1], state[2]))
+        if end - state[2] >= most:
+            state[1], state[2] = state[1] + 1, end
+        prev = end
+    return out
+
+
+@pytest.mark.parametrize("part_ms", [700, 5_000, 3_600_000])
+@pytest.mark.parametrize("speakers", ["AB", "ABC", "ABCDE"])
+def test_scan_in_parts_matches_one_scan(spark, part_ms, speakers):
+    """A stream without a silence that has most turns, and others with some; in Arrow batches smaller than parts."""
+    rnd = random.Random(len(speakers) + part_ms)
+    rows, at = [], 0
+    for k in range(700):
+        # mostly by turns, so that two speakers go on for a while
+        who = rnd.choice(speakers) if rnd.random() < 0.15 else speakers[k % 2]
+        at += rnd.choice([30, 60, 90])
+        rows.append(("stream", k, who, at, at + rnd.choice([10, 50, 120, 700])))
+    for k in range(200):
+        s = rnd.randrange(0, 90_000)
+        rows.append(("other", 1_000 + k, rnd.choice(speakers), s, s + rnd.choice([10, 400])))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "23")
+    try:
+        got = S.two_speaker_scan(S.gap_groups(spark.createDataFrame(rows, DDL).repartition(3), 500), 2_000, part_ms).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    for episode in ("stream", "other"):
+        want = scan([r for r in rows if r[0] == episode], 500, 2_000)
+        assert sorted((r.turn_id, r.group_no, r.run_no, r.chunk_no, r.chunk_from) for r in got if r.episode_key == episode) == sorted(want)
