@@ -76,7 +76,7 @@ def run_stage(rows: DataFrame, name: str, key: str, wave: str, rate: str) -> Dat
                     model = model or chosen.load()
                     if not samples.is_valid or not hz or hz <= 0:
                         raise ValueError("no wave")
-                    out.append(model(samples.values.to_numpy(zero_copy_only=False).astype(np.float32), hz))
+                    out.append(model(np.nan_to_num(samples.values.to_numpy(zero_copy_only=False).astype(np.float32)), hz))  # a null sample is silence
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001
                     out.append((None,) * len(kinds))

@@ -105,4 +105,12 @@ SQL = {
       UNION ALL SELECT episode_key, 'vad', {_LABEL.format(c="s")} || chr(9) || {_LABEL.format(c="e")} || chr(9) || 'speech' FROM pu""",
 }
 SQL |= {f"leading_{n}": SQL[n].replace(_NUMBERED, _LEADING) for n in ("channel_metrics", "benchmark_summary")}
+_HEARD = "dlg_wav IS NOT NULL AND coalesce(wav_rate, 0) > 0"
+SQL |= {
+    "diarize_stage": f"""WITH i AS (SELECT task_id, stretches FROM ({SQL["activity_islands"]})) SELECT CAST(t.task_id AS VARCHAR) AS task_id, CASE WHEN {_HEARD} THEN CAST(coalesce(stretches, 0) AS INTEGER) END AS n_turns,
+      CASE WHEN NOT ({_HEARD}) THEN 'ValueError: no wave' END AS error FROM separation_tasks t LEFT JOIN i ON i.task_id = t.task_id""",
+    "separate_stage": f"SELECT CAST(task_id AS VARCHAR) AS task_id, CASE WHEN {_HEARD} THEN CAST(len(dlg_wav) AS INTEGER) END AS n_left, CASE WHEN {_HEARD} THEN CAST(len(dlg_wav) AS INTEGER) END AS n_right, CASE WHEN NOT ({_HEARD}) THEN 'ValueError: no wave' END AS error FROM separation_tasks",
+    "score_stage": f"""SELECT CAST(task_id AS VARCHAR) AS task_id, CASE WHEN {_HEARD} THEN list_max(list_transform(dlg_wav, lambda x: abs(coalesce(x, 0))))::DOUBLE END AS peak,
+      CASE WHEN NOT ({_HEARD}) THEN 'ValueError: no wave' WHEN len(dlg_wav) = 0 THEN 'ValueError: empty wave' END AS error FROM separation_tasks""",
+}
 QUERIES = {f.__name__: f for f in (activity_islands, channel_metrics, benchmark_summary, leading_channel_metrics, leading_benchmark_summary, embedding_consistency, embedding_distinctiveness, speaker_linking, label_files, diarize_stage, separate_stage, score_stage)}
