@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colloquy.functions.keys import SPEAKER_NUMBER_SQL, millis, speaker_number, usable_bounds
 from colloquy.operators import sequence as S
-from colloquy.operators.intervals import overlap_total, short_overlapping
+from colloquy.operators.intervals import overlap_join, overlap_total, short_overlapping
 from colloquy.operators.prefix import hot_from, join_hot
 from colloquy.operators.sweep import covered_periods
 from colloquy.session import cut, read_table
@@ -104,9 +106,16 @@ def turn_taking_stats(spark: SparkSession, d: str, t: DataFrame | None = None) -
     """Per episode: exchanges and backchannels a minute, mean turn, share of simultaneous speech and of overlapping
     exchanges. The duration is the end of the last turn."""
     t = cut(t or tracks(spark, d))
-    base = t.groupBy("episode_key").agg(F.count("*").alias("n"), F.sum(F.col("end_ms") - F.col("start_ms")).alias("spoken"), F.max("end_ms").alias("duration"))
-    back = backchannels(spark, d, t).groupBy("episode_key").agg(F.count("*").alias("back"))
-    j = base.join(turn_exchanges(spark, d, t), "episode_key", "left").join(overlap_duration(spark, d, t), "episode_key", "left").join(back, "episode_key", "left").fillna(0)
+    parts = [
+        t.select("episode_key", F.lit(1).alias("n"), (F.col("end_ms") - F.col("start_ms")).alias("spoken"), F.col("end_ms").alias("duration")),
+        S.exchanges(t).select("episode_key", F.lit(1).alias("exchanges"), F.col("overlaps").cast("int").alias("overlapping")),
+        overlap_join(t.where("speaker = 0"), t.where("speaker = 1"), "episode_key").select("episode_key", (F.col("end") - F.col("start")).alias("overlap_ms")),
+        backchannels(spark, d, t).select("episode_key", F.lit(1).alias("back")),
+    ]
+    columns = ["n", "spoken", "duration", "exchanges", "overlapping", "overlap_ms", "back"]
+    whole = [p.select("episode_key", *[(F.col(c) if c in p.columns else F.lit(None)).cast("bigint").alias(c) for c in columns]) for p in parts]
+    # one shuffle of partial sums instead of a join for each
+    j = reduce(DataFrame.unionByName, whole).groupBy("episode_key").agg(*[F.coalesce((F.max if c == "duration" else F.sum)(c), F.lit(0)).alias(c) for c in columns])
     minutes = F.col("duration") / 60_000.0
     return j.select(
         "episode_key",
