@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from colloquy import config as C
 from colloquy.functions import exprs as E
-from colloquy.functions.waves import encode_wav
+from colloquy.functions.waves import decode_wav, encode_wav, mono
 from colloquy.models import run_stage
 from colloquy.operators import curate, reconstruct, sequence
 from colloquy.operators.dedup import keep_first, pending
@@ -129,6 +129,38 @@ def repair(spark: SparkSession, c: C.Config) -> dict[str, DataFrame]:
     return {"repaired": repair_shards(spark, c.data, f"{c.output}/repaired")}
 
 
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        out, errors = [], []
+        for content in b.column("content").to_pylist():
+            try:
+                channels, rate = decode_wav(content)
+                out.append((mono(channels)[0], rate))
+                errors.append(None)
+            except ValueError as e:
+                out.append((None, None))
+                errors.append(str(e))
+        yield pa.record_batch([b.column("path"), pa.array([w for w, _ in out], pa.list_(pa.float32())), pa.array([r for _, r in out], pa.int32()), pa.array(errors, pa.string())], ["path", "wave", "rate", "error"])
+
+
+def files(spark: SparkSession, c: C.Config) -> dict[str, DataFrame]:
+    """Wave files below ``data``, or one: turns and labels of each, its two tracks in a shard, and a row of a manifest. A file
+    that can't be read is a row with its error."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").option("recursiveFileLookup", "true").load(c.data).select("path", "content")
+    waves = cut(found.mapInArrow(_decoded, "path string, wave array<float>, rate int, error string").withColumn("key", F.concat_ws("_", E.safe_name(F.regexp_extract("path", "([^/]*?)[.][^.]*$", 1)), E.short_key(F.sha1("path")))))
+    heard = run_stage(waves, c.diarization, "key", "wave", "rate")
+    turns = heard.select(F.col("key").alias("episode_key"), F.posexplode("turns").alias("turn_id", "t")).select("episode_key", "turn_id", F.col("t.speaker").alias("speaker"), *[F.round(F.col(f"t.{x}") * 1000).cast("bigint").alias(f"{x}_ms") for x in ("start", "end")])
+    turns = cut(turns)
+    write_labels(speaker_labels(turns), f"{c.output}/labels")
+    length = F.coalesce(F.size("wave") / F.col("rate"), F.lit(0.0))
+    parted = run_stage(waves.where("error is null"), c.separation, "key", "wave", "rate").drop("error")
+    meta = F.to_json(F.struct("path", length.alias("duration_sec")))
+    rows = parted.join(waves.select("key", meta.alias("meta"), F.col("rate").alias("wav_rate")), "key").withColumn("diarization_error", F.lit(None).cast("string"))
+    write_shards(rows.select("key", "meta", "left", "right", "wav_rate", "diarization_error").mapInArrow(_stereo, "key string, meta string, audio binary, diarization_error string"), f"{c.output}/shards", writers=c.writers, max_bytes=c.shard_bytes)
+    spoken = turns.groupBy(F.col("episode_key").alias("key")).agg(F.count("*").alias("n_turns"), F.count_distinct("speaker").alias("n_speakers"), F.max("end_ms").alias("last_ms"))
+    return {"file_manifest": waves.select("key", "path", length.alias("duration_sec"), "error").join(spoken, "key", "left").fillna(0, ["n_turns", "n_speakers"])}
+
+
 def score(spark: SparkSession, c: C.Config) -> dict[str, DataFrame]:
     return {"scores": run_stage(_tasks(spark, c), c.scorer, "task_id", "dlg_wav", "wav_rate")}
 
@@ -152,14 +184,14 @@ def benchmark(spark: SparkSession, c: C.Config) -> dict[str, DataFrame]:
 
 PHASES = {
     "collect": [collect], "choose": [choose], "segment": [segment], "diarize": [diarize], "separate": [separate], "score": [score], "filter": [curate_phase], "manifest": [manifest], "benchmark": [benchmark],
-    "reconstruct": [rebuild], "repair": [repair], "end2end": [collect, choose, segment, diarize, separate, score, curate_phase, manifest, benchmark],
+    "reconstruct": [rebuild], "files": [files], "repair": [repair], "end2end": [collect, choose, segment, diarize, separate, score, curate_phase, manifest, benchmark],
 }
 
 #: Settings that a step reads besides data, output and spark.
 CHOICE = {"languages", "episode_limit", "target_hours", "max_minutes", "min_sample_rate", "min_bit_rate"}
 READS = {
     collect: {"languages"}, choose: CHOICE, segment: CHOICE | {"gap_seconds", "max_speaker_share", "min_dialogue_seconds", "max_dialogue_seconds", "min_dialogues"}, diarize: CHOICE | {"diarization"}, score: CHOICE | {"scorer"},
-    separate: CHOICE | {"separation", "shard_bytes", "writers"}, rebuild: {"separation", "shard_bytes", "writers", "nodes", "node"},
+    files: {"diarization", "separation", "shard_bytes", "writers"}, separate: CHOICE | {"separation", "shard_bytes", "writers"}, rebuild: {"separation", "shard_bytes", "writers", "nodes", "node"},
 }
 
 

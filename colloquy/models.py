@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.functions.waves import stitch, track_consistency, windowed_mean
+from colloquy.functions.waves import resample, stitch, track_consistency, windowed_mean
 from colloquy.operators.metrics import active_stretches, linked_labels
 
 TURNS = pa.list_(pa.struct([("speaker", pa.string()), ("start", pa.float64()), ("end", pa.float64())]))
@@ -165,6 +165,27 @@ def windowed_score(score: Callable, seconds: float = 9.0, least_seconds: float =
     return load
 
 
+def referenced_score(score: Callable, reference: np.ndarray, rate: int) -> Callable:
+    """A factory of scores that compare each track with the same reference recording, brought to the track's rate and its
+    length, repeated where that is longer. ``score`` makes a function of track, reference and rate. The reference goes to
+    the workers once, with the factory."""
+    known = np.asarray(reference, dtype=np.float32)
+    if not len(known):
+        raise ValueError("empty reference")
+
+    def load():
+        one = score()
+
+        def run(wave: np.ndarray, hz: int) -> tuple:
+            if not len(wave):
+                raise ValueError("empty wave")
+            return (list(one(wave, np.resize(resample(known, rate, hz), len(wave)), hz).items()),)
+
+        return run
+
+    return load
+
+
 def consistency_score(embed: Callable, seconds: float = 2.0, least_seconds: float = 1.0) -> Callable:
     """A factory of the score ``consistency`` of a track, of a factory of embeddings."""
 

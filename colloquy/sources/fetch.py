@@ -38,6 +38,22 @@ def fetch_entries(urls: DataFrame, url: str, load: Callable[[], Callable[[str],
     return urls.select(F.col(url).alias("url")).where("url is not null").distinct().mapInArrow(run, DDL)
 
 
+def cached(url: str, folder: str, load: Callable[[str], bytes]) -> str:
+    """The file of a url below ``folder``, named by its last part; ``load`` is asked only where there is none yet, or an empty
+    one. It gets its name when it is whole. Raises ValueError for an empty answer."""
+    target = Path(folder) / (url.split("?")[0].split("#")[0].rstrip("/").rpartition("/")[2] or "download")
+    if target.is_file() and target.stat().st_size:
+        return str(target)
+    content = load(url)
+    if not content:
+        raise ValueError(f"{url}: empty")
+    target.parent.mkdir(parents=True, exist_ok=True)
+    part = target.with_name(target.name + ".part")
+    part.write_bytes(content)
+    part.replace(target)
+    return str(target)
+
+
 def unpack_database(archive: str, folder: str) -> str:
     """The first ``*.db`` member of a tar archive, unpacked below ``folder``. Raises ValueError for a name that leads out of
     it, or if there is none."""

@@ -7,7 +7,7 @@ import pytest
 
 from colloquy.functions import exprs as E
 from colloquy.functions.waves import decode_wav, encode_wav, track_consistency, windowed_mean, windows
-from colloquy.models import backend, long_diarization, packed, register
+from colloquy.models import backend, long_diarization, packed, referenced_score, register
 from colloquy.operators.curate import reduce_manifest
 from colloquy.operators.dedup import with_copy_number
 from colloquy.operators.metrics import linked_labels
@@ -116,3 +116,47 @@ def test_manifest_of_several_parts(spark):
     kept, counts = reduce_manifest(spark.createDataFrame(rows, "part int, u string, i int, v string"), ["u", "i"], ["v"])
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([(0, "a", 1, "x"), (1, "a", 2, "y"), (1, None, 1, "y"), (0, "b", 1, "x")], key=str)
     assert tuple(counts.first()) == (6, 4, 2)
+
+
+def test_scores_against_a_reference():
+    seen = []
+    load = referenced_score(lambda: lambda w, r, hz: seen.append(r.tolist()) or {"d": float(np.abs(w - r).mean())}, np.array([0.5, 1.0]), 4)
+    assert load()(np.array([0.5, 1.0, 0.5]), 4) == ([("d", 0.0)],) and seen == [[0.5, 1.0, 0.5]]
+    assert len(load()(np.zeros(7), 8)) == 1 and len(seen[-1]) == 7
+    with pytest.raises(ValueError):
+        load()(np.zeros(0), 4)
+    with pytest.raises(ValueError):
+        referenced_score(lambda: None, np.zeros(0), 4)
+
+
+def test_cached_downloads(tmp_path):
+    from colloquy.sources.fetch import cached
+
+    asked = []
+    load = lambda url: asked.append(url) or b"content"
+    path = cached("https://x.org/a/feeds.tgz?x=1", str(tmp_path / "c"), load)
+    assert open(path, "rb").read() == b"content" and path.endswith("/feeds.tgz") and cached("https://x.org/a/feeds.tgz?x=1", str(tmp_path / "c"), load) == path and len(asked) == 1
+    open(path, "wb").close()
+    assert cached("https://x.org/a/feeds.tgz", str(tmp_path / "c"), load) == path and len(asked) == 2
+    with pytest.raises(ValueError):
+        cached("https://x.org/none", str(tmp_path / "c"), lambda url: b"")
+    assert not (tmp_path / "c" / "none").exists()
+
+
+def test_wave_files(spark, tmp_path):
+    from colloquy import config as C
+    from colloquy.__main__ import run
+    from colloquy.sources.labels import label_text
+    from colloquy.sources.shards import read_shards
+
+    (tmp_path / "in").mkdir()
+    loud, quiet = np.tile([0.9, -0.9], 400), np.zeros(400)
+    (tmp_path / "in" / "Two talks.wav").write_bytes(encode_wav(np.r_[loud, quiet, quiet, loud * 0.5], 800))
+    (tmp_path / "in" / "bad.wav").write_bytes(b"no wave")
+    run(spark, "files", C.Config(data=str(tmp_path / "in"), output=str(tmp_path / "out"), writers=1))
+    rows = {r.path.rpartition("/")[2]: r for r in spark.read.json(str(tmp_path / "out" / "file_manifest")).collect()}
+    good = next(v for k, v in rows.items() if k.startswith("Two"))
+    assert good.duration_sec == 3.0 and good.n_turns == 2 and rows["bad.wav"].error and rows["bad.wav"].n_turns == 0
+    assert good.key.startswith("Two") and label_text(spark, str(tmp_path / "out" / "labels"), good.key)["vad"].count("speech") == 2
+    sample = read_shards(spark, str(tmp_path / "out" / "shards")).collect()
+    assert [s.key for s in sample] == [good.key] and decode_wav(sample[0].audio)[0].shape == (2, 2_400)
