@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: File extensions of audio, and keywords that mark a tag as music.
-AUDIO_EXTENSIONS = "mp3 m4a aac ogg opus wav flac m4b webm aif aiff".split()
+AUDIO_EXTENSIONS = ["mp3", "m4a", "aac", "ogg", "opus", "wav", "flac", "m4b", "webm", "aif", "aiff"]
 MUSIC_KEYWORDS = [
     "music", "songs", "song", "jazz", "rock", "classical", "pop", "hip-hop", "hip hop", "rap", "electronic", "edm", "reggae", "blues", "country", "metal", "folk", "r&b", "rnb", "soul", "punk", "indie", "alternative", "opera",
     "音楽", "楽曲", "ソング", "歌", "nhạc", "bài hát", "ca nhạc", "acoustic", "karaoke", "remix", "live session", "bolero", "vpop",
