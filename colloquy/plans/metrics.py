@@ -105,6 +105,20 @@ SQL = {
       UNION ALL SELECT episode_key, 'vad', {_LABEL.format(c="s")} || chr(9) || {_LABEL.format(c="e")} || chr(9) || 'speech' FROM pu""",
 }
 SQL |= {f"leading_{n}": SQL[n].replace(_NUMBERED, _LEADING) for n in ("channel_metrics", "benchmark_summary")}
+#: Local speakers of two episodes, (episode, chunk, speaker, embedding, label): a voice comes again under
+#: other names, one is between two, one can't be heard.
+KNOWN_LINKS = [
+    (1, 0, "a", [1.0, 0.0, 0.0], "SPEAKER_00"), (1, 0, "b", [0.0, 1.0, 0.0], "SPEAKER_01"), (1, 1, "a", [0.1, 0.9, 0.0], "SPEAKER_01"), (1, 1, "b", [0.9, 0.1, 0.1], "SPEAKER_00"), (1, 2, "a", None, "SPEAKER_UNK_02"),
+    (1, 3, "a", [0.0, 0.1, 1.0], "SPEAKER_03"), (1, 4, "z", [0.5, 0.5, 0.5], "SPEAKER_04"), (2, 0, "a", [0.0, 0.0, 2.0], "SPEAKER_00"), (2, 1, "b", [0.0, 0.7, 0.7], "SPEAKER_00"), (2, 2, "c", [0.0, 1.0, 0.2], "SPEAKER_01"),
+]
+
+
+def known_links(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.createDataFrame([r[:4] for r in KNOWN_LINKS], "episode bigint, chunk bigint, speaker string, embedding array<float>")
+    return M.link_speakers(rows)
+
+
+SQL["known_links"] = "SELECT * FROM (VALUES " + ", ".join(f"(CAST({e} AS BIGINT), CAST({c} AS BIGINT), '{s}', '{label}')" for e, c, s, _, label in KNOWN_LINKS) + ") AS v(episode, chunk, speaker, label)"
 _HEARD = "dlg_wav IS NOT NULL AND coalesce(wav_rate, 0) > 0"
 SQL |= {
     "diarize_stage": f"""WITH i AS (SELECT task_id, stretches FROM ({SQL["activity_islands"]})) SELECT CAST(t.task_id AS VARCHAR) AS task_id, CASE WHEN {_HEARD} THEN CAST(coalesce(stretches, 0) AS INTEGER) END AS n_turns,
@@ -113,4 +127,4 @@ SQL |= {
     "score_stage": f"""SELECT CAST(task_id AS VARCHAR) AS task_id, CASE WHEN {_HEARD} THEN list_max(list_transform(dlg_wav, lambda x: abs(coalesce(x, 0))))::DOUBLE END AS peak,
       CASE WHEN NOT ({_HEARD}) THEN 'ValueError: no wave' WHEN len(dlg_wav) = 0 THEN 'ValueError: empty wave' END AS error FROM separation_tasks""",
 }
-QUERIES = {f.__name__: f for f in (activity_islands, channel_metrics, benchmark_summary, leading_channel_metrics, leading_benchmark_summary, embedding_consistency, embedding_distinctiveness, speaker_linking, label_files, diarize_stage, separate_stage, score_stage)}
+QUERIES = {f.__name__: f for f in (activity_islands, channel_metrics, benchmark_summary, leading_channel_metrics, leading_benchmark_summary, embedding_consistency, embedding_distinctiveness, speaker_linking, known_links, label_files, diarize_stage, separate_stage, score_stage)}
