@@ -28,7 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.llm import residue_seeds as seeds
@@ -55,7 +55,7 @@ MARKUP = re.compile(r"<[^<>\n]{1,200}>")
 SENTENCE_END = re.compile(r"[.!?…]\s|[。！？\n|]")
 #: Keys of texts a task remembers so as to pass on each of a text's copies once, and candidates it has judged.
 REMEMBERED = 200_000
-BLANK, SLOT = np.array([32], dtype=np.uint32), "\x01"
+APART, SLOT = np.zeros(ORDERS[-1] - 1, dtype=np.uint32), "\x01"
 
 #: What a template field could be. Letters of scripts without spaces are \w, too, so \b doesn't tell where ASCII ends.
 FROM, TO = r"(?<![A-Za-z0-9_])", r"(?![A-Za-z0-9_])"
@@ -256,12 +256,15 @@ def _table() -> np.ndarray:
 
 
 def tally(texts: Iterable[str], table: np.ndarray) -> None:
-    """Adds the n-grams of the texts."""
+    """Adds the n-grams of the texts. None spans two of them, so that it doesn't matter which are counted together."""
     by: dict[str, list[np.ndarray]] = {}
     for t in texts:
-        by.setdefault(language_of(t), []).extend((points(normal(t)), BLANK))
+        by.setdefault(language_of(t), [APART]).extend((points(normal(t)), APART))
     for x, codes in by.items():
-        table[LANGUAGES.index(x)] += counted(np.concatenate(codes))
+        own = counted(np.concatenate(codes))
+        for row, g in zip(own, grams(np.zeros(ORDERS[-1], dtype=np.uint32)), strict=True):
+            row[g] = 0  # what is between texts only
+        table[LANGUAGES.index(x)] += own
 
 
 def fit(texts: list[str]) -> Models:
@@ -288,13 +291,16 @@ def _slices(table: np.ndarray) -> dict[int, np.ndarray]:
     return dict(enumerate(table.reshape(-1, PLACES)))
 
 
+def plain_text(text: Column) -> Column:
+    """In lower case, with single spaces, digits as 0: what copies of a text have in common."""
+    return F.regexp_replace(F.regexp_replace(F.lower(F.trim(text)), r"(?U)\s+", " "), r"(?U)\d", "0")
+
+
 def prose_counts(texts: DataFrame) -> dict[str, np.ndarray]:
-    """By language the n-gram counts of a table with a column ``text`` without nulls, each distinct text (but for case,
-    white space and digits) once. Texts that don't repeat are counted where they are read; of the others each task passes
+    """By language the n-gram counts of a table with a column ``text`` without nulls, each distinct plain_text() once. Texts that don't repeat are counted where they are read; of the others each task passes
     on one copy. Tasks are few, so the tables they send don't grow with the data."""
     spark = texts.sparkSession
-    plain = F.regexp_replace(F.regexp_replace(F.lower(F.trim("text")), r"(?U)\s+", " "), r"(?U)\d", "0")
-    keyed = texts.select(F.xxhash64(plain).alias("h"), F.xxhash64(plain, F.lit(1)).alias("h2"), "text")
+    keyed = texts.select(plain_text(F.col("text")).alias("text")).select(F.xxhash64("text").alias("h"), F.xxhash64("text", F.lit(1)).alias("h2"), "text")
     shared = spark.sparkContext.broadcast(repeats(keyed.select("h", "h2")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

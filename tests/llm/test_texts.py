@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import re
 import time
 from collections import defaultdict
 from fractions import Fraction
@@ -208,9 +207,8 @@ def test_models_know_all_texts(spark, monkeypatch, bits):
     monkeypatch.setattr(repeats, "FILTER_BITS", bits)
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where(F.length(F.trim("text")) > 0).orderBy("doc_id").limit(4_200).select("text").collect()]
     texts += [" ".join(texts[k : k + 60]) for k in range(0, 120, 60)]
-    distinct = {re.sub(r"\d", "0", re.sub(r"\s+", " ", t.strip(" ").lower())): t for t in texts}
     want = R._table()
-    R.tally(distinct.values(), want)
+    R.tally([r.t for r in spark.createDataFrame([(t,) for t in texts], "text string").select(R.plain_text(F.col("text")).alias("t")).distinct().collect()], want)
     got = R.prose_counts(spark.createDataFrame([(t,) for t in texts + texts[:900]], "text string").repartition(6))
     assert (np.stack([got[x] for x in R.LANGUAGES]) == want).all()
 
