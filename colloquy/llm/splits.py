@@ -80,8 +80,8 @@ def linked_groups(items: DataFrame, item_id: str, links: tuple[Column, Column],
     return rows.select("item_id", "feed").distinct(), feeds.join(nodes, "feed").select("feed", "group_id", "label", "n")
 
 
-#: Parts of a profile.
-EIGHTHS = 8
+#: Parts of a profile; the part of a cost below which a difference is taken for rounding.
+EIGHTHS, NOISE = 8, 1e-11
 
 
 class Flow:
@@ -127,12 +127,13 @@ class Flow:
         """Bellman-Ford: the nodes of the shortest path from ``start`` to the sink, or, without a start, those of a cycle
         of negative cost (None: there is none)."""
         cost, nodes = self.network()
+        least = NOISE * (1 + np.abs(cost[np.isfinite(cost)]).max())  # what is less is rounding
         far = np.zeros(len(nodes)) if start is None else np.where(nodes == start, 0.0, np.inf)
         back = np.full(len(nodes), -1)
         for _ in range(len(nodes)):
             through = far[:, None] + cost
             best = through.argmin(axis=0)
-            better = through[best, nodes] < far - 1e-6
+            better = through[best, nodes] < far - least
             if not better.any():
                 break
             far, back = np.where(better, through[best, nodes], far), np.where(better, best, back)
@@ -184,9 +185,16 @@ class Flow:
         cost, _ = self.network()
         return min(filter(None, paths), key=lambda p: sum(cost[a, b] for a, b in zip(p, p[1:], strict=False)))
 
+    def total(self) -> float:
+        return float((self.by_label**2).sum() + (self.by_split**2).sum())
+
     def cancel(self) -> None:
         while cycle := self.shortest(None):
+            before = self.total()
             self.push(cycle)
+            if self.total() >= before:  # rounding: none is left
+                self.push(cycle[::-1])
+                return
 
 
 def allocate(sizes: np.ndarray, profiles: np.ndarray, counts: np.ndarray, shares: np.ndarray) -> np.ndarray:
@@ -219,7 +227,7 @@ def allocate(sizes: np.ndarray, profiles: np.ndarray, counts: np.ndarray, shares
                 gain = step(1)[None, :] + np.where(out[b] > 0, step(-1), np.inf)[:, None]
                 np.fill_diagonal(gain, np.inf)
                 i, j = np.unravel_index(int(np.argmin(gain)), gain.shape)
-                if gain[i, j] > -1e-6:
+                if gain[i, j] > -NOISE * (1 + size * size + size * np.abs(by_split).max()):
                     break
                 out[b, [i, j]] += (-1, 1)
                 by_label[:, [i, j]] += np.outer(parts * size, (-1, 1))
@@ -240,7 +248,7 @@ def exchange(out: np.ndarray, sizes: np.ndarray, profiles: np.ndarray, by_label:
     """While a split is off its quota by more than the smallest component, as can be where large ones had to be placed first
     and few small ones followed: the move of one component or exchange of two, of any sizes, that lowers the costs most."""
     while len(sizes) and np.abs(by_split).max() > sizes.min():
-        best, change = -1e-6, []
+        best, change = -NOISE * (1 + float(sizes.max()) ** 2 + float(sizes.max()) * float(np.abs(by_split).max())), []
         for i, j in ((i, j) for i in range(out.shape[1]) for j in range(out.shape[1]) if i != j):
             here, there = np.flatnonzero(out[:, i]), np.flatnonzero(out[:, j])
             gain = lambda b, i, j: 2 * sizes[b] * (profiles[b] @ (by_label[:, j] - by_label[:, i]) + by_split[j] - by_split[i] + sizes[b] * ((profiles[b] ** 2).sum(axis=1) + 1))

@@ -157,6 +157,20 @@ def test_allocation_is_near_the_best_of_all():
         assert cost(sizes, profiles, allocate(sizes, profiles, counts, shares), shares) <= best + 2 * sizes.max() ** 2
 
 
+def test_sizes_of_millions_end():
+    """Costs of 10^15 and more, whose rounding must not be taken for cycles; the quotas are met all the same."""
+    rng = np.random.default_rng(8)
+    sizes = np.unique(np.r_[1, 2, 3, rng.integers(4, 5_000, 40), rng.integers(10**6, 10**8, 30)])
+    sizes = np.tile(sizes, 4)
+    counts = np.maximum(1, (10**7 / sizes).astype(np.int64) * rng.integers(0, 3, len(sizes)))
+    counts[sizes <= 3] = 10**8
+    profiles = np.repeat(np.eye(4), len(sizes) // 4, axis=0)
+    shares = np.array([0.8, 0.1, 0.1])
+    out = allocate(sizes, profiles, counts, shares)
+    by_label, by_split = deviations(sizes, profiles, out, shares)
+    assert (out.sum(axis=1) == counts).all() and np.abs(by_split).max() < 2 and np.abs(by_label).max() < 4
+
+
 def test_few_large_groups():
     """As far off the quotas as with the best of all ways."""
     sizes, shares = np.array([59, 57, 33, 18, 16, 12, 5]), np.array([0.8, 0.1, 0.1])
