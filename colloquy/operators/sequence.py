@@ -7,8 +7,10 @@ tasks; what needs a state (which two speakers a run has) is a scan in constant m
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -227,25 +229,90 @@ def first_appearance(turns: DataFrame) -> DataFrame:
     return first.select("episode_key", "speaker", F.format_string("SPEAKER_%02d", rank).alias("label"), F.col("first.start_ms").alias("first_ms"), "n_turns")
 
 
-def pack_periods(periods: DataFrame, max_ms: int) -> DataFrame:
-    """Consecutive periods packed into chunks: a period joins the chunk while its end lies at most ``max_ms`` after the
-    chunk's start, else it begins the next. ``periods``: episode_key, period_start, period_end. A silence of ``max_ms``
-    always ends a chunk, so groups between such silences are scanned apart from each other."""
-    turns = periods.select("episode_key", F.col("period_start").alias("turn_id"), F.lit(0).alias("speaker"), F.col("period_start").alias("start_ms"), F.col("period_end").alias("end_ms"))
+def _chunk_tables(max_ms: int):
+    """mapInArrow over periods sorted by (episode, part, start): for each part what the chunk under way before it does to the
+    one under way after it. ``until``, ascending, and ``begun``: a chunk that began before until[k], but no earlier one, is
+    followed in the end by the one that begins at begun[k]; one that began later still goes on. There are only as many as
+    periods within the first ``max_ms``."""
+    schema = pa.schema([("episode_key", pa.string()), ("part", pa.int64()), ("until", pa.list_(pa.int64())), ("begun", pa.list_(pa.int64()))])
+
+    def made(at: tuple, starts: list[int], ends: list[int]) -> tuple:
+        s, e = np.array(starts), np.array(ends)
+        n = len(s)
+        following = np.maximum(np.searchsorted(e, s + max_ms, side="right"), np.arange(n) + 1).tolist()
+        last = starts.copy()  # the start of the last chunk of the part, if one begins at each period
+        for k in range(n - 1, -1, -1):
+            if following[k] < n:
+                last[k] = last[following[k]]
+        known = min(n, int(np.searchsorted(e, s[0] + max_ms, side="left")) + 1)
+        return (*at, (e[:known] - max_ms).tolist(), last[:known])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: tuple | None = None
+        starts: list[int] = []
+        ends: list[int] = []
+        for b in batches:
+            out = []
+            for episode, part, start, end in zip(*(b.column(c).to_pylist() for c in ("episode_key", "part", "period_start", "period_end")), strict=True):
+                if (episode, part) != at:
+                    if at is not None:
+                        out.append(made(at, starts, ends))
+                    at, starts, ends = (episode, part), [], []
+                starts.append(start)
+                ends.append(end)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+        if at is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(made(at, starts, ends), schema, strict=True)], schema=schema)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, begun = None, 0
+    return run
+
+
+def _entered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over _chunk_tables() sorted by (episode, part): where the chunk under way before each part began, null at the first."""
+    episode, begun = None, None
+    for b in batches:
+        out = []
+        for own, until, last in zip(*(b.column(c).to_pylist() for c in ("episode_key", "until", "begun")), strict=True):
+            if own != episode:
+                episode, begun = own, None
+            out.append(begun)
+            k = 0 if begun is None else bisect_right(until, begun)
+            begun = last[k] if k < len(last) else begun
+        yield pa.record_batch([b.column("episode_key"), b.column("part"), pa.array(out, pa.int64())], ["episode_key", "part", "entered"])
+
+
+def _packed(max_ms: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, begun = None, None
         for b in batches:
             out = []
-            for episode, group, start, end in zip(*(b.column(c).to_pylist() for c in ("episode_key", "group_no", "start_ms", "end_ms")), strict=True):
-                if (episode, group) != at or end - begun > max_ms:
-                    at, begun = (episode, group), start
+            for episode, part, start, end, entered in zip(*(b.column(c).to_pylist() for c in ("episode_key", "part", "period_start", "period_end", "entered")), strict=True):
+                if (episode, part) != at:
+                    at, begun = (episode, part), entered
+                if begun is None or end - begun > max_ms:
+                    begun = start
                 out.append(begun)
-            yield pa.RecordBatch.from_arrays([b.column("episode_key"), b.column("end_ms"), pa.array(out, pa.int64())], ["episode_key", "end_ms", "chunk_start"])
+            yield pa.record_batch([b.column("episode_key"), b.column("period_end"), pa.array(out, pa.int64())], ["episode_key", "period_end", "chunk_start"])
+
+    return run
 
-    rows = gap_groups(turns, max_ms).select("episode_key", F.col("group_no").cast("bigint").alias("group_no"), "start_ms", "end_ms")
-    chunked = rows.repartition("episode_key", "group_no").sortWithinPartitions("episode_key", "group_no", "start_ms").mapInArrow(scan, "episode_key string, end_ms bigint, chunk_start bigint")
-    return chunked.groupBy("episode_key", "chunk_start").agg(F.max("end_ms").alias("chunk_end"), F.count("*").alias("n_periods"))
+
+def pack_periods(periods: DataFrame, max_ms: int, part_ms: int = HOUR_MS) -> DataFrame:
+    """Consecutive periods packed into chunks: a period joins the chunk while its end lies at most ``max_ms`` after the
+    chunk's start, else it begins the next. ``periods``: episode_key, period_start, period_end, apart from each other.
+
+    An episode is packed in parts of ``part_ms``: each part tells what it makes of any chunk that may be under way before
+    it; put together along the episode, one row a part, that tells which one is, and each part is packed by itself.
+    """
+    at = ["episode_key", "part"]
+    rows = periods.where("episode_key is not null").select("episode_key", "period_start", "period_end", F.floor(F.col("period_start") / part_ms).cast("bigint").alias("part"))
+    rows = cut(rows.repartition(*at).sortWithinPartitions(*at, "period_start"))
+    tables = rows.mapInArrow(_chunk_tables(max_ms), "episode_key string, part bigint, until array<bigint>, begun array<bigint>")
+    entered = tables.repartition("episode_key").sortWithinPartitions(*at).mapInArrow(_entered, "episode_key string, part bigint, entered bigint")
+    placed = rows.join(entered, at).repartition(*at).sortWithinPartitions(*at, "period_start")
+    chunked = placed.mapInArrow(_packed(max_ms), "episode_key string, period_end bigint, chunk_start bigint")
+    return chunked.groupBy("episode_key", "chunk_start").agg(F.max("period_end").alias("chunk_end"), F.count("*").alias("n_periods"))
 
 
 def take_until(rows: DataFrame, keys: list[str], cell: str, order: list[str], amount: str, target: float | int) -> DataFrame:

@@ -157,3 +157,28 @@ def test_scan_in_parts_matches_one_scan(spark, part_ms, speakers):
     for episode in ("stream", "other"):
         want = scan([r for r in rows if r[0] == episode], 500, 2_000)
         assert sorted((r.turn_id, r.group_no, r.run_no, r.chunk_no, r.chunk_from) for r in got if r.episode_key == episode) == sorted(want)
+
+
+@pytest.mark.parametrize("part_ms", [90, 1_000, 3_600_000])
+def test_packing_in_parts_matches_one_pass(spark, part_ms):
+    """A stream without a long silence that has most periods, one of periods longer than a chunk, one with long silences."""
+    rnd = random.Random(part_ms)
+    rows, want = [], []
+    for name, gaps, lengths in (("stream", [1, 5, 20], [10, 30, 60]), ("long", [1, 40], [20, 150, 400]), ("sparse", [5, 300, 2_000], [10, 50])):
+        at = rnd.randrange(-500, 500)
+        begun = None
+        for _ in range(400 if name == "stream" else 80):
+            start = at + rnd.choice(gaps)
+            at = start + rnd.choice(lengths)
+            rows.append((name, start, at))
+            if begun is None or at - begun > 120:
+                begun = start
+                want.append([name, begun, at, 0])
+            want[-1][2], want[-1][3] = at, want[-1][3] + 1
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        got = S.pack_periods(spark.createDataFrame(rows + [(None, 1, 2)], "episode_key string, period_start bigint, period_end bigint").repartition(3), 120, part_ms).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert sorted(map(list, map(tuple, got))) == sorted(want)
