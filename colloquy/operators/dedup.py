@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colloquy.operators.prefix import hot_from, join_hot
+from colloquy.session import cut
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -19,10 +20,10 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 def with_copy_number(df: DataFrame, keys: list[str], order: list[Column], name: str = "copy_no") -> DataFrame:
     """Adds ``name``: an earlier row has the same keys. By the keys' first row, found by a partial aggregate and joined with
     hot keys apart, so a key with a third of all rows weighs no partition down. Null keys are keys like any other."""
-    keyed = df.withColumn("__key", F.struct(*keys)).withColumn("__order", F.struct(*order))
+    # cut: the rows are counted, aggregated and joined, and what they come from must not run for each
+    keyed = cut(df.withColumn("__key", F.struct(*keys)).withColumn("__order", F.struct(*order)))
     first = keyed.groupBy("__key").agg(F.min("__order").alias("__first"), F.count("*").alias("__n"))
-    rows = df.count()
-    return join_hot(keyed, first, "__key", "__n", hot_from(rows)).withColumn(name, F.col("__order") != F.col("__first")).drop("__key", "__order", "__first", "__n")
+    return join_hot(keyed, first, "__key", "__n", hot_from(keyed.count())).withColumn(name, F.col("__order") != F.col("__first")).drop("__key", "__order", "__first", "__n")
 
 
 def pending(rows: DataFrame, ledger: DataFrame, key: str, done: tuple[str, ...] | None = None) -> DataFrame:
