@@ -39,9 +39,9 @@ def _listed(rows: DataFrame) -> DataFrame:
 
 
 def allowlist_lines(spark: SparkSession, d: str) -> DataFrame:
-    """The source records written as lines of JSON, each at the line of its id, and read as an allowlist."""
+    """The source records written as lines of JSON, each at the line of its id (bigint, as ids are), and read as an allowlist."""
     line = F.to_json(F.struct("source_id", F.col("kind").alias("source_type"), "url", F.col("lang").alias("language"), "show_name", "license_notes", F.col("priority").cast("string").alias("priority")))
-    return _listed(allowlist.parse_lines(_typed(spark, d).select((F.col("record_id") - 1).cast("int").alias("at"), line.alias("line"))))
+    return _listed(allowlist.parse_lines(_typed(spark, d).select((F.col("record_id") - 1).alias("at"), line.alias("line"))))
 
 
 def allowlist_structured(spark: SparkSession, d: str) -> DataFrame:

@@ -4,6 +4,7 @@ import sqlite3
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from colloquy.functions import exprs as E
 from colloquy.functions.waves import decode_wav, encode_wav, track_consistency, windowed_mean, windows
@@ -11,6 +12,8 @@ from colloquy.models import backend, long_diarization, packed, referenced_score,
 from colloquy.operators.curate import reduce_manifest
 from colloquy.operators.dedup import with_copy_number
 from colloquy.operators.metrics import linked_labels
+from colloquy.plans.sources import QUERIES
+from colloquy.session import read_table
 from colloquy.sources.feeds import source_entries
 from colloquy.sources.sqlite import feeds_of, read_sqlite, tables_of
 
@@ -160,3 +163,12 @@ def test_wave_files(spark, tmp_path):
     assert good.key.startswith("Two") and label_text(spark, str(tmp_path / "out" / "labels"), good.key)["vad"].count("speech") == 2
     sample = read_shards(spark, str(tmp_path / "out" / "shards")).collect()
     assert [s.key for s in sample] == [good.key] and decode_wav(sample[0].audio)[0].shape == (2, 2_400)
+
+
+@pytest.mark.parametrize("name", ["allowlist_lines"])
+def test_allowlist_of_large_ids(spark, data, tmp_path, name):
+    """Ids beyond those of an int give the same list, each record at the line of its id."""
+    far = 10_000_000_000
+    read_table(spark, data, "source_records").withColumn("record_id", F.col("record_id") + far).write.parquet(str(tmp_path / "source_records.parquet"))
+    near, got = (sorted(map(tuple, QUERIES[name](spark, d).collect())) for d in (data, str(tmp_path)))
+    assert near and got == [(at + far, *rest) for at, *rest in near]
