@@ -52,7 +52,7 @@ def allowlist_structured(spark: SparkSession, d: str) -> DataFrame:
         F.when(video, F.struct(F.array("url").alias("videos"))).alias("youtube"),
         F.when(~F.coalesce(video, F.lit(False)), F.struct(F.array("url").alias("urls"))).alias("rss"),
     )
-    texts = _typed(spark, d).where("url <> ''").select(F.to_json(F.struct(F.array(source).alias("sources"))).alias("value"), (F.col("record_id") - 1).cast("int").alias("at"))
+    texts = _typed(spark, d).where("url <> ''").select(F.to_json(F.struct(F.array(source).alias("sources"))).alias("value"), (F.col("record_id") - 1).alias("at"))
     return _listed(allowlist.parse_structured(texts))
 
 

@@ -165,7 +165,7 @@ def test_wave_files(spark, tmp_path):
     assert [s.key for s in sample] == [good.key] and decode_wav(sample[0].audio)[0].shape == (2, 2_400)
 
 
-@pytest.mark.parametrize("name", ["allowlist_lines"])
+@pytest.mark.parametrize("name", ["allowlist_lines", "allowlist_structured"])
 def test_allowlist_of_large_ids(spark, data, tmp_path, name):
     """Ids beyond those of an int give the same list, each record at the line of its id."""
     far = 10_000_000_000
